@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorwarden.config import Rules
 from sensorwarden.functions.enums import parse_sensor_type, parse_status
+from sensorwarden.functions.staging import evaluated_once
 from sensorwarden.functions.text import cut
 from sensorwarden.functions.topics import node_from_topic
 
@@ -29,95 +30,124 @@ def kind_of(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def is_number(value: Column) -> Column:
-    return F.coalesce(kind_of(value).rlike("^(BIGINT|DOUBLE|DECIMAL)"), F.lit(False))
+def is_number(kind: Column) -> Column:
+    return F.coalesce(kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL"), F.lit(False))
 
 
-def is_kind(value: Column, kind: str) -> Column:
-    return F.coalesce(kind_of(value) == kind, F.lit(False))
-
-
-def parse_document(payload: Column) -> Column:
-    """One JSON document and nothing after it, or NULL.
+def with_document(rows: DataFrame, text: str) -> DataFrame:
+    """Adds ``_document``: the text as one JSON document with nothing after it, or NULL.
 
     The text is parsed as the only element of an array, which makes trailing text an error unless it
     closes the array itself; that needs a ']' and is ruled out by parsing it as an object member too.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), payload, F.lit("]")))
-    as_member = F.try_parse_json(F.concat(F.lit('{"d":'), payload, F.lit("}")))
-    sound = (
-        F.is_valid_utf8(payload)
-        & F.try_variant_get(wrapped, "$[1]", "variant").isNull()
-        & (~F.contains(payload, F.lit("]")) | as_member.isNotNull())
+    source = F.col(text)
+    as_member = F.try_parse_json(F.concat(F.lit('{"d":'), source, F.lit("}")))
+    alone = F.try_variant_get("_wrapped", "$[1]", "variant").isNull() & (
+        ~F.contains(source, F.lit("]")) | as_member.isNotNull()
     )
-    return F.when(sound, F.try_variant_get(wrapped, "$[0]", "variant"))
-
-
-def reject_reason(document: Column, fields: Column, measures: Column) -> Column:
-    """First rule a message breaks, NULL when it is a valid reading."""
-    msg_id, stamp = fields.msg_id, fields.timestamp
-    msg_value = F.try_variant_get(msg_id, "$", "bigint")
-    wide_value = F.try_variant_get(msg_id, "$", "decimal(20,0)")
-    beyond_long = kind_of(msg_id).isin("DECIMAL(19,0)", "DECIMAL(20,0)") & wide_value.between(
-        F.lit(2**63).cast("decimal(20,0)"), F.lit(2**64 - 1).cast("decimal(20,0)")
+    return (
+        rows.withColumn(
+            "_wrapped", F.when(F.is_valid_utf8(source), F.try_parse_json(F.concat(F.lit("["), source, F.lit("]"))))
+        )
+        .withColumn("_document", F.when(alone, F.try_variant_get("_wrapped", "$[0]", "variant")))
+        .drop("_wrapped")
     )
-    clock = F.try_variant_get(stamp, "$", "double")
 
-    chain = F.when(document.isNull(), F.lit("not_json"))
+
+def reject_reason() -> Column:
+    """First rule a message breaks, NULL when it is a valid reading; over the columns of ``_members``."""
+    msg_kind, msg_value = F.col("msg_id_kind"), F.col("msg_id")
+    whole = (msg_kind == "BIGINT") & (msg_value >= 0)
+    chain = F.when(~F.col("_is_json"), F.lit("not_json"))
     for key in REQUIRED:
-        chain = chain.when(fields[key].isNull(), F.lit(f"missing_{key}"))
+        chain = chain.when(F.col(f"{key}_kind").isNull(), F.lit(f"missing_{key}"))
     return (
-        chain.when(
-            ~is_kind(fields.node_id, "STRING") | (F.try_variant_get(fields.node_id, "$", "string") == ""),
-            F.lit("bad_node_id"),
-        )
-        .when(
-            ~((is_kind(msg_id, "BIGINT") & (msg_value >= 0)) | F.coalesce(beyond_long, F.lit(False))),
-            F.lit("bad_msg_id"),
-        )
-        .when(~is_number(stamp), F.lit("bad_timestamp"))
-        .when(measures.isNull(), F.lit("bad_payload"))
-        .when(
-            ~is_kind(fields.sensor_type, "STRING") | ~is_kind(fields.status, "STRING"),
-            F.lit("bad_type"),
-        )
+        chain.when((F.col("node_id_kind") != "STRING") | (F.col("node_id") == ""), F.lit("bad_node_id"))
+        .when(~(whole | F.col("msg_id_beyond_long")), F.lit("bad_msg_id"))
+        .when(~is_number(F.col("timestamp_kind")), F.lit("bad_timestamp"))
+        .when(~F.col("payload_kind").startswith("OBJECT"), F.lit("bad_payload"))
+        .when((F.col("sensor_type_kind") != "STRING") | (F.col("status_kind") != "STRING"), F.lit("bad_type"))
         .when(msg_value.isNull() | (msg_value > MAX_MSG_ID), F.lit("msg_id_range"))
-        .when(~clock.between(-float(MAX_CLOCK), float(MAX_CLOCK)), F.lit("timestamp_range"))
+        .when(~F.coalesce(F.col("timestamp").between(-MAX_CLOCK, MAX_CLOCK), F.lit(False)), F.lit("timestamp_range"))
+    )
+
+
+def _beyond_long(value: Column, kind: Column) -> Column:
+    """Unsigned integers that only fit 64 bits without sign: integers all the same, but out of range."""
+    wide = F.try_variant_get(value, "$", "decimal(20,0)").between(
+        F.lit(str(2**63)).cast("decimal(20,0)"), F.lit(str(2**64 - 1)).cast("decimal(20,0)")
+    )
+    return F.when(kind.isin("DECIMAL(19,0)", "DECIMAL(20,0)"), F.coalesce(wide, F.lit(False))).otherwise(F.lit(False))
+
+
+# Measurement -> (type it is read as, JSON types it may have; None stands for any number).
+MEASURE_TYPES = {
+    "temp": ("double", None),
+    "humi": ("double", None),
+    "gas": ("int", "BIGINT"),
+    "light_level": ("int", "BIGINT"),
+    "buzzer_active": ("boolean", "BOOLEAN"),
+    "is_muted": ("boolean", "BOOLEAN"),
+}
+FIELD_TYPES = {
+    "node_id": "string",
+    "sensor_type": "string",
+    "status": "string",
+    "msg_id": "bigint",
+    "timestamp": "bigint",
+}
+
+
+def _members(raw: DataFrame) -> DataFrame:
+    """Every member of the message taken out once: its JSON type and its typed value."""
+    document, fields, measures = F.col("_document"), F.col("_fields"), F.col("_measures")
+    opened = evaluated_once(
+        with_document(raw, "payload").withColumn("_fields", F.try_variant_get(document, "$", _variant_struct(REQUIRED))),
+        document.isNotNull().alias("_is_json"),
+        fields,
+        F.try_variant_get(fields.payload, "$", _variant_struct(MEASURES)).alias("_measures"),
+        keep=raw.columns,
+    )
+    kinds = [kind_of(fields[key]).alias(f"{key}_kind") for key in REQUIRED if key != "payload"]
+    # an object of any content opens as a struct, so its full type need not be spelled out
+    payload_kind = F.when(measures.isNotNull(), F.lit("OBJECT")).when(fields.payload.isNotNull(), F.lit("OTHER"))
+    kinds.append(payload_kind.alias("payload_kind"))
+    values = [F.try_variant_get(fields[key], "$", kind).alias(key) for key, kind in FIELD_TYPES.items()]
+    measured = [kind_of(measures[key]).alias(f"{key}_kind") for key in MEASURES]
+    measured += [F.try_variant_get(measures[key], "$", kind).alias(key) for key, (kind, _) in MEASURE_TYPES.items()]
+    return evaluated_once(
+        opened,
+        "_is_json",
+        *kinds,
+        *values,
+        _beyond_long(fields.msg_id, kind_of(fields.msg_id)).alias("msg_id_beyond_long"),
+        *measured,
+        keep=raw.columns,
     )
 
 
-def _measure(value: Column, allowed: Column, target: str) -> Column:
-    return F.when(allowed, F.try_variant_get(value, "$", target))
+def _measure(name: str) -> Column:
+    wanted, kind = MEASURE_TYPES[name][1], F.col(f"{name}_kind")
+    return F.when(is_number(kind) if wanted is None else kind == wanted, F.col(name))
 
 
 def parse_messages(raw: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Raw messages with their reading columns and ``reject_reason``; one narrow projection, no shuffle."""
-    parsed = (
-        raw.withColumn("_document", parse_document(F.col("payload")))
-        .withColumn("_fields", F.try_variant_get(F.col("_document"), "$", _variant_struct(REQUIRED)))
-        .withColumn("_measures", F.try_variant_get(F.col("_fields.payload"), "$", _variant_struct(MEASURES)))
-    )
-    fields, measures = F.col("_fields"), F.col("_measures")
-    node_id = F.try_variant_get(fields.node_id, "$", "string")
-    checked = parsed.withColumn("reject_reason", reject_reason(F.col("_document"), fields, measures))
-    carried = [c for c in raw.columns]
-    return checked.select(
-        *carried,
-        "reject_reason",
-        node_id.alias("node_id"),
-        parse_sensor_type(F.try_variant_get(fields.sensor_type, "$", "string")).alias("sensor_type"),
+    """Raw messages with their reading columns and ``reject_reason``; narrow projections, no shuffle."""
+    return _members(raw).select(
+        *raw.columns,
+        reject_reason().alias("reject_reason"),
+        "node_id",
+        parse_sensor_type(F.col("sensor_type")).alias("sensor_type"),
         # numbers are read as double first: the same two roundings as a float32 field of the message
-        _measure(measures.temp, is_number(measures.temp), "double").cast("float").alias("temperature"),
-        _measure(measures.humi, is_number(measures.humi), "double").cast("float").alias("humidity"),
-        F.when(
-            ~node_id.isin(*rules.gasless_nodes), _measure(measures.gas, is_kind(measures.gas, "BIGINT"), "int")
-        ).alias("gas"),
-        _measure(measures.light_level, is_kind(measures.light_level, "BIGINT"), "int").alias("light_level"),
-        _measure(measures.buzzer_active, is_kind(measures.buzzer_active, "BOOLEAN"), "boolean").alias("buzzer_active"),
-        _measure(measures.is_muted, is_kind(measures.is_muted, "BOOLEAN"), "boolean").alias("is_muted"),
-        parse_status(F.try_variant_get(fields.status, "$", "string")).alias("status"),
-        F.try_variant_get(fields.msg_id, "$", "bigint").alias("msg_id"),
-        F.try_variant_get(fields.timestamp, "$", "bigint").alias("timestamp"),
+        _measure("temp").cast("float").alias("temperature"),
+        _measure("humi").cast("float").alias("humidity"),
+        F.when(~F.col("node_id").isin(*rules.gasless_nodes), _measure("gas")).alias("gas"),
+        _measure("light_level").alias("light_level"),
+        _measure("buzzer_active").alias("buzzer_active"),
+        _measure("is_muted").alias("is_muted"),
+        parse_status(F.col("status")).alias("status"),
+        "msg_id",
+        "timestamp",
         node_from_topic(F.col("topic")).alias("topic_node"),
     )
 

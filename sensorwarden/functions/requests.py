@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorwarden.functions.naming import CANONICAL_NAME, COMMAND_NODES
 from sensorwarden.functions.enums import translate
-from sensorwarden.functions.parsing import is_kind, is_number, kind_of, parse_document
+from sensorwarden.functions.naming import CANONICAL_NAME, COMMAND_NODES
+from sensorwarden.functions.parsing import is_number, kind_of, with_document
+from sensorwarden.functions.staging import evaluated_once
 from sensorwarden.functions.topics import command_topic
 
 # Accepted threshold and buzzer types.
@@ -29,97 +30,116 @@ INT_TEXT = r"^\s*[+-]?\d+\s*$"
 INFINITE_TEXT = r"^\s*[+-]?(?i:inf|infinity)\s*$"
 
 
-def _falsy(value: Column) -> Column:
+def _taken_apart(bodies: DataFrame, *names: str) -> DataFrame:
+    """(seq, is_json) and kind, text and number of each member of the request body."""
+    fields = F.col("_fields")
+    opened = evaluated_once(
+        with_document(bodies, "body"),
+        F.try_variant_get(
+            F.col("_document"), "$", "struct<" + ", ".join(f"{name} variant" for name in names) + ">"
+        ).alias("_fields"),
+        keep=["seq"],
+    )
+    members = []
+    for name in names:
+        member = fields[name]
+        members += [
+            kind_of(member).alias(f"{name}_kind"),
+            F.try_variant_get(member, "$", "string").alias(f"{name}_text"),
+            F.try_variant_get(member, "$", "double").alias(f"{name}_number"),
+        ]
+    return evaluated_once(opened, fields.isNotNull().alias("is_object"), *members, keep=["seq"])
+
+
+def _falsy(name: str) -> Column:
     """Absent, null, false, zero, empty text or empty container."""
-    text = F.try_variant_get(value, "$", "string")
-    return (
-        value.isNull()
-        | kind_of(value).isin("VOID", "OBJECT<>", "ARRAY<VOID>") & (text.isNull() | text.isin("{}", "[]"))
-        | (is_kind(value, "STRING") & (text == ""))
-        | (is_kind(value, "BOOLEAN") & (text == "false"))
-        | (is_number(value) & (F.try_variant_get(value, "$", "double") == 0))
+    kind, text = F.col(f"{name}_kind"), F.col(f"{name}_text")
+    empty = (
+        (kind == "VOID")
+        | ((kind == "STRING") & (text == ""))
+        | ((kind == "BOOLEAN") & (text == "false"))
+        | ((kind.startswith("OBJECT") | kind.startswith("ARRAY")) & text.isin("{}", "[]"))
+        | (is_number(kind) & (F.col(f"{name}_number") == 0))
     )
+    return kind.isNull() | F.coalesce(empty, F.lit(False))
 
 
-def _absent(value: Column) -> Column:
-    return value.isNull() | is_kind(value, "VOID")
-
-
-def _text(value: Column) -> Column:
-    return F.when(is_kind(value, "STRING"), F.try_variant_get(value, "$", "string"))
+def _text(name: str) -> Column:
+    return F.when(F.col(f"{name}_kind") == "STRING", F.col(f"{name}_text"))
 
 
-def _request(bodies: DataFrame, fields: str) -> DataFrame:
-    return bodies.withColumn("_doc", parse_document(F.col("body"))).withColumn(
-        "_req", F.try_variant_get(F.col("_doc"), "$", fields)
+def _as_float(name: str) -> Column:
+    """Float reading of a JSON scalar, NULL where the conversion fails."""
+    kind, text = F.col(f"{name}_kind"), F.col(f"{name}_text")
+    infinite = F.when(text.contains("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    return F.when(is_number(kind) | (kind == "BOOLEAN"), F.col(f"{name}_number")).when(
+        kind == "STRING",
+        F.when(text.rlike(FLOAT_TEXT), F.trim(text).try_cast("double")).when(text.rlike(INFINITE_TEXT), infinite),
     )
 
 
-def _numeric(value: Column) -> tuple[Column, Column]:
-    """(as float, as integer) readings of a JSON scalar; NULL where the conversion fails.
-
-    Text must be a whole number to count as an integer, a JSON number is truncated.
-    """
-    text = _text(value)
-    boolean = is_kind(value, "BOOLEAN")
-    plain = is_number(value)
-    as_double = F.try_variant_get(value, "$", "double")
-    as_float = (
-        F.when(plain | boolean, as_double)
-        .when(text.rlike(FLOAT_TEXT), F.trim(text).try_cast("double"))
-        .when(text.rlike(INFINITE_TEXT), F.when(text.contains("-"), F.lit(float("-inf"))).otherwise(float("inf")))
-    )
-    # whole numbers beyond the BIGINT range stay out of range when compared as double
-    as_int = F.when(plain | boolean, F.signum(as_double) * F.floor(F.abs(as_double))).when(
-        text.rlike(INT_TEXT), F.trim(text).try_cast("double")
+def _as_int(name: str) -> Column:
+    """Integer reading: a JSON number is truncated, text must be a whole number; kept as double to compare."""
+    kind, text, value = F.col(f"{name}_kind"), F.col(f"{name}_text"), F.col(f"{name}_number")
+    return F.when(is_number(kind) | (kind == "BOOLEAN"), F.signum(value) * F.floor(F.abs(value))).when(
+        (kind == "STRING") & text.rlike(INT_TEXT), F.trim(text).try_cast("double")
     )
-    return as_float, as_int
 
 
 def threshold_requests(bodies: DataFrame) -> DataFrame:
     """(seq, body) -> (seq, node_id, threshold_type, value, is_valid, error); the first broken rule wins."""
-    req = F.col("_req")
-    node, kind = _text(req.node_id), _text(req.threshold_type)
-    as_float, as_int = _numeric(req.value)
+    kind, node, number = F.col("threshold_type"), F.col("node_id"), F.col("number")
     is_temp = kind.startswith("temp")
-    number = F.when(is_temp, as_float).otherwise(as_int)
+    typed = evaluated_once(
+        _taken_apart(bodies, "node_id", "threshold_type", "value"),
+        "is_object",
+        (_falsy("node_id") | _falsy("threshold_type") | (F.coalesce("value_kind", F.lit("VOID")) == "VOID")).alias(
+            "incomplete"
+        ),
+        _text("node_id").alias("node_id"),
+        _text("threshold_type").alias("threshold_type"),
+        F.when(_text("threshold_type").startswith("temp"), _as_float("value")).otherwise(_as_int("value")).alias(
+            "number"
+        ),
+        keep=["seq"],
+    )
     error = (
-        F.when(req.isNull(), F.lit(BAD_BODY))
-        .when(_falsy(req.node_id) | _falsy(req.threshold_type) | _absent(req.value), F.lit(MISSING))
+        F.when(~F.col("is_object"), F.lit(BAD_BODY))
+        .when(F.col("incomplete"), F.lit(MISSING))
         .when(~F.coalesce(kind.isin(*THRESHOLD_TYPES), F.lit(False)), F.lit(BAD_TYPE))
         .when(number.isNull() | F.isnan(number), F.lit(BAD_VALUE))
         .when(is_temp & ~number.between(0, 100), F.lit(TEMP_RANGE))
         .when(~is_temp & ~number.between(0, 10000), F.lit(GAS_RANGE))
         .when(~F.coalesce(node.isin(*COMMAND_NODES), F.lit(False)), F.lit(UNKNOWN_NODE))
     )
-    return (
-        _request(bodies, "struct<node_id variant, threshold_type variant, value variant>")
-        .withColumn("error", error)
-        .select(
-            "seq",
-            node.alias("node_id"),
-            kind.alias("threshold_type"),
-            F.when(F.col("error").isNull(), number).alias("value"),
-            F.col("error").isNull().alias("is_valid"),
-            "error",
-        )
+    return typed.withColumn("error", error).select(
+        "seq",
+        "node_id",
+        "threshold_type",
+        F.when(F.col("error").isNull(), number).alias("value"),
+        F.col("error").isNull().alias("is_valid"),
+        "error",
     )
 
 
 def mute_requests(bodies: DataFrame) -> DataFrame:
     """(seq, body) -> (seq, node_id, type, is_valid, error)."""
-    req = F.col("_req")
-    node, kind = _text(req.node_id), _text(req.type)
-    fits = F.coalesce(node.isin(*COMMAND_NODES) & kind.isin(*BUZZER_TYPES), F.lit(False))
+    typed = evaluated_once(
+        _taken_apart(bodies, "node_id", "type"),
+        "is_object",
+        (_falsy("node_id") | _falsy("type")).alias("incomplete"),
+        _text("node_id").alias("node_id"),
+        _text("type").alias("type"),
+        keep=["seq"],
+    )
+    fits = F.coalesce(F.col("node_id").isin(*COMMAND_NODES) & F.col("type").isin(*BUZZER_TYPES), F.lit(False))
     error = (
-        F.when(req.isNull(), F.lit(BAD_BODY))
-        .when(_falsy(req.node_id) | _falsy(req.type), F.lit(MISSING))
+        F.when(~F.col("is_object"), F.lit(BAD_BODY))
+        .when(F.col("incomplete"), F.lit(MISSING))
         .when(~fits, F.lit(BAD_BUZZER))
     )
-    return (
-        _request(bodies, "struct<node_id variant, type variant>")
-        .withColumn("error", error)
-        .select("seq", node.alias("node_id"), kind.alias("type"), F.col("error").isNull().alias("is_valid"), "error")
+    return typed.withColumn("error", error).select(
+        "seq", "node_id", "type", F.col("error").isNull().alias("is_valid"), "error"
     )
 
 

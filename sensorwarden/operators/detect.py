@@ -81,7 +81,7 @@ def _event(kind: int, condition: Column, severity: str, description: Column) ->
     )
 
 
-def _unroll(rows: DataFrame, *events: Column) -> DataFrame:
+def unroll(rows: DataFrame, *events: Column) -> DataFrame:
     """One row per event; messages without events drop out before anything is built for them."""
     return rows.select(F.explode(F.array_compact(F.array(*events))).alias("e")).select("e.*")
 
@@ -161,16 +161,16 @@ def recovered_event(rules: Rules) -> Column:
 
 def unauthorized_events(screened: DataFrame) -> DataFrame:
     """Needs only the whitelist flag, so no shuffle."""
-    return _unroll(screened, unauthorized_event())
+    return unroll(screened, unauthorized_event())
 
 
 def replay_events(marked: DataFrame) -> DataFrame:
-    return _unroll(marked, replay_event())
+    return unroll(marked, replay_event())
 
 
 def message_events(traced: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Every event a message raises, in the order the checks run."""
-    return _unroll(
+    return unroll(
         traced,
         unauthorized_event(),
         replay_event(),
@@ -230,7 +230,7 @@ def security_events(traced: DataFrame, as_of: Column | int, rules: Rules = Rules
     """All events, still one pass: the offline event of a silence hangs on the message before it."""
     at = offline_at(as_of, rules)
     offline = F.when(at.isNotNull(), _offline_struct(rules, at - F.col("received_at"), at))
-    return _unroll(
+    return unroll(
         traced,
         unauthorized_event(),
         replay_event(),

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from sensorwarden.config import Rules
@@ -31,9 +31,14 @@ EDGE_COLUMNS = {
     "last_in": f"struct<{LAST_READING}>",
 }
 
-GROUP = Window.partitionBy("node_id", "span").orderBy("seq")
-BEFORE = GROUP.rowsBetween(Window.unboundedPreceding, -1)
-UP_TO = GROUP.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+def _before() -> WindowSpec:
+    return Window.partitionBy("node_id", "span").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _up_to() -> WindowSpec:
+    whole = Window.partitionBy("node_id", "span").orderBy("seq")
+    return whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def _true(condition: Column) -> Column:
@@ -57,7 +62,7 @@ def mark_replays(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
     Replayed ids never exceed the mark, so the running maximum over all known rows equals the mark of the
     accepted ones. A mark of 0 means no history and accepts anything.
     """
-    seen = F.max(F.when(F.col("known"), F.col("msg_id"))).over(BEFORE)
+    seen = F.max(F.when(F.col("known"), F.col("msg_id"))).over(_before())
     mark = F.greatest(F.coalesce(seen, F.lit(0)), F.coalesce(F.col("seed"), F.lit(0)))
     replay = F.col("known") & (F.col("mark") != 0) & (F.col("msg_id") <= F.col("mark"))
     is_row = F.col("opens").isNull()
@@ -100,17 +105,17 @@ def follow(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
     return (
         flagged.withColumns(
             {
-                "prev": F.last(last_seen, ignorenulls=True).over(BEFORE),
+                "prev": F.last(last_seen, ignorenulls=True).over(_before()),
                 "next_at": F.expr("lead(_arrival) ignore nulls over (partition by node_id, span order by seq)"),
                 "ordinal": F.coalesce(
-                    F.sum(F.when(opening, F.col("streak_in")).when(fresh, F.lit(1))).over(UP_TO), F.lit(0)
+                    F.sum(F.when(opening, F.col("streak_in")).when(fresh, F.lit(1))).over(_up_to()), F.lit(0)
                 ),
-                "fault_at": F.max(F.when(fault | (opening & F.col("faulty_in")), F.col("seq"))).over(UP_TO),
+                "fault_at": F.max(F.when(fault | (opening & F.col("faulty_in")), F.col("seq"))).over(_up_to()),
             }
         )
-        .withColumn("broken_at", F.max(F.when(fresh & ~good, F.col("ordinal"))).over(UP_TO))
+        .withColumn("broken_at", F.max(F.when(fresh & ~good, F.col("ordinal"))).over(_up_to()))
         .withColumn("streak", (F.col("ordinal") - F.coalesce(F.col("broken_at"), F.lit(0))).cast("int"))
-        .withColumn("healed_at", F.max(F.when(full_run, F.col("seq"))).over(BEFORE))
+        .withColumn("healed_at", F.max(F.when(full_run, F.col("seq"))).over(_before()))
         .withColumn("recovered", full_run & _in_fault(F.col("fault_at"), F.col("healed_at")))
         .withColumn("faulty", _in_fault(F.col("fault_at"), F.col("healed_at")) & ~F.col("recovered"))
     )
@@ -245,9 +250,16 @@ def _hot_state(state: DataFrame | None, hot: Sequence) -> DataFrame | None:
     return state.filter(F.col("node_id").isin(list(hot))).withColumn("span", F.lit(FIRST_SEQ))
 
 
-SPANS = Window.partitionBy("node_id").orderBy("span")
-EARLIER_SPANS = SPANS.rowsBetween(Window.unboundedPreceding, -1)
-UP_TO_SPAN = SPANS.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _spans() -> WindowSpec:
+    return Window.partitionBy("node_id").orderBy("span")
+
+
+def _earlier_spans() -> WindowSpec:
+    return _spans().rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _up_to_span() -> WindowSpec:
+    return _spans().rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def _mark_edges(rows: DataFrame, state: DataFrame | None, hot: Sequence) -> DataFrame:
@@ -260,7 +272,7 @@ def _mark_edges(rows: DataFrame, state: DataFrame | None, hot: Sequence) -> Data
     initial = _hot_state(state, hot)
     if initial is not None:
         highest = highest.unionByName(initial.select("node_id", "span", "mark"))
-    openings = highest.withColumn("mark", F.max("mark").over(EARLIER_SPANS)).filter(F.col("span") > FIRST_SEQ)
+    openings = highest.withColumn("mark", F.max("mark").over(_earlier_spans())).filter(F.col("span") > FIRST_SEQ)
     return _unpack(openings, _edge(True, msg_id=F.col("mark")))
 
 
@@ -303,17 +315,17 @@ def _span_edges(rows: DataFrame, rules: Rules, state: DataFrame | None, hot: Seq
             ),
             allowMissingColumns=True,
         )
-    run_total = F.sum(F.when(F.col("broken"), F.col("last_run")).otherwise(F.col("leading_run"))).over(UP_TO_SPAN)
-    run_base = F.max(F.when(F.col("broken"), F.col("run_total") - F.col("last_run"))).over(UP_TO_SPAN)
+    run_total = F.sum(F.when(F.col("broken"), F.col("last_run")).otherwise(F.col("leading_run"))).over(_up_to_span())
+    run_base = F.max(F.when(F.col("broken"), F.col("run_total") - F.col("last_run"))).over(_up_to_span())
     leading_heals = (F.col("leading_run") > 0) & (F.col("run_in") + F.col("leading_run") >= rules.recovery_count)
     carried = (
         summary.withColumn("run_total", run_total)
         .withColumn("run_out", F.col("run_total") - F.coalesce(run_base, F.lit(0)))
-        .withColumn("run_in", F.lag("run_out", 1, 0).over(SPANS))
+        .withColumn("run_in", F.lag("run_out", 1, 0).over(_spans()))
         .withColumn("healed_at", F.greatest("healed_at", F.when(leading_heals, F.col("leading_end"))))
-        .withColumn("fault_in", F.max("fault_at").over(EARLIER_SPANS))
-        .withColumn("healed_in", F.max("healed_at").over(EARLIER_SPANS))
-        .withColumn("last_in", F.last("last", ignorenulls=True).over(EARLIER_SPANS))
+        .withColumn("fault_in", F.max("fault_at").over(_earlier_spans()))
+        .withColumn("healed_in", F.max("healed_at").over(_earlier_spans()))
+        .withColumn("last_in", F.last("last", ignorenulls=True).over(_earlier_spans()))
         .withColumn("next_in", F.expr("lead(first_at) ignore nulls over (partition by node_id order by span)"))
         .filter(F.col("span") > FIRST_SEQ)
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sensorwarden.config import Rules
 from sensorwarden.functions.enums import parse_sensor_type, parse_status
 from sensorwarden.functions.parsing import READING_COLUMNS
+from sensorwarden.functions.staging import evaluated_once
 
 START = 1704067200  # arrival second of event 0
 UNLISTED = (3, 17)  # nodes missing from the whitelist
@@ -91,9 +92,8 @@ RAW = {
         f" else concat('factory/sensors/', {NODE}, '/data') end"
     ),
     "payload": (
-        f"case {_R} when 24 then '[1]' when 25 then concat({_DOCUMENT}, ' x')"
-        f" when 26 then concat({_DOCUMENT}, '] {{}}') when 27 then '' when 28 then 'plain text'"
-        f" when 29 then concat({_DOCUMENT}, ',') else {_DOCUMENT} end"
+        f"case {_R} when 24 then '[1]' when 27 then '' when 28 then 'plain text' else concat({_DOCUMENT},"
+        f" case {_R} when 25 then ' x' when 26 then '] {{}}' when 29 then ',' else '' end) end"
     ),
     "retain": f"{_R}=35",
     "received_at": f"{START}+event_id",
@@ -106,7 +106,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw_messages(seq, topic, payload, retain, received_at) with a share of malformed messages."""
-    return events(spark, sf_dir).selectExpr(*[f"{text} as {name}" for name, text in RAW.items()])
+    columns = [F.expr(text).alias(name) for name, text in RAW.items()]
+    return evaluated_once(events(spark, sf_dir), *columns)
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,5 +143,49 @@ def last_arrival(spark: SparkSession, sf_dir: str) -> Column:
     return events(spark, sf_dir).agg((F.max("event_id") + START).alias("as_of")).scalar()
 
 
+# Operator requests as posted, with a share of invalid ones.
+THRESHOLD_BODY = (
+    "concat('{', case when event_id%19=0 then '' when event_id%19=1 then '\"node_id\":\"\",'"
+    " else concat('\"node_id\":\"node_0', cast(user_id%4 as varchar(3)), '\",') end,"
+    " case when event_id%17=0 then '\"threshold_type\":\"light\",' when event_id%5=0 then '\"threshold_type\":\"gas_warn\",'"
+    " when event_id%5=1 then '\"threshold_type\":\"gas_crit\",' when event_id%5=2 then '\"threshold_type\":\"temp_warn\",'"
+    " else '\"threshold_type\":\"temp_crit\",' end,"
+    " case when event_id%23=0 then '\"v\":1' when event_id%23=1 then '\"value\":null' when event_id%23=2 then '\"value\":\"high\"'"
+    " when event_id%23=3 then '\"value\":\"300.5\"' when event_id%23=4 then '\"value\":\" 42 \"' when event_id%23=5 then '\"value\":-1'"
+    " when event_id%23=6 then '\"value\":20000' when event_id%23=7 then '\"value\":[1]' when event_id%23=8 then '\"value\":true'"
+    " else concat('\"value\":', cast(value as varchar(40))) end, '}')"
+)
+MUTE_BODY = (
+    "concat('{', case when event_id%13=0 then '' else concat('\"node_id\":\"node_0', cast(user_id%4 as varchar(3)), '\",') end,"
+    " case when event_id%11=0 then '\"type\":\"\"' when event_id%3=0 then '\"type\":\"gas\"' when event_id%3=1 then '\"type\":\"temp\"'"
+    " else '\"type\":\"light\"' end, '}')"
+)
+
+
+def threshold_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).select(F.col("event_id").alias("seq"), F.expr(THRESHOLD_BODY).alias("body"))
+
+
+def mute_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).select(F.col("event_id").alias("seq"), F.expr(MUTE_BODY).alias("body"))
+
+
+def threshold_node() -> Column:
+    """Nodes 8-15 share the two nodes that have thresholds of their own, the others have none."""
+    number = F.substring("node_id", 6, 2).cast("int")
+    return F.when(number.between(8, 11), "node_02").when(number.between(12, 15), "node_03").otherwise(F.col("node_id"))
+
+
+def node_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(position, node_id, location, sensor_type, has_gas) of every node that sent a signup event."""
+    return readings(spark, sf_dir).filter("status = 'WARNING'").select(
+        F.col("seq").alias("position"),
+        "node_id",
+        F.concat(F.lit("Hall "), (F.col("seq") % 3).cast("string")).alias("location"),
+        "sensor_type",
+        (F.col("seq") % 2 == 0).alias("has_gas"),
+    )
+
+
 def rules() -> Rules:
     return Rules()
