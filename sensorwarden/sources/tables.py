@@ -93,7 +93,7 @@ def write_snapshot(table: DataFrame, path: str) -> None:
 
 
 def purge_logs(spark: SparkSession, table: str, as_of: int, retention_days: int, staging: str) -> int:
-    """Deletes rows with a device clock before the cutoff from a catalog table partitioned by event_date.
+    """Deletes rows with a device clock before the cutoff from a managed table partitioned by event_date.
 
     Whole dates are dropped as partitions; only the date the cutoff falls into is rewritten, by way of
     ``staging``, a new directory on the shared file system. Returns the number of deleted rows.
@@ -110,7 +110,13 @@ def purge_logs(spark: SparkSession, table: str, as_of: int, retention_days: int,
         if left.isEmpty():
             _drop_dates(spark, table, [boundary.isoformat()])
         else:
-            left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+            left.createOrReplaceTempView("purge_staged_rows")
+            columns = ", ".join(f"`{name}`" for name in logs.columns if name != "event_date")
+            spark.sql(
+                f"INSERT OVERWRITE TABLE {table} PARTITION (event_date = DATE'{boundary.isoformat()}') "
+                f"SELECT {columns} FROM purge_staged_rows"
+            )
+            spark.catalog.dropTempView("purge_staged_rows")
     names = [row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
     # dates as ISO text compare like dates; the partition of rows without a date stays
     _drop_dates(spark, table, [name for name in names if name[:1].isdigit() and name < boundary.isoformat()])
