@@ -14,4 +14,5 @@ def evaluated_once(rows: DataFrame, *columns: Column, keep: Sequence[str] = ())
     Filters on the result would otherwise be pushed below the projection and repeat the expressions; a
     one-element explode is a step they are not pushed through.
     """
-    return rows.select(*keep, F.explode(F.array(F.struct(*columns))).alias("_row")).select(*keep, "_row.*")
+    computed = rows.select(*keep, F.struct(*columns).alias("_once"))
+    return computed.select(*keep, F.explode(F.array("_once")).alias("_row")).select(*keep, "_row.*")

@@ -54,18 +54,6 @@ def cut(text: Column, length: int) -> Column:
     return F.substring(text, 1, length)
 
 
-def described(prefix: str, **fields: Column) -> Column:
-    """prefix | key=value | key=value ..."""
-    parts = [F.lit(prefix)]
-    for key, value in fields.items():
-        parts += [F.lit(f" | {key}="), value]
-    return F.concat(*parts)
-
-
-def with_unit(value: Column, unit: str) -> Column:
-    return F.concat(value, F.lit(unit))
-
-
 def log_line(epoch: Column, severity: Column, node_id: Column, description: Column) -> Column:
     """One line of the security alert log."""
     return F.concat(

@@ -52,7 +52,8 @@ def status_timeline(traced: DataFrame, as_of: Column | int, rules: Rules = Rules
     offline = F.when(at.isNotNull(), F.struct(at.alias("at"), F.lit("OFFLINE").alias("status"), F.lit(1).alias("step")))
     return (
         traced.filter("fresh")
-        .select("seq", "node_id", F.explode(F.array_compact(F.array(reported, offline))).alias("s"))
+        .select("seq", "node_id", F.explode(F.array(reported, offline)).alias("s"))
+        .filter(F.col("s").isNotNull())
         .select("seq", "node_id", "s.at", "s.status", "s.step")
     )
 

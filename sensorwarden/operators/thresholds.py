@@ -35,10 +35,8 @@ def threshold_alerts(readings: DataFrame, rules: Rules = Rules()) -> DataFrame:
         "seq",
         "node_id",
         "received_at",
-        F.explode(F.array_compact(F.array(alert("gas", gas_level, gas), alert("temperature", temp_level, temp)))).alias(
-            "a"
-        ),
-    ).select("seq", "node_id", "received_at", "a.metric", "a.severity", "a.value")
+        F.explode(F.array(alert("gas", gas_level, gas), alert("temperature", temp_level, temp))).alias("a"),
+    ).filter(F.col("a").isNotNull()).select("seq", "node_id", "received_at", "a.metric", "a.severity", "a.value")
 
 
 def with_thresholds(rows: DataFrame, thresholds: DataFrame, rules: Rules = Rules()) -> DataFrame:

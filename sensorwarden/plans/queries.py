@@ -154,22 +154,22 @@ def replay_events(spark, sf_dir):
 
 @query
 def not_operating_events(spark, sf_dir):
-    return detect.unroll(_traced(spark, sf_dir), detect.not_operating_event())
+    return detect.events_of(_traced(spark, sf_dir), detect.NOT_OPERATING, rules=RULES)
 
 
 @query
 def ts_regression(spark, sf_dir):
-    return detect.unroll(_traced(spark, sf_dir), detect.ts_regression_event())
+    return detect.events_of(_traced(spark, sf_dir), detect.TS_REGRESSION, rules=RULES)
 
 
 @query
 def temp_jump(spark, sf_dir):
-    return detect.unroll(_traced(spark, sf_dir), detect.temp_jump_event(RULES))
+    return detect.events_of(_traced(spark, sf_dir), detect.TEMP_JUMP, rules=RULES)
 
 
 @query
 def humi_jump(spark, sf_dir):
-    return detect.unroll(_traced(spark, sf_dir), detect.humi_jump_event(RULES))
+    return detect.events_of(_traced(spark, sf_dir), detect.HUMI_JUMP, rules=RULES)
 
 
 @query
@@ -198,7 +198,7 @@ def accepted_readings(spark, sf_dir):
 
 @query
 def recovery_events(spark, sf_dir):
-    return detect.unroll(_traced(spark, sf_dir), detect.recovered_event(RULES))
+    return detect.events_of(_traced(spark, sf_dir), detect.RECOVERED, rules=RULES)
 
 
 @query

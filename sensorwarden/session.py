@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
