@@ -13,27 +13,31 @@ from sensorwarden.operators.health import offline_at
 
 
 def pipeline_counters(
-    traced: DataFrame, as_of: Column | int, rules: Rules = Rules(), parse_rejects: DataFrame | None = None
+    traced: DataFrame, as_of: Column | int, rules: Rules = Rules(), received: DataFrame | None = None
 ) -> DataFrame:
-    """One status row over all counted messages; summed per node first, then over the nodes."""
+    """One status row over all counted messages; summed per node first, then over the nodes.
+
+    ``received`` holds the counted raw messages when some were not parsed; counting them needs no parsing,
+    and everything received and not accepted was rejected.
+    """
     per_node = traced.groupBy("node_id").agg(
-        F.count(F.lit(1)).alias("received"),
+        F.count(F.lit(1)).alias("traced"),
         F.count_if("accepted").alias("accepted"),
         F.sum(events_of_message(rules)).alias("security_events"),
         F.count(offline_at(as_of, rules)).alias("offline_events"),
         F.max(F.col("fresh").cast("int")).alias("seen"),
     )
-    unparsed = F.lit(0) if parse_rejects is None else parse_rejects.agg(F.count(F.lit(1))).scalar()
     totals = per_node.agg(
         *[
             F.coalesce(F.sum(name), F.lit(0)).alias(name)
-            for name in ("received", "accepted", "security_events", "offline_events", "seen")
+            for name in ("traced", "accepted", "security_events", "offline_events", "seen")
         ]
     )
+    counted = F.col("traced") if received is None else received.agg(F.count(F.lit(1))).scalar()
     return totals.select(
-        (F.col("received") + unparsed).alias("received"),
+        counted.alias("received"),
         "accepted",
-        (F.col("received") + unparsed - F.col("accepted")).alias("rejected"),
+        (counted - F.col("accepted")).alias("rejected"),
         "security_events",
         "offline_events",
         F.col("seen").alias("nodes"),

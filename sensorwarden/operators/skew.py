@@ -14,7 +14,7 @@ def hot_keys(rows: DataFrame, key: str, limit: int) -> list:
     A counting pass over one column, combined map-side; at most rows/limit keys come back.
     """
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit)
-    return [row[0] for row in counts.select(key).collect()]
+    return [row[0] for row in counts.filter(F.col(key).isNotNull()).select(key).collect()]
 
 
 def span_of(key: Column, seq: Column, hot: Sequence, width: int) -> Column:

@@ -230,10 +230,11 @@ def status_as_of(spark, sf_dir):
 @query
 def pipeline_counters(spark, sf_dir):
     """Counters of the whole run from raw messages on."""
-    parsed = _parsed(spark, sf_dir)
-    traced = sequence.trace(parsing.valid_readings(parsed), fleet.devices(spark), RULES)
-    unparsed = parsed.filter(F.col("reject_reason").isNotNull())
-    return counters.pipeline_counters(traced, fleet.last_arrival(spark, sf_dir), RULES, unparsed)
+    received = messages.counted(fleet.raw_messages(spark, sf_dir))
+    readings = parsing.valid_readings(parsing.parse_messages(received, RULES))
+    hot = hot_keys(messages.named(received), "node_id", RULES.hot_rows)
+    traced = sequence.trace(readings, fleet.devices(spark), RULES, hot=hot)
+    return counters.pipeline_counters(traced, fleet.last_arrival(spark, sf_dir), RULES, received)
 
 
 @query

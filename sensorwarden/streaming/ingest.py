@@ -50,6 +50,7 @@ def process_batch(
     """
     spark = raw.sparkSession
     state = spark.read.schema(NODE_STATE).parquet(landing.state(batch_id - 1)) if batch_id > 0 else initial
+    # parsed readings are read back from storage, so counting the nodes there costs one column
     parsed = parse_messages(counted(raw), rules)
     parsed.write.mode("overwrite").parquet(landing.table("parsed", batch_id))
     parsed = spark.read.schema(parsed.schema).parquet(landing.table("parsed", batch_id))
