@@ -98,15 +98,70 @@ FIELD_TYPES = {
 }
 
 
-def _members(raw: DataFrame) -> DataFrame:
+# --- well-formed messages ------------------------------------------------------------------------------
+
+# What a typed read of the text gives. It is strict about JSON types (a number is not read from text, an
+# integer not from 5.0), except that text columns take any value: those are read as VARIANT.
+TYPED_MESSAGE = (
+    "array<struct<node_id: variant, sensor_type: variant, status: variant, msg_id: bigint, timestamp: double, "
+    "payload: struct<temp: double, humi: double, gas: int, light_level: int, buzzer_active: boolean, "
+    "is_muted: boolean>>>"
+)
+STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+TEXT_FIELDS = ("node_id", "sensor_type", "status")
+EXACT_DOUBLE = float(2**53)
+
+
+def _typed(raw: DataFrame) -> DataFrame:
+    """Adds ``_typed``, the message as typed fields where it is well-formed beyond doubt, else NULL.
+
+    A ']' in the text may close the array around it, and numbers of 2^53 and more may not fit a double. A key
+    may be repeated, and the typed read keeps an earlier value when the last one has the wrong type: but every
+    member needs a colon, so a text with just as many colons as values read has no further members. Messages
+    beyond these bounds, like all that miss something, are left to the member-by-member reading.
+    """
+    payload = F.col("payload")
+    wrapped = F.concat(F.lit("["), payload, F.lit("]"))
+    certain = F.is_valid_utf8(payload) & ~F.contains(payload, F.lit("]"))
+    rows = raw.withColumn("_list", F.when(certain, F.from_json(wrapped, TYPED_MESSAGE, STRICT_JSON)))
+    message = F.get(F.col("_list"), F.lit(0))
+    opened = evaluated_once(
+        rows.withColumn("_message", F.when(F.size("_list") == 1, message)), F.col("_message"), keep=raw.columns
+    )
+    fields = F.col("_message")
+    texts = {name: F.try_variant_get(fields[name], "$", "string") for name in TEXT_FIELDS}
+    measured = sum((fields.payload[name].isNotNull().cast("int") for name in MEASURES), F.lit(len(REQUIRED)))
+    colons = F.length("payload") - F.length(F.replace(F.col("payload"), F.lit(":"), F.lit("")))
+    sound = (
+        fields.payload.isNotNull()
+        & (colons == measured)
+        & fields.msg_id.between(0, MAX_MSG_ID)
+        & (F.abs(fields.timestamp) < EXACT_DOUBLE)
+    )
+    sound = sound & (texts["node_id"] != "")
+    for name in TEXT_FIELDS:
+        sound = sound & (kind_of(fields[name]) == "STRING")
+    typed = F.struct(
+        *[text.alias(name) for name, text in texts.items()],
+        fields.msg_id.alias("msg_id"),
+        fields.timestamp.cast("bigint").alias("timestamp"),
+        *[fields.payload[name].alias(name) for name in MEASURES],
+    )
+    return evaluated_once(opened, F.when(sound, typed).alias("_typed"), keep=raw.columns)
+
+
+# --- all other messages --------------------------------------------------------------------------------
+
+
+def _members(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """Every member of the message taken out once: its JSON type and its typed value."""
     document, fields, measures = F.col("_document"), F.col("_fields"), F.col("_measures")
     opened = evaluated_once(
-        with_document(raw, "payload").withColumn("_fields", F.try_variant_get(document, "$", _variant_struct(REQUIRED))),
+        with_document(rows, text).withColumn("_fields", F.try_variant_get(document, "$", _variant_struct(REQUIRED))),
         document.isNotNull().alias("_is_json"),
         fields,
         F.try_variant_get(fields.payload, "$", _variant_struct(MEASURES)).alias("_measures"),
-        keep=raw.columns,
+        keep=keep,
     )
     kinds = [kind_of(fields[key]).alias(f"{key}_kind") for key in REQUIRED if key != "payload"]
     # an object of any content opens as a struct, so its full type need not be spelled out
@@ -122,7 +177,7 @@ def _members(raw: DataFrame) -> DataFrame:
         *values,
         _beyond_long(fields.msg_id, kind_of(fields.msg_id)).alias("msg_id_beyond_long"),
         *measured,
-        keep=raw.columns,
+        keep=keep,
     )
 
 
@@ -132,22 +187,34 @@ def _measure(name: str) -> Column:
 
 
 def parse_messages(raw: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Raw messages with their reading columns and ``reject_reason``; narrow projections, no shuffle."""
-    return _members(raw).select(
+    """Raw messages with their reading columns and ``reject_reason``; narrow projections, no shuffle.
+
+    Well-formed messages are read with one typed read. The others (their text is ``_rest``) are taken apart
+    member by member, which tells what is wrong with them, or that nothing is.
+    """
+    typed = F.col("_typed")
+    rest = _typed(raw).withColumn("_rest", F.when(typed.isNull(), F.col("payload")))
+    members = _members(rest, "_rest", [*raw.columns, "_typed"])
+
+    def value(name: str, otherwise: Column | None = None) -> Column:
+        return F.when(typed.isNotNull(), typed[name]).otherwise(F.col(name) if otherwise is None else otherwise)
+
+    node_id = value("node_id")
+    return members.select(
         *raw.columns,
-        reject_reason().alias("reject_reason"),
-        "node_id",
-        parse_sensor_type(F.col("sensor_type")).alias("sensor_type"),
+        F.when(typed.isNull(), reject_reason()).alias("reject_reason"),
+        node_id.alias("node_id"),
+        parse_sensor_type(value("sensor_type")).alias("sensor_type"),
         # numbers are read as double first: the same two roundings as a float32 field of the message
-        _measure("temp").cast("float").alias("temperature"),
-        _measure("humi").cast("float").alias("humidity"),
-        F.when(~F.col("node_id").isin(*rules.gasless_nodes), _measure("gas")).alias("gas"),
-        _measure("light_level").alias("light_level"),
-        _measure("buzzer_active").alias("buzzer_active"),
-        _measure("is_muted").alias("is_muted"),
-        parse_status(F.col("status")).alias("status"),
-        "msg_id",
-        "timestamp",
+        value("temp", _measure("temp")).cast("float").alias("temperature"),
+        value("humi", _measure("humi")).cast("float").alias("humidity"),
+        F.when(~node_id.isin(*rules.gasless_nodes), value("gas", _measure("gas"))).alias("gas"),
+        value("light_level", _measure("light_level")).alias("light_level"),
+        value("buzzer_active", _measure("buzzer_active")).alias("buzzer_active"),
+        value("is_muted", _measure("is_muted")).alias("is_muted"),
+        parse_status(value("status")).alias("status"),
+        value("msg_id").alias("msg_id"),
+        value("timestamp").alias("timestamp"),
         node_from_topic(F.col("topic")).alias("topic_node"),
     )
 

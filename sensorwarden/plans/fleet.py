@@ -54,35 +54,41 @@ def _part(key: str, normal: str, odd: dict[int, str]) -> str:
     return f"case {_R} {cases} else concat('\"{key}\":', {normal}, ',') end"
 
 
-def _number(expression: str) -> str:
-    return f"coalesce(cast({expression} as varchar(40)), 'null')"
-
-
-_MEASURES = (
-    "concat('{\"temp\":', "
-    f"case {_R} when 9 then '\"25\"' when 31 then 'true' else {_number('case when user_id%20 < 16 then value end')} end, "
-    f"',\"humi\":', {_number('case when user_id%20 < 16 then event_id*13%100 end')}, "
-    f"',\"gas\":', case {_R} when 10 then '300.0' else {_number(MESSAGE['gas'])} end, "
-    f"',\"light_level\":', {_number(MESSAGE['light_level'])}, "
-    f"',\"buzzer_active\":', case {_R} when 11 then '1' else {_number(MESSAGE['buzzer_active'])} end, "
-    f"',\"is_muted\":', {_number(MESSAGE['is_muted'])}, '}}')"
+def _measure(key: str, expression: str, odd: dict[int, str] | None = None) -> str:
+    """One measurement; sensors a node lacks are left out."""
+    cases = "".join(f"when {_R}={r} then '\"{key}\":{text},' " for r, text in (odd or {}).items())
+    return (
+        f"case {cases}when ({expression}) is null then '' "
+        f"else concat('\"{key}\":', cast({expression} as varchar(40)), ',') end"
+    )
+
+
+def _object(*members: str) -> str:
+    return "concat('{', trim(trailing ',' from concat(" + ", ".join(members) + ")), '}')"
+
+
+_MEASURES = _object(
+    _measure("temp", "case when user_id%20 < 16 then value end", {9: '"25"', 31: "true"}),
+    _measure("humi", "case when user_id%20 < 16 then event_id*13%100 end"),
+    _measure("gas", MESSAGE["gas"], {10: "300.0"}),
+    _measure("light_level", MESSAGE["light_level"]),
+    _measure("buzzer_active", MESSAGE["buzzer_active"], {11: "1"}),
+    _measure("is_muted", MESSAGE["is_muted"], {37: "null"}),
 )
 
-_DOCUMENT = "concat('{', " + ", ".join(
-    [
-        _part("node_id", f"'\"', {NODE}, '\"'", {1: "", 2: '""', 3: "7"}),
-        _part("sensor_type", f"'\"', {MESSAGE['sensor_text']}, '\"'", {4: "", 5: "5", 30: "null"}),
-        _part("payload", _MEASURES, {6: "", 7: "[]", 8: "null"}),
-        _part("status", f"'\"', {MESSAGE['status_text']}, '\"'", {12: "", 13: "null"}),
-        _part(
-            "msg_id",
-            f"cast({MESSAGE['msg_id']} as varchar(20))",
-            {14: "", 15: "-1", 16: "5.0", 17: "true", 18: '"1"', 19: "4294967296", 20: "null"},
-        ),
-        _part("timestamp", f"cast({MESSAGE['timestamp']} as varchar(20))", {21: "", 22: '"x"', 23: "1704067200.9"}),
-        "'\"v\":1'",
-    ]
-) + ", '}')"
+_DOCUMENT = _object(
+    _part("node_id", f"'\"', {NODE}, '\"'", {1: "", 2: '""', 3: "7"}),
+    _part("sensor_type", f"'\"', {MESSAGE['sensor_text']}, '\"'", {4: "", 5: "5", 30: "null"}),
+    _part("payload", _MEASURES, {6: "", 7: "[]", 8: "null"}),
+    _part("status", f"'\"', {MESSAGE['status_text']}, '\"'", {12: "", 13: "null"}),
+    _part(
+        "msg_id",
+        f"cast({MESSAGE['msg_id']} as varchar(20))",
+        {14: "", 15: "-1", 16: "5.0", 17: "true", 18: '"1"', 19: "4294967296", 20: "null"},
+    ),
+    _part("timestamp", f"cast({MESSAGE['timestamp']} as varchar(20))", {21: "", 22: '"x"', 23: "1704067200.9"}),
+    f"case when {_R}=38 then '\"v\":\"x:1\",' else '' end",
+)
 
 RAW = {
     "seq": "event_id",

@@ -72,6 +72,12 @@ REJECTS = [
     (doc(status=None), "bad_type"),
     (doc(sensor_type=5), "bad_type"),
     (doc(msg_id=-1, timestamp="x"), "bad_msg_id"),
+    (doc(node_id=["N1"]), "bad_node_id"),
+    (doc(node_id={"a": 1}), "bad_node_id"),
+    (doc(payload={"temp": 1})[:-1] + ',"payload":3}', "bad_payload"),
+    (doc()[:-1] + ',"msg_id":"x"}', "bad_msg_id"),
+    (doc()[:-1] + ',"z":01}', "not_json"),
+    (doc() + " // end", "not_json"),
 ]
 
 
@@ -100,6 +106,10 @@ ACCEPTED = [
     (doc(payload={}), {"temperature": None, "humidity": None, "gas": None, "is_muted": None}),
     (doc(payload={"temp": "25", "humi": True, "gas": 300.0}), {"temperature": None, "humidity": None, "gas": None}),
     (doc(payload={"temp": None, "humi": 45, "gas": -1}), {"temperature": None, "humidity": 45.0, "gas": -1}),
+    (doc(payload={"temp": "NaN", "humi": "Infinity"}), {"temperature": None, "humidity": None}),
+    (doc(node_id="", msg_id=5)[:-1] + ',"node_id":"N2"}', {"node_id": "N2", "msg_id": 5}),
+    (doc(payload={"temp": 1, "x": {"temp": 2, "y": "]"}}), {"temperature": 1.0}),
+    (doc(timestamp=-0.5), {"timestamp": 0}),
     (doc(payload={"gas": 2**40, "light_level": 1e2}), {"gas": None, "light_level": None}),
     (doc(payload={"gas": "7", "light_level": 12}), {"gas": None, "light_level": 12}),
     (doc(payload={"buzzer_active": True, "is_muted": 1}), {"buzzer_active": True, "is_muted": None}),
