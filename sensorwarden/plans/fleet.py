@@ -56,11 +56,11 @@ def _part(key: str, normal: str, odd: dict[int, str]) -> str:
 
 def _measure(key: str, expression: str, odd: dict[int, str] | None = None) -> str:
     """One measurement; sensors a node lacks are left out."""
-    cases = "".join(f"when {_R}={r} then '\"{key}\":{text},' " for r, text in (odd or {}).items())
-    return (
-        f"case {cases}when ({expression}) is null then '' "
-        f"else concat('\"{key}\":', cast({expression} as varchar(40)), ',') end"
-    )
+    text = f"coalesce('\"{key}\":' || cast({expression} as varchar(40)) || ',', '')"
+    if not odd:
+        return text
+    cases = " ".join(f"when {r} then '\"{key}\":{other},'" for r, other in odd.items())
+    return f"case {_R} {cases} else {text} end"
 
 
 def _object(*members: str) -> str:
