@@ -76,6 +76,11 @@ def provisioned(devices: DataFrame, nodes: DataFrame, now: Column | int) -> Data
     return known.unionByName(_numbered(new, "position", devices, now))
 
 
+def provisioned_count(nodes: DataFrame) -> DataFrame:
+    """Entries taken over by ``provisioned``; repeated nodes count each time."""
+    return nodes.agg(F.count(F.lit(1)).alias("provisioned"))
+
+
 def registered(devices: DataFrame, seen: DataFrame, now: Column | int) -> DataFrame:
     """Insert-if-absent: ``seen`` is (node_id, seq); new nodes are numbered in order of first appearance."""
     now = now if isinstance(now, Column) else F.lit(now).cast("bigint")

@@ -6,7 +6,7 @@ DataFrame code shares only the expressions that shape ``events`` into messages.
 
 from __future__ import annotations
 
-from sensorwarden.plans.fleet import MESSAGE, MUTE_BODY, NODE, RAW, START, THRESHOLD_BODY, UNLISTED
+from sensorwarden.plans.fleet import MESSAGE, MUTE_BODY, RAW, START, THRESHOLD_BODY, UNLISTED
 
 STATUS = """case status_text when 'OPERATIONAL' then 'OPERATIONAL' when 'WARNING' then 'WARNING'
   when 'CRITICAL' then 'CRITICAL' when 'NOT_OPERATING' then 'NOT_OPERATING' when 'alarm' then 'ALARM'
@@ -456,6 +456,7 @@ ORACLE = {
       from devices d left join listed l on l.node_id = d.node_id
       union all select 20 + row_number() over (order by first_pos), node_id, location, sensor_type, has_gas, 0, {_STAMP}
       from listed where node_id not in (select node_id from devices)""",
+    "provision_count": _with("msgs") + "select count(*) as provisioned from msgs where status = 'WARNING'",
     "register_absent": _with("msgs", "devices") + f"""select * from devices
       union all select 20 + row_number() over (order by min(seq)), node_id, 'AUTO_REGISTERED', 'UNKNOWN', false, 0, {_STAMP}
       from msgs where node_id not in (select node_id from devices) group by node_id""",

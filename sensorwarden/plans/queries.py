@@ -426,6 +426,11 @@ def provision_devices(spark, sf_dir):
     )
 
 
+@query
+def provision_count(spark, sf_dir):
+    return maintenance.provisioned_count(fleet.node_list(spark, sf_dir))
+
+
 @query
 def register_absent(spark, sf_dir):
     seen = fleet.readings(spark, sf_dir).select("node_id", "seq")
