@@ -16,6 +16,41 @@ ORACLE = {
         )
         SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM r
     """,
+    "op5_chat_format": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL
+            SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+        ), e AS (
+            SELECT *, length(replace(replace(role, '&', '&amp;'), '<|', '&lt;|'))
+                    + length(replace(replace(text, '&', '&amp;'), '<|', '&lt;|')) + 23 AS points
+            FROM t
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(points)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id
+    """,
+    "op8_warc": r"""
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS hex
+            FROM pages
+        ), r AS (SELECT html, max(page_id) AS response_id FROM p GROUP BY html),
+        d AS (
+            SELECT p.*, response_id,
+                   list_transform(range(0, 8), lambda g: ('0x' || substr(hex, 1 + 5 * g::INT, 5))::INT) AS groups
+            FROM p JOIN r USING (html)
+        )
+        SELECT page_id, payload_bytes,
+               array_to_string(flatten(list_transform(groups, lambda v: list_transform([32768, 1024, 32, 1],
+                   lambda w: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v // w) % 32, 1)))), '') AS payload_digest,
+               CASE WHEN response_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN response_id <> page_id THEN response_id END AS refers_to
+        FROM d
+    """,
     "op9_line_dedup": r"""
         WITH l AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import chat
+from .byte_bpe import encode_documents
+from .common import utf8_sha256
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .oracle import ORACLE as ORACLE
+from .warc import archived_index
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,11 +23,46 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encode_documents(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts hold control strings, formatted and read back from the formatted string."""
+    stored = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], stored.schema)
+    turns = stored.unionByName(planted).select(
+        "conv_id", "turn", "role", F.array(chat.text_part(F.coalesce("text", F.lit("")))).alias("parts")
+    )
+    done = chat.format_chat(turns)
+    said_by = chat.parsed_turns(F.col("formatted"))
+    read = F.array_join(F.transform(said_by, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    masked = chat.masked_text(F.col("formatted"), F.col("loss"))
+    return done.select(
+        "conv_id",
+        F.size(said_by).cast("bigint").alias("n_turns"),
+        utf8_sha256(read).alias("turns_sha256"),
+        F.length(masked).cast("bigint").alias("loss_chars"),
+        utf8_sha256(masked).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return archived_index(pages, min_bytes=0).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_documents(spark, sf_dir), min_docs=10, min_chars=1)
 
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op5_chat_format": op5_chat_format,
+    "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
 }
