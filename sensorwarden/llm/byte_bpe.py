@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bounds of what a Python worker keeps; beyond them a table starts anew.
-MAX_STATES, MAX_PAIRS, MAX_PIECES = 100_000, 400_000, 300_000
+MAX_STATES, MAX_PAIRS, MAX_PIECES = 300_000, 400_000, 500_000
 
 #: Pieces of a text, and tokens, that are handled at once.
 BLOCK = 50_000
