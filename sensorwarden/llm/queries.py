@@ -12,6 +12,7 @@ from .common import utf8_sha256
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .oracle import ORACLE as ORACLE
+from .toxicity import fit_toxicity, held_out, score_toxicity
 from .warc import archived_index
 
 
@@ -50,6 +51,14 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir).select("doc_id", "text")
+    model = fit_toxicity(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_toxicity(documents, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return archived_index(pages, min_bytes=0).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -63,6 +72,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_chat_format": op5_chat_format,
+    "op6_toxicity": op6_toxicity,
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
 }
