@@ -2,7 +2,27 @@
 
 from __future__ import annotations
 
+def _words(text: str) -> str:
+    """Lower-cased words of a text column as a list."""
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lower}, '[^\\x20\\x09-\\x0D]+')"
+
+
+def _shingles(words: str, n: int) -> str:
+    """Distinct shingles of a list of words: fewer words are one shingle, no words none."""
+    runs = f"list_transform(range(1, len({words}) - {n - 2}), lambda i: array_to_string({words}[i:i + {n - 1}], ' '))"
+    return f"CASE WHEN len({words}) = 0 THEN [] WHEN len({words}) < {n} THEN [array_to_string({words}, ' ')] ELSE list_distinct({runs}) END"
+
+
 ORACLE = {
+    "op1_decontaminate": f"""
+        WITH d AS (SELECT doc_id, {_words("text")} AS w FROM documents),
+        b AS (SELECT item_id, {_words("text")} AS w FROM benchmark),
+        ds AS (SELECT doc_id, unnest({_shingles("w", 5)}) AS s FROM d),
+        bs AS (SELECT item_id, len({_shingles("w", 5)}) AS n, unnest({_shingles("w", 5)}) AS s FROM b)
+        SELECT doc_id, item_id, n AS item_shingles, count(*) AS shared_shingles
+        FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id, n HAVING 100 * count(*) >= 80 * n
+    """,
     "op2_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm,

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from . import chat
 from .byte_bpe import encode_documents
 from .common import utf8_sha256
+from .decontaminate import contained_items
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .oracle import ORACLE as ORACLE
+from .quality import score_quality
 from .toxicity import fit_toxicity, held_out, score_toxicity
 from .warc import archived_index
 
@@ -20,10 +22,18 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), percent=80, words=5)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_documents(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -69,7 +79,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_quality": op3_quality,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_chat_format": op5_chat_format,
     "op6_toxicity": op6_toxicity,
