@@ -53,6 +53,22 @@ ORACLE = {
                sum(points)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op7_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        pos AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d),
+        win AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s FROM pos),
+        rep AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM win SEMI JOIN rep USING (s)),
+        word AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+        kept AS (
+            SELECT word.doc_id, count(*) AS n_words, count(gone.p) AS n_removed,
+                   string_agg(word, ' ' ORDER BY word.p) FILTER (gone.p IS NULL) AS kept
+            FROM word LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.p = gone.p GROUP BY word.doc_id
+        )
+        SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+    """,
     "op8_warc": r"""
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes,

@@ -14,6 +14,7 @@ from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .oracle import ORACLE as ORACLE
 from .quality import score_quality
+from .substring_dedup import substring_dedup
 from .toxicity import fit_toxicity, held_out, score_toxicity
 from .warc import archived_index
 
@@ -69,6 +70,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(_documents(spark, sf_dir), window=35).drop("spans")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return archived_index(pages, min_bytes=0).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -85,6 +90,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_chat_format": op5_chat_format,
     "op6_toxicity": op6_toxicity,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
 }
