@@ -105,4 +105,22 @@ ORACLE = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM m GROUP BY doc_id
     """,
+    "op10_jaccard_join": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, {_words("text")} AS w FROM documents),
+        n AS (SELECT doc_id, len({_shingles("w", 4)}) AS n FROM d),
+        s AS (SELECT doc_id, unnest({_shingles("w", 4)}) AS s FROM d),
+        c AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+        ), l AS (
+            SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * c.c >= 85 * (x.n + y.n - c.c)
+        ), e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+        r AS (
+            SELECT doc_id, doc_id AS other FROM d
+            UNION
+            SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a
+        )
+        SELECT n.doc_id, n.n AS n_shingles, min(other) AS component_id FROM n JOIN r ON n.doc_id = r.doc_id GROUP BY ALL
+    """,
 }

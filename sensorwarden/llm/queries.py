@@ -11,6 +11,7 @@ from .byte_bpe import encode_documents
 from .common import utf8_sha256
 from .decontaminate import contained_items
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_components
 from .line_dedup import line_dedup
 from .oracle import ORACLE as ORACLE
 from .quality import score_quality
@@ -83,6 +84,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_documents(spark, sf_dir), min_docs=10, min_chars=1)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_documents(spark, sf_dir), percent=85, words=4)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_exact_dedup": op2_exact_dedup,
@@ -93,4 +98,5 @@ QUERIES = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
+    "op10_jaccard_join": op10_jaccard_join,
 }
