@@ -86,22 +86,66 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield runs.taken(last=True)
 
 
-def exact_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256.
-
-    Texts are equal when identical without white space; null counts as empty. Of equal texts the longest original stays,
-    then the smallest id; a null id comes after all others. Of rows repeated with one id and text exactly one is kept. An
-    empty table gives no rows; other columns of the input are not read.
-    """
-    spark = documents.sparkSession
+def _ranged(documents: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
+    """Rows with id, content and sha in content order, dealt to ranges by sampled splitters."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = documents.select(
         F.col(id_col).cast("bigint").alias("id"),
         without_spaces(text).alias("content"),
         (-F.length(text)).alias("shorter"),
+        *more,
     ).withColumn("sha", utf8_sha256(F.col("content")))
     key = [F.substring("content", 1, HEAD), F.col("sha"), F.col("shorter"), F.col("id").asc_nulls_last()]
-    ranged = rows.repartitionByRange(partitions(spark), *key).sortWithinPartitions(*key)
+    return rows.repartitionByRange(partitions(documents.sparkSession), *key).sortWithinPartitions(*key)
+
+
+def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each run, with the range's even edge if the run opens the range; at last an odd edge without a row."""
+    from pyspark import TaskContext
+
+    part = TaskContext.get().partitionId()
+    sha = content = kind = None
+    runs = 0
+    for batch in batches:
+        rows, shas, contents = batch["row"], batch["sha"].to_pylist(), batch["content"]
+        kind, take, edges, opening = rows.type, [], [], []
+        for i, now in enumerate(shas):
+            text = contents[i].as_py()
+            if runs and now == sha and text == content:
+                continue
+            take.append(i)
+            edges.append(None if runs else part * 2)
+            opening.append(None if runs else text)
+            sha, content, runs = now, text, runs + 1
+        columns = [rows.take(pa.array(take, pa.int64())), pa.array(edges, pa.int64()), pa.array(opening, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=["row", "edge", "content"])
+    if runs:
+        columns = [pa.nulls(1, kind), pa.array([part * 2 + 1], pa.int64()), pa.array([content], pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=["row", "edge", "content"])
+
+
+def distinct_rows(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that ``exact_dedup`` keeps, with all their columns; texts are shuffled once."""
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    ranged = _ranged(documents, id_col, text_col, row.alias("row")).select("row", "sha", "content")
+    schema = T.StructType([ranged.schema["row"], T.StructField("edge", T.LongType()), T.StructField("content", T.StringType())])
+    schema["row"].nullable = True
+    found = written(ranged.mapInArrow(_firsts, schema), "exact-firsts")
+    # at most two rows per range
+    first = found.filter("edge is not null").groupBy("content").agg(F.min("edge").alias("first_edge"), F.collect_set("edge").alias("edges"))
+    again = first.select(F.explode("edges").alias("edge"), "first_edge").filter("edge > first_edge").select("edge")
+    kept = found.filter(F.col("row").isNotNull()).join(F.broadcast(again), "edge", "left_anti")
+    return kept.select("row.*")
+
+
+def exact_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, keep_id, group_size, kept, text_sha256.
+
+    Texts are equal when identical without white space; null counts as empty. Of equal texts the longest original stays,
+    then the smallest id; a null id comes after all others. Of rows repeated with one id and text exactly one is kept. An
+    empty table gives no rows; other columns of the input are not read.
+    """
+    ranged = _ranged(documents, id_col, text_col)
     found = written(ranged.select("id", "sha", "content").mapInArrow(_neighbours, RESULT), "exact-runs")
 
     # at most two runs per range: first and last; equal border texts are one group
