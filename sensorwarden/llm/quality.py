@@ -31,15 +31,16 @@ COMMON = frozenset(
 
 BAD, NONE, GOOD = 0, 1, 2
 
-#: Share of the document at which a heuristic votes: (name, bad if above, good if below); common words count the other way.
+#: Share of the document at which a heuristic votes, and the words it needs: (name, bad if above, good if below, words).
+#: Most only know a fault.
 HEURISTICS = (
-    ("repeated neighbours", 0.25, 0.05),
-    ("symbols", 0.10, 0.06),
-    ("upper case", 0.40, 0.15),
-    ("few common words", 0.97, 0.90),
-    ("table cells", 0.15, 0.02),
-    ("odd word ends", 0.45, 0.25),
-    ("few distinct words", 0.75, 0.60),
+    ("repeated neighbours", 0.20, -1.0, 4),
+    ("symbols", 0.10, -1.0, 18),
+    ("upper case", 0.35, -1.0, 4),
+    ("few common words", 0.97, 0.90, 18),
+    ("table cells", 0.10, -1.0, 4),
+    ("odd word ends", 0.45, 0.25, 18),
+    ("few distinct words", 0.80, -1.0, 18),
 )
 
 
@@ -87,8 +88,8 @@ def shares(text: str, shapes: Shapes) -> tuple[np.ndarray, np.ndarray, int]:
 def votes(found: np.ndarray, n_words: int) -> int:
     """The heuristics' votes as one number in base 3; a text without words gets bad votes only."""
     pattern = 0
-    for share, (_, above, below) in zip(found, HEURISTICS, strict=True):
-        vote = BAD if not n_words or share > above else GOOD if share < below else NONE
+    for share, (_, above, below, least) in zip(found, HEURISTICS, strict=True):
+        vote = BAD if not n_words else NONE if n_words < least else BAD if share > above else GOOD if share < below else NONE
         pattern = pattern * 3 + vote
     return pattern
 
@@ -102,10 +103,11 @@ def unpacked(patterns: np.ndarray) -> np.ndarray:
 def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[dict[int, float], np.ndarray]:
     """Posterior of good per pattern, and each heuristic's P(vote | class) as [class, heuristic, vote].
 
-    Starts from the majority of votes; add-one smoothing keeps every probability above 0.
+    A heuristic that does not vote says nothing. Starts from the votes, where a bad one weighs more, as junk has one fault
+    and not all; add-one smoothing keeps every probability above 0.
     """
     ballots = unpacked(patterns)
-    balance = (ballots == GOOD).sum(1) - 2.0 * (ballots == BAD).sum(1)  # a bad sign weighs more: junk has one fault, not all
+    balance = (ballots == GOOD).sum(1) - 3.0 * (ballots == BAD).sum(1)
     good = 1 / (1 + np.exp(-np.clip(balance, -30, 30)))
     chance = np.zeros((2, len(HEURISTICS), 3))
     for _ in range(rounds):
@@ -114,8 +116,9 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tu
                 chance[side, :, vote] = ((ballots == vote) * weight[:, None]).sum(0) + 1
         chance /= chance.sum(2, keepdims=True)
         prior = np.clip((counts * good).sum() / max(counts.sum(), 1), 1e-3, 1 - 1e-3)
-        picked = np.log(chance[:, np.arange(len(HEURISTICS))[None], ballots]).sum(2)
-        odds = np.log(prior / (1 - prior)) + picked[1] - picked[0]
+        ratio = np.log(chance[1] / chance[0])
+        ratio[:, NONE] = 0
+        odds = np.log(prior / (1 - prior)) + ratio[np.arange(len(HEURISTICS))[None], ballots].sum(1)
         good = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return dict(zip(patterns.tolist(), good.tolist(), strict=True)), chance
 
