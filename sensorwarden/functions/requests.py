@@ -25,8 +25,10 @@ UNKNOWN_NODE = "Unknown node"
 BAD_BUZZER = "Invalid node or buzzer type"
 BAD_BODY = "Invalid request body"
 
-FLOAT_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
-INT_TEXT = r"^\s*[+-]?\d+\s*$"
+# numbers as text; single underscores between digits are allowed
+DIGITS = r"\d+(_\d+)*"
+FLOAT_TEXT = rf"^\s*[+-]?({DIGITS}(\.({DIGITS})?)?|\.{DIGITS})([eE][+-]?{DIGITS})?\s*$"
+INT_TEXT = rf"^\s*[+-]?{DIGITS}\s*$"
 INFINITE_TEXT = r"^\s*[+-]?(?i:inf|infinity)\s*$"
 
 
@@ -68,13 +70,17 @@ def _text(name: str) -> Column:
     return F.when(F.col(f"{name}_kind") == "STRING", F.col(f"{name}_text"))
 
 
+def _number_of(text: Column) -> Column:
+    return F.replace(F.trim(text), F.lit("_"), F.lit("")).try_cast("double")
+
+
 def _as_float(name: str) -> Column:
     """Float reading of a JSON scalar, NULL where the conversion fails."""
     kind, text = F.col(f"{name}_kind"), F.col(f"{name}_text")
     infinite = F.when(text.contains("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
     return F.when(is_number(kind) | (kind == "BOOLEAN"), F.col(f"{name}_number")).when(
         kind == "STRING",
-        F.when(text.rlike(FLOAT_TEXT), F.trim(text).try_cast("double")).when(text.rlike(INFINITE_TEXT), infinite),
+        F.when(text.rlike(FLOAT_TEXT), _number_of(text)).when(text.rlike(INFINITE_TEXT), infinite),
     )
 
 
@@ -82,7 +88,7 @@ def _as_int(name: str) -> Column:
     """Integer reading: a JSON number is truncated, text must be a whole number; kept as double to compare."""
     kind, text, value = F.col(f"{name}_kind"), F.col(f"{name}_text"), F.col(f"{name}_number")
     return F.when(is_number(kind) | (kind == "BOOLEAN"), F.signum(value) * F.floor(F.abs(value))).when(
-        (kind == "STRING") & text.rlike(INT_TEXT), F.trim(text).try_cast("double")
+        (kind == "STRING") & text.rlike(INT_TEXT), _number_of(text)
     )
 
 
@@ -143,8 +149,19 @@ def mute_requests(bodies: DataFrame) -> DataFrame:
     )
 
 
+def _decimal_text(value: Column) -> Column:
+    """Shortest text of a number in [0, 100]: plain down to 0.0001, below that as 5e-05."""
+    text = value.cast("string")
+    parts = r"^(\d)\.(\d+)E-(\d+)$"
+    first, rest, power = (F.regexp_extract(text, parts, k) for k in (1, 2, 3))
+    rest = F.when(rest == "0", "").otherwise(rest)
+    small = F.concat(first, F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)), F.lit("e-"), F.lpad(power, 2, "0"))
+    plain = F.concat(F.lit("0.000"), first, rest)
+    return F.when(~text.rlike(parts), text).when(power == "4", plain).otherwise(small)
+
+
 def _value_text(kind: Column, value: Column) -> Column:
-    return F.when(kind.startswith("temp"), value.cast("string")).otherwise(value.cast("bigint").cast("string"))
+    return F.when(kind.startswith("temp"), _decimal_text(value)).otherwise(value.cast("bigint").cast("string"))
 
 
 def threshold_commands(requests: DataFrame) -> DataFrame:

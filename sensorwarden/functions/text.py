@@ -55,7 +55,8 @@ def cut(text: Column, length: int) -> Column:
 
 
 def log_line(epoch: Column, severity: Column, node_id: Column, description: Column) -> Column:
-    """One line of the security alert log."""
+    """One line of the security alert log; a clock outside the calendar is printed as its number."""
+    stamp = F.coalesce(utc_stamp(epoch), F.concat(F.lit("["), epoch.cast("string"), F.lit("]")), F.lit("[no time]"))
     return F.concat(
-        utc_stamp(epoch), F.lit(" ["), severity, F.lit("] "), node_id, F.lit(" — "), description
+        stamp, F.lit(" ["), severity, F.lit("] "), node_id, F.lit(" — "), description
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorwarden.config import Rules
@@ -12,7 +12,6 @@ from sensorwarden.functions.naming import COMMAND_NODES, DASHBOARD_NAME, dashboa
 from sensorwarden.functions.text import cut, log_line
 from sensorwarden.operators.detect import is_humi_jump, is_temp_jump, is_ts_regression
 from sensorwarden.operators.health import effective_status, offline_at
-from sensorwarden.operators.latest import node_index
 from sensorwarden.operators.thresholds import with_thresholds
 
 # Event name -> trap type number.
@@ -129,11 +128,9 @@ def oid_rows(exported: DataFrame, rules: Rules = Rules()) -> DataFrame:
     Nodes beyond the last slot are not exported, and an empty slot or missing sensor shows the no-data
     value.
     """
-    # only the first slots can be exported: keep those rows before anything is numbered
+    # only the first slots can be exported: those few rows are numbered in one task
     first = exported.orderBy("first_seq").limit(rules.export_slots)
-    slotted = first.join(
-        node_index(first.select("node_id", F.col("first_seq").alias("seq"))).select("node_id", "node_index"), "node_id"
-    )
+    slotted = first.withColumn("node_index", F.row_number().over(Window.orderBy("first_seq")).cast("bigint"))
     slots = exported.sparkSession.range(1, rules.export_slots + 1).select(F.col("id").alias("node_index"))
     rows = slots.join(slotted, "node_index", "left")
     cells = [

@@ -86,26 +86,26 @@ def node_history(logs: DataFrame, device_id: Column | int, since: int, until: in
 
 
 def recent_events(events: DataFrame, now: Column | int, rules: Rules = Rules()) -> DataFrame:
-    """Newest events for the event list; one startup row when there is none."""
-    rows = (
-        events.orderBy(F.col("timestamp").desc(), F.col("id").desc())
-        .limit(rules.event_limit)
-        .select(
-            F.row_number().over(Window.orderBy(F.col("timestamp").desc(), F.col("id").desc())).alias("position"),
-            clock(F.col("timestamp")).alias("time"),
-            "description",
-            F.lower("severity").alias("type"),
-        )
-    )
+    """Newest events for the event list; one startup row when there is none.
+
+    The startup row ranks behind every event, so one pass over the events tells whether it is needed.
+    """
     now = now if isinstance(now, Column) else F.lit(now).cast("bigint")
+    told = events.select(F.lit(1).alias("real"), "timestamp", "id", "description", F.lower("severity").alias("type"))
     startup = events.sparkSession.range(1).select(
-        F.lit(1).alias("position"),
-        clock(now).alias("time"),
+        F.lit(0).alias("real"),
+        now.alias("timestamp"),
+        F.lit(0).cast("bigint").alias("id"),
         F.lit("System started and dashboard initialized").alias("description"),
         F.lit("startup").alias("type"),
     )
-    filled = rows.select("position").limit(1)
-    return rows.unionByName(startup.join(filled, "position", "left_anti"))
+    newest = [F.col(name).desc() for name in ("real", "timestamp", "id")]
+    rows = told.unionByName(startup).orderBy(*newest).limit(rules.event_limit)
+    return (
+        rows.withColumn("position", F.row_number().over(Window.orderBy(*newest)))
+        .filter((F.col("real") == 1) | (F.col("position") == 1))
+        .select("position", clock(F.col("timestamp")).alias("time"), "description", "type")
+    )
 
 
 def events_by_severity(events: DataFrame) -> DataFrame:

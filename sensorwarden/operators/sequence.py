@@ -11,13 +11,11 @@ previous micro-batch when the messages are a stream.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from sensorwarden.config import Rules
-from sensorwarden.operators.skew import hot_keys, lookup, span_of
+from sensorwarden.operators.skew import hot_spans, lookup, with_span
 from sensorwarden.schemas import LAST_FIELDS, LAST_READING
 
 FIRST_SEQ = -(2**63)
@@ -45,14 +43,12 @@ def _true(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def screen(
-    readings: DataFrame, devices: DataFrame, rules: Rules = Rules(), hot: Sequence | None = None
-) -> DataFrame:
+def screen(readings: DataFrame, devices: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Whitelist check: ``known`` is true for nodes in ``devices``; also their stored id mark."""
     listed = devices.select(
         "node_id", F.col("id").alias("device_id"), F.col("last_msg_id").alias("seed"), F.lit(True).alias("_listed")
     )
-    joined = lookup(readings, listed, "node_id", rules.broadcast_rows, rules.hot_rows, hot)
+    joined = lookup(readings, listed, "node_id", rules.broadcast_rows)
     return joined.withColumn("known", _true(F.col("_listed"))).drop("_listed")
 
 
@@ -121,10 +117,13 @@ def follow(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
     )
 
 
-def spans(readings: DataFrame, devices: DataFrame, rules: Rules, hot: Sequence) -> DataFrame:
-    return screen(readings, devices, rules, hot).withColumn(
-        "span", span_of(F.col("node_id"), F.col("seq"), hot, rules.chunk_rows)
-    )
+def count_hot(readings: DataFrame, rules: Rules = Rules()) -> DataFrame | bool:
+    """The nodes that are cut into spans of about ``chunk_rows`` rows; False if no node is that large."""
+    return hot_spans(readings, "node_id", "seq", rules.hot_rows, rules.chunk_rows)
+
+
+def spans(readings: DataFrame, devices: DataFrame, rules: Rules, hot: DataFrame | bool) -> DataFrame:
+    return with_span(screen(readings, devices, rules), "node_id", "seq", hot, rules.broadcast_rows)
 
 
 def trace(
@@ -132,15 +131,15 @@ def trace(
     devices: DataFrame,
     rules: Rules = Rules(),
     state: DataFrame | None = None,
-    hot: Sequence | None = None,
+    hot: DataFrame | bool | None = None,
 ) -> DataFrame:
     """All readings, each with the verdict columns of ``screen``, ``mark_replays`` and ``follow``.
 
-    ``state`` is what ``node_state`` returned for all earlier messages; ``hot`` may name the nodes to cut
-    into spans when the caller knows them, otherwise they are counted.
+    ``state`` is what ``node_state`` returned for all earlier messages; ``hot`` may be what ``count_hot`` returned when
+    the caller has it, otherwise nodes are counted.
     """
     if hot is None:
-        hot = hot_keys(readings, "node_id", rules.hot_rows)
+        hot = count_hot(readings, rules)
     rows = spans(readings, devices, rules, hot)
     edges = _joined_edges(state, hot, lambda: _span_edges(rows, rules, state, hot))
     return _messages(follow(mark_replays(_with_edges(rows, edges), rules), rules))
@@ -151,11 +150,11 @@ def replays(
     devices: DataFrame,
     rules: Rules = Rules(),
     state: DataFrame | None = None,
-    hot: Sequence | None = None,
+    hot: DataFrame | bool | None = None,
 ) -> DataFrame:
     """Like ``trace`` but only up to the replay verdict."""
     if hot is None:
-        hot = hot_keys(readings, "node_id", rules.hot_rows)
+        hot = count_hot(readings, rules)
     rows = spans(readings, devices, rules, hot)
     edges = _joined_edges(state, hot, lambda: _mark_edges(rows, state, hot))
     return _messages(mark_replays(_with_edges(rows, edges), rules))
@@ -196,7 +195,7 @@ def _with_edges(rows: DataFrame, edges: DataFrame | None) -> DataFrame:
 
 
 def _messages(rows: DataFrame) -> DataFrame:
-    working = [*EDGE_COLUMNS, "_arrival", "ordinal", "fault_at", "broken_at", "healed_at"]
+    working = [*EDGE_COLUMNS, "hot", "_arrival", "ordinal", "fault_at", "broken_at", "healed_at"]
     return rows.filter(F.col("opens").isNull()).drop(*working)
 
 
@@ -224,10 +223,10 @@ def _unpack(table: DataFrame, *edges: Column) -> DataFrame:
     return table.select(F.explode(F.array(*edges)).alias("edge")).select("edge.*")
 
 
-def _joined_edges(state: DataFrame | None, hot: Sequence, span_edges) -> DataFrame | None:
+def _joined_edges(state: DataFrame | None, hot: DataFrame | bool, span_edges) -> DataFrame | None:
     edges = None
     if state is not None:
-        cold = state.filter(~F.col("node_id").isin(list(hot))) if hot else state
+        cold = state if hot is False else state.join(hot.select("node_id"), "node_id", "left_anti")
         edges = _unpack(
             cold.withColumn("span", F.lit(0).cast("bigint")),
             _edge(
@@ -238,16 +237,16 @@ def _joined_edges(state: DataFrame | None, hot: Sequence, span_edges) -> DataFra
                 last_in=F.col("last"),
             ),
         )
-    if hot:
+    if hot is not False:
         edges = span_edges() if edges is None else edges.unionByName(span_edges())
     return edges
 
 
-def _hot_state(state: DataFrame | None, hot: Sequence) -> DataFrame | None:
+def _hot_state(state: DataFrame | None, hot: DataFrame | bool) -> DataFrame | None:
     """Earlier state of the hot nodes as a span before all others."""
     if state is None:
         return None
-    return state.filter(F.col("node_id").isin(list(hot))).withColumn("span", F.lit(FIRST_SEQ))
+    return state.join(hot.select("node_id"), "node_id", "left_semi").withColumn("span", F.lit(FIRST_SEQ))
 
 
 def _spans() -> WindowSpec:
@@ -262,10 +261,10 @@ def _up_to_span() -> WindowSpec:
     return _spans().rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _mark_edges(rows: DataFrame, state: DataFrame | None, hot: Sequence) -> DataFrame:
+def _mark_edges(rows: DataFrame, state: DataFrame | None, hot: DataFrame | bool) -> DataFrame:
     """Opening rows of the spans of hot nodes, carrying the id mark only."""
     highest = (
-        rows.filter(F.col("known") & F.col("node_id").isin(list(hot)))
+        rows.filter(F.col("known") & F.col("hot"))
         .groupBy("node_id", "span")
         .agg(F.max("msg_id").alias("mark"))
     )
@@ -276,13 +275,13 @@ def _mark_edges(rows: DataFrame, state: DataFrame | None, hot: Sequence) -> Data
     return _unpack(openings, _edge(True, msg_id=F.col("mark")))
 
 
-def _span_edges(rows: DataFrame, rules: Rules, state: DataFrame | None, hot: Sequence) -> DataFrame:
+def _span_edges(rows: DataFrame, rules: Rules, state: DataFrame | None, hot: DataFrame | bool) -> DataFrame:
     """Opening and closing rows of the spans of hot nodes.
 
     First the marks are accumulated over spans, which settles the replays; then each span is followed on
     its own, summarised to one row, and the summaries are accumulated.
     """
-    part = rows.filter(F.col("known") & F.col("node_id").isin(list(hot)))
+    part = rows.filter(F.col("known") & F.col("hot"))
     alone = follow(mark_replays(_with_edges(part, _mark_edges(rows, state, hot)), rules), rules)
     leading = F.col("good") & F.col("broken_at").isNull()
     summary = (

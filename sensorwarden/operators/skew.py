@@ -2,49 +2,49 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorwarden.session import cut_lineage
+
 
-def hot_keys(rows: DataFrame, key: str, limit: int) -> list:
-    """Keys with more than ``limit`` rows.
+def hot_spans(rows: DataFrame, key: str, order: str, limit: int, width: int) -> DataFrame | bool:
+    """(key, first, step) of every key with more than ``limit`` rows, False if there is none.
 
-    A counting pass over one column, combined map-side; at most rows/limit keys come back.
+    A counting pass over two columns, combined map-side. ``step`` cuts the key's range of ``order`` values into as many
+    spans as it has ``width`` rows, however sparse the values are. The table stays distributed.
     """
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit)
-    return [row[0] for row in counts.filter(F.col(key).isNotNull()).select(key).collect()]
+    sizes = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), F.min(order).alias("first"), F.max(order).alias("last")
+    )
+    table = sizes.filter(F.col("n") > limit).select(
+        key, "first", F.expr(f"(last - first) div ((n + {width - 1}) div {width}) + 1").alias("step")
+    )
+    table = cut_lineage(table)
+    return False if table.isEmpty() else table
 
 
-def span_of(key: Column, seq: Column, hot: Sequence, width: int) -> Column:
-    """Seq span a row belongs to: hot keys are cut every ``width`` seq values, others form one span."""
-    if not hot:
-        return F.lit(0).cast("bigint")
-    return F.when(key.isin(list(hot)), F.floor(seq / F.lit(width))).otherwise(F.lit(0)).cast("bigint")
+def with_span(rows: DataFrame, key: str, order: str, hot: DataFrame | bool, limit: int) -> DataFrame:
+    """Adds ``span`` (0 for keys that are not cut) and ``hot``."""
+    if hot is False:
+        return rows.withColumns({"span": F.lit(0).cast("bigint"), "hot": F.lit(False)})
+    table = hot.select(key, F.col("first").alias("_first"), F.col("step").alias("_step"))
+    joined = rows.join(F.broadcast(table) if is_small(table, limit) else table, key, "left")
+    span = F.expr(f"({order} - _first) div _step")
+    return joined.withColumns(
+        {"span": F.coalesce(span, F.lit(0)).cast("bigint"), "hot": F.col("_step").isNotNull()}
+    ).drop("_first", "_step")
 
 
 def is_small(table: DataFrame, limit: int) -> bool:
     return table.limit(limit + 1).count() <= limit
 
 
-def lookup(
-    rows: DataFrame, table: DataFrame, key: str, limit: int, hot_limit: int, hot: Sequence | None = None
-) -> DataFrame:
-    """Left join of a table with unique keys.
-
-    Up to ``limit`` rows the table is broadcast. Beyond it the rows of hot keys meet only the table rows
-    of those few keys, again by broadcast, and all other rows are shuffled on the key.
+def lookup(rows: DataFrame, table: DataFrame, key: str, limit: int) -> DataFrame:
+    """Left join of a table with unique keys: broadcast up to ``limit`` rows, beyond that a join whose skewed partitions
+    adaptive execution splits.
     """
-    if is_small(table, limit):
-        return rows.join(F.broadcast(table), key, "left")
-    if hot is None:
-        hot = hot_keys(rows, key, hot_limit)
-    if not hot:
-        return rows.join(table, key, "left")
-    in_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
-    head = rows.filter(in_hot).join(F.broadcast(table.filter(in_hot)), key, "left")
-    return head.unionByName(rows.filter(~in_hot).join(table, key, "left"))
+    return rows.join(F.broadcast(table) if is_small(table, limit) else table, key, "left")
 
 
 def ranked(rows: DataFrame, order: str, width: int, name: str, start: Column | int = 0) -> DataFrame:
@@ -53,7 +53,7 @@ def ranked(rows: DataFrame, order: str, width: int, name: str, start: Column | i
     Rows are numbered inside value spans of ``width``; the spans' counts are accumulated on the small
     table of spans and added as an offset.
     """
-    span = F.floor(F.col(order) / F.lit(width))
+    span = F.expr(f"{order} div {width}")
     numbered = rows.withColumn("_span", span)
     sizes = numbered.groupBy("_span").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)

@@ -42,7 +42,7 @@ def threshold_alerts(readings: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def with_thresholds(rows: DataFrame, thresholds: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The node's thresholds on every row, the default set for nodes without a row of their own."""
     table = thresholds.select("node_id", *THRESHOLD_TYPES, F.lit(True).alias("_own"))
-    joined = lookup(rows, table, "node_id", rules.broadcast_rows, rules.hot_rows)
+    joined = lookup(rows, table, "node_id", rules.broadcast_rows)
     own = F.coalesce(F.col("_own"), F.lit(False))
     defaults = {
         "gas_warn": F.lit(rules.default_gas_warn),

@@ -326,6 +326,7 @@ ORACLE = {
     "gas_jump": _with("accepted") + """select seq, node_id, gas, p_gas as prev_gas, abs(gas - p_gas) as delta, received_at
       from accepted where gas >= 0 and p_gas >= 0 and abs(gas - p_gas) > 200""",
     "security_events": _with("all_events") + "select * from all_events",
+    "spanned_events": _with("all_events") + "select * from all_events",
     "accepted_readings": _with("accepted") + """select seq, node_id, status, temperature, msg_id, mark, received_at,
       p_seq as prev_seq, p_temp as prev_temperature, p_msg as prev_msg_id from accepted""",
     "recovery_events": _event_query("device_recovered", "fresh"),

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorwarden.functions import encode, enums, naming, parsing, requests, text, topics
 from sensorwarden.operators import counters, detect, export, health, latest, maintenance, sequence, thresholds
-from sensorwarden.operators.skew import hot_keys
 from sensorwarden.plans import fleet
 from sensorwarden.session import apply_engine_conf
 from sensorwarden.sources import messages, tables
@@ -208,10 +208,15 @@ def offline_events(spark, sf_dir):
 
 @query
 def liveness_sessions(spark, sf_dir):
-    readings = fleet.readings(spark, sf_dir)
-    hot = hot_keys(readings, "node_id", RULES.hot_rows)
-    traced = sequence.trace(readings, fleet.devices(spark), RULES, hot=hot)
-    return health.liveness_sessions(traced, RULES, spanned=bool(hot))
+    return health.liveness_sessions(_traced(spark, sf_dir), RULES)
+
+
+@query
+def spanned_events(spark, sf_dir):
+    """All security events with every node above 200 messages cut into spans of about 97 rows."""
+    rules = replace(RULES, hot_rows=200, chunk_rows=97)
+    traced = sequence.trace(fleet.readings(spark, sf_dir), fleet.devices(spark), rules)
+    return detect.security_events(traced, fleet.last_arrival(spark, sf_dir), rules)
 
 
 @query
@@ -232,7 +237,7 @@ def pipeline_counters(spark, sf_dir):
     """Counters of the whole run from raw messages on."""
     received = messages.counted(fleet.raw_messages(spark, sf_dir))
     readings = parsing.valid_readings(parsing.parse_messages(received, RULES))
-    hot = hot_keys(messages.named(received), "node_id", RULES.hot_rows)
+    hot = sequence.count_hot(messages.named(received), RULES)
     traced = sequence.trace(readings, fleet.devices(spark), RULES, hot=hot)
     return counters.pipeline_counters(traced, fleet.last_arrival(spark, sf_dir), RULES, received)
 

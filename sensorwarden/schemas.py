@@ -1,7 +1,5 @@
 """Schemas of the stored and exchanged tables."""
 
-from pyspark.sql import types as T
-
 RAW_MESSAGE = "seq BIGINT, topic STRING, payload STRING, retain BOOLEAN, received_at BIGINT"
 
 READING = (
@@ -37,7 +35,3 @@ LAST_READING = (
 
 # Per-node memory between two stretches of the message sequence (micro-batches or seq spans).
 NODE_STATE = f"node_id STRING, mark BIGINT, streak INT, faulty BOOLEAN, last STRUCT<{LAST_READING}>"
-
-
-def struct_type(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)

@@ -51,4 +51,4 @@ def named(raw: DataFrame) -> DataFrame:
 
     Good enough to find the nodes with many messages: which nodes are cut into spans never changes a result.
     """
-    return raw.select(F.get_json_object("payload", "$.node_id").alias("node_id"))
+    return raw.select("seq", F.get_json_object("payload", "$.node_id").alias("node_id"))

@@ -81,11 +81,3 @@ def heartbeats(beats: DataFrame, rules: Rules = Rules()) -> DataFrame:
         outputMode="append",
         timeMode="processingTime",
     )
-
-
-STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    )
-}
-

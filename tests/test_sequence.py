@@ -227,7 +227,7 @@ def test_offline_goldens(spark):
 def test_plan_has_one_shuffle_and_one_sort(spark):
     messages = make_messages(10)
     readings, devices = frames(spark, messages)
-    traced = sequence.trace(readings, devices, Rules(), hot=[])
+    traced = sequence.trace(readings, devices, Rules(), hot=False)
     plan = detect.security_events(traced, 2_000_000_000)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
