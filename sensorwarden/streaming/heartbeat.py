@@ -1,24 +1,41 @@
-"""Offline detection while no data arrives: one timer per node in keyed state."""
+"""Offline detection of a stream: every closed silence, and a timer per node for the open one."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from sensorwarden.config import Rules
+from sensorwarden.operators.detect import OFFLINE as OFFLINE_KIND
+from sensorwarden.operators.detect import events_of
+from sensorwarden.operators.maintenance import event_rows
+from sensorwarden.schemas import LAST_READING
 
-BEAT = "seq BIGINT, node_id STRING, received_at BIGINT, status STRING, msg_id BIGINT, fault BOOLEAN"
-OFFLINE = "node_id STRING, offline_at BIGINT, silence_s BIGINT, last_msg_id BIGINT, last_status STRING"
-_STATE = "seq BIGINT, received_at BIGINT, status STRING, msg_id BIGINT"
+_READING = "status STRING, msg_id BIGINT, timestamp BIGINT, temperature FLOAT, humidity FLOAT"
+BEAT = f"seq BIGINT, node_id STRING, received_at BIGINT, {_READING}, accepted BOOLEAN, faulty BOOLEAN"
+OFFLINE = f"seq BIGINT, node_id STRING, received_at BIGINT, {_READING}, offline_at BIGINT"
+_STATE = f"seq BIGINT, silent BOOLEAN, received_at BIGINT, {_READING}"
+_KEPT = [part.split()[0] for part in f"received_at BIGINT, {_READING}".split(", ")]
+
+
+def _plain(value):
+    """A cell of pandas as the state store takes it."""
+    if pd.isna(value):
+        return None
+    return value.item() if hasattr(value, "item") else value
 
 
 class HeartbeatProcessor(StatefulProcessor):
-    """Keeps the last accepted message of a node and a timer at the first scan after the timeout.
+    """Keeps the newest fresh message of a node and, while it may fall silent, a timer at the scan after the timeout.
 
-    A NOT_OPERATING message (``fault``) stops the timer: a faulty node does not go offline. The timer runs on
-    the processing clock; ``received_at`` is the gateway clock, so both are wall clock times.
+    Messages are taken in ``seq`` order by the rule of the batch: an accepted message of a node that is not FAULTY goes
+    offline at that scan unless the next fresh message comes before. Silences that a later message has closed are reported
+    at once, however many a call holds; the timer reports the open one. Timers run on the processing clock; ``received_at``
+    is the gateway clock, so both are wall clock times.
     """
 
     def __init__(self, rules: Rules = Rules()) -> None:
@@ -29,55 +46,86 @@ class HeartbeatProcessor(StatefulProcessor):
         self.handle = handle
         self.last = handle.getValueState("last", _STATE)
 
-    def _scan_ms(self, received_at: int) -> int:
-        return ((received_at + self.timeout_s) // self.interval_s + 1) * self.interval_s * 1000
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        newest = None
-        for row in rows:  # a running maximum, nothing is collected
-            if newest is None or row.seq > newest.seq:
-                newest = row
-        if newest is None:
-            return iter([])
-        known = self.last.get()
-        if known is not None and known[0] is not None and known[0] >= newest.seq:
-            return iter([])
+    def _scan(self, received_at):
+        return ((received_at + self.timeout_s) // self.interval_s + 1) * self.interval_s
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        beats = pd.concat(list(rows)).sort_values("seq")
+        beats["silent"] = beats["accepted"] & ~beats["faulty"] & (beats["received_at"] > 0)
+        known = self.last.get() if self.last.exists() else None
+        if known is not None:
+            beats = beats[beats["seq"] > known[0]]
+            if beats.empty:
+                return
+            before = pd.DataFrame([dict(zip(["seq", "silent", *_KEPT], known, strict=True))])
+            beats = pd.concat([before, beats[["seq", "silent", *_KEPT]]])
+        offline_at = self._scan(beats["received_at"])
+        closed = beats["silent"].astype(bool) & (offline_at < beats["received_at"].shift(-1))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        if newest.fault:
-            self.last.clear()
-        else:
-            self.last.update((newest.seq, newest.received_at, newest.status, newest.msg_id))
-            self.handle.registerTimer(self._scan_ms(newest.received_at))
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        known = self.last.get()
-        if known is None:
-            return iter([])
-        _, received_at, status, msg_id = known
-        offline_at = self._scan_ms(received_at) // 1000
-        self.last.clear()
-        yield Row(
-            node_id=key[0],
-            offline_at=offline_at,
-            silence_s=offline_at - received_at,
-            last_msg_id=msg_id,
-            last_status=status,
-        )
+        newest = beats.iloc[-1]
+        self.last.update(tuple(_plain(newest[name]) for name in ("seq", "silent", *_KEPT)))
+        if newest["silent"]:
+            self.handle.registerTimer(int(self._scan(newest["received_at"])) * 1000)
+        if closed.any():
+            yield self._found(key, beats[closed], offline_at[closed])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        known = self.last.get() if self.last.exists() else None
+        if known is None or not known[1]:
+            return
+        self.last.update((known[0], False, *known[2:]))
+        row = pd.DataFrame([dict(zip(["seq", "silent", *_KEPT], known, strict=True))])
+        yield self._found(key, row, self._scan(row["received_at"]))
+
+    @staticmethod
+    def _found(key, beats: pd.DataFrame, offline_at: pd.Series) -> pd.DataFrame:
+        return beats.assign(node_id=key[0], offline_at=offline_at)[["seq", "node_id", *_KEPT, "offline_at"]]
 
     def close(self) -> None:
         pass
 
 
 def heartbeats(beats: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Streaming (seq, node_id, received_at, status, msg_id, fault) of fresh messages -> offline transitions.
+    """Streaming fresh messages (columns of BEAT) -> offline transitions (columns of OFFLINE).
 
     Needs the RocksDB state store. The state is one row per node.
     """
-    return beats.groupBy("node_id").transformWithState(
+    return beats.groupBy("node_id").transformWithStateInPandas(
         statefulProcessor=HeartbeatProcessor(rules),
         outputStructType=OFFLINE,
         outputMode="append",
         timeMode="processingTime",
     )
+
+
+def beats_of(traced: DataFrame) -> DataFrame:
+    """What the processor needs of traced messages."""
+    return traced.filter("fresh").select(*[part.split()[0] for part in BEAT.split(", ")])
+
+
+def offline_event_rows(offline: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Offline transitions as system_events rows, with the ids and texts of the batch."""
+    rows = offline.withColumn("prev", F.lit(None).cast(f"struct<{LAST_READING}>"))
+    return event_rows(events_of(rows, OFFLINE_KIND, rules=rules))
+
+
+def start_heartbeats(
+    spark: SparkSession, traced_path: str, schema, events_path: str, checkpoint: str, rules: Rules = Rules(), **trigger
+) -> StreamingQuery:
+    """Follows the traced messages an ingest writes and appends its offline events to ``events_path``.
+
+    Each batch writes a directory of its own, so a repeated one changes nothing.
+    """
+    traced = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(traced_path)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        offline_event_rows(batch, rules).write.mode("overwrite").parquet(f"{events_path}/offline_batch={batch_id}")
+
+    return (
+        heartbeats(beats_of(traced), rules)
+        .writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+        .start()
+    )

@@ -67,31 +67,27 @@ def test_stream_equals_batch(spark, tmp_path):
     assert all(marks[node] >= mark for node, mark in batch_marks.items())
 
 
-def test_heartbeat_timer(spark, tmp_path):
-    now = int(time.time())
-    folder = tmp_path / "beats"
-    folder.mkdir()
-    rows = [
-        {"seq": 1, "node_id": "quiet", "received_at": now - 100, "status": "OPERATIONAL", "msg_id": 1, "fault": False},
-        {"seq": 2, "node_id": "quiet", "received_at": now - 90, "status": "WARNING", "msg_id": 2, "fault": False},
-        {"seq": 3, "node_id": "alive", "received_at": now + 5000, "status": "OPERATIONAL", "msg_id": 1, "fault": False},
-        {"seq": 4, "node_id": "faulty", "received_at": now - 100, "status": "OPERATIONAL", "msg_id": 1, "fault": False},
-        {"seq": 5, "node_id": "faulty", "received_at": now - 95, "status": "NOT_OPERATING", "msg_id": 2, "fault": True},
-    ]
-    (folder / "a.json").write_text("\n".join(json.dumps(r) for r in rows))
-    beats = spark.readStream.schema(heartbeat.BEAT).json(str(folder))
-    query = (
-        heartbeat.heartbeats(beats)
-        .writeStream.format("memory").queryName("offline_nodes").outputMode("append")
-        .option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(processingTime="1 second").start()
-    )
+def test_heartbeats_equal_batch(spark, tmp_path):
+    """Closed silences of catch-up batches, faults, the open silence at the end: the offline events of the batch."""
+    messages = make_messages(11, 240)
+    readings, devices = frames(spark, messages)
+    up, down = "OPERATIONAL", "NOT_OPERATING"
+    traced = sequence.trace(readings, devices)
+    wanted = detect.offline_events(traced, int(time.time())).select("id", "node_id", "severity", "description", "timestamp").collect()
+    assert len(wanted) > 5 and any(m["status"] == down for m in messages) and any(m["status"] == up for m in messages)
+    for n, (low, high) in enumerate([(0, 100), (100, 101), (101, 10**9)]):
+        traced.filter(f"seq >= {low} and seq < {high}").coalesce(1).write.parquet(str(tmp_path / "traced" / f"batch_id={n}"))
+    schema = spark.read.parquet(str(tmp_path / "traced" / "batch_id=0")).schema
+    query = heartbeat.start_heartbeats(
+        spark, str(tmp_path / "traced"), schema, str(tmp_path / "events"), str(tmp_path / "checkpoint"), processingTime="1 second"
+    )
     try:
-        deadline = time.time() + 90
-        got = []
-        while time.time() < deadline and not got:
-            time.sleep(1)
-            got = spark.table("offline_nodes").collect()
+        deadline, got = time.time() + 150, []
+        while time.time() < deadline and len(got) < len(wanted) and query.isActive:
+            time.sleep(2)
+            if query.lastProgress:
+                got = spark.read.parquet(str(tmp_path / "events")).collect()
+        assert query.exception() is None
     finally:
         query.stop()
-    offline_at = ((now - 90 + 30) // 5 + 1) * 5
-    assert [tuple(r) for r in got] == [("quiet", offline_at, offline_at - now + 90, 2, "WARNING")]
+    assert sorted((r.id, r.node_id, r.severity, r.description, r.timestamp) for r in got) == sorted(map(tuple, wanted))
