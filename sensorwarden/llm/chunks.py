@@ -22,7 +22,7 @@ from .common import written
 CHUNK_BYTES = 4 << 20
 
 #: Values that meet in one bucket, about.
-BUCKET_VALUES = 4_000_000
+BUCKET_VALUES = 2_000_000
 
 CHUNK = "chunk long, ids array<long>, sizes array<long>, blob binary"
 

@@ -10,7 +10,8 @@
    common shingle if that is among the first few.
 5. Pairs of groups are expanded to stars and single documents, whose pivots are verified first. Only where they are not
    linked are the members of stars compared, and of those only the ones that the triangle inequality of the Jaccard
-   distance leaves.
+   distance leaves. Before any verification, the outlines of both sets (shared shingles counted by hash cell) bound what
+   they can have in common.
 The links, fewer than all pairs but enough to connect what is connected, are merged to components.
 """
 
@@ -33,7 +34,10 @@ from .words import mixed, rolling, word_hashes
 #: Shingles before the current one that a posting carries, to see whether a pair was made already.
 CARRIED = 4
 
-PROFILE = "id long, n int, high long, low long, shared int, prefix array<long>, held binary"
+#: Cells of an outline: shared shingles counted by hash.
+CELLS = 128
+
+PROFILE = "id long, n int, high long, low long, shared int, prefix array<long>, outline array<int>, held binary"
 
 
 def sets_of(sizes: list[int], blob: bytes, words: int) -> list[np.ndarray]:
@@ -85,17 +89,24 @@ def frequency_answer(rows: list[tuple]) -> list[bytes]:
 
 
 def profile(ident, shingles: np.ndarray, classes: np.ndarray, percent: int) -> tuple:
-    """id, size, 128-bit digest of the set, number of shared shingles, prefix of shared ones in order, all shared ones."""
+    """id, size, 128-bit digest, number of shared shingles; of them the prefix in order, the outline, and all of them."""
     n = len(shingles)
     high, low = (int(mixed(shingles ^ np.uint64(c)).sum(dtype=np.uint64).astype(np.int64)) for c in (0x5851F42D, 0x14057B7E))
     shared = classes > 0
     k = int(shared.sum())
     length = n - -(-n * percent // 100) + 1 - (n - k)  # of the prefix, without shingles of this document alone
     if n == 0 or length <= 0:
-        return ident, n, high, low, k, None, None
+        return ident, n, high, low, k, None, None, None
     held = shingles[shared]
     prefix = held[np.lexsort((held, classes[shared]))][:length]
-    return ident, n, high, low, k, prefix.view(np.int64), held.tobytes()
+    outline = np.bincount((held >> np.uint64(40)).astype(np.int64) % CELLS, minlength=CELLS).astype(np.int32)
+    return ident, n, high, low, k, prefix.view(np.int64), outline, held.tobytes()
+
+
+def outlines_allow(n_a: str, outline_a: str, n_b: str, outline_b: str, percent: int):
+    """Whether two sets may link: they have no more in common than the smaller count in every cell."""
+    most = F.aggregate(F.zip_with(outline_a, outline_b, lambda a, b: F.least(a, b)), F.lit(0), lambda total, cell: total + cell)
+    return most * (100 + percent) >= percent * (F.col(n_a) + F.col(n_b))
 
 
 def shared_count(a: bytes, b: bytes) -> int:
@@ -142,8 +153,8 @@ def profiles(documents: DataFrame, percent: int, words: int, id_col: str, text_c
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "n", "high", "low", "shared", "prefix", "held"]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+        names = ["id", "n", "high", "low", "shared", "prefix", "outline", "held"]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
         for batch in batches:
             for row in batch.to_pylist():
                 sets = sets_of(row["sizes"], row["blob"], words)
@@ -196,10 +207,20 @@ def jaccard_links(sets: DataFrame, percent: int) -> DataFrame:
 
     # units of paired groups, and units of one group that are not its star: their pivots are compared
     crossed = group_pairs(groups, percent)
-    first = units.select(F.col("pivot").alias("p"), "g")
-    second = units.select(F.col("pivot").alias("q"), F.col("g").alias("h"))
-    own = first.join(second, (F.col("g") == F.col("h")) & (F.col("p") < F.col("q")) & (F.col("p") != F.col("g"))).select("p", "q")
-    other = crossed.join(first, "g").join(second, "h").select("p", "q")
+    outlines = sets.select("id", "n", "outline")
+    outlined = units.join(outlines.withColumnRenamed("id", "pivot"), "pivot").join(radius, "pivot", "left")
+    outlined = written(outlined.select("pivot", "g", "n", "outline", F.col("radius").isNotNull().alias("star")), "outlines")
+
+    def named(unit: str, group: str) -> DataFrame:
+        columns = {"pivot": unit, "g": group, "n": f"n_{unit}", "outline": f"o_{unit}", "star": f"star_{unit}"}
+        return outlined.select(*[F.col(old).alias(new) for old, new in columns.items()])
+
+    first, second = named("p", "g"), named("q", "h")
+    # the pivot of a star is compared even if it cannot link itself: its distance tells which of its members may
+    alike = F.col("star_p") | F.col("star_q") | outlines_allow("n_p", "o_p", "n_q", "o_q", percent)
+    own = first.join(second, (F.col("g") == F.col("h")) & (F.col("p") < F.col("q")) & (F.col("p") != F.col("g")) & alike).select("p", "q")
+    other = crossed.join(first, "g")
+    other = other.join(second, (other["h"] == second["h"]) & alike).select("p", "q")
     pivots = own.unionByName(other).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
     compared = written(verified(pivots, sets), "pivots")
     links = links.unionByName(compared.filter(_linked(percent)).select("a", "b"))
@@ -219,9 +240,14 @@ def jaccard_links(sets: DataFrame, percent: int) -> DataFrame:
     ).select("a", "b", "gap")
     reach = inside.select(F.col("a").alias("pivot"), F.col("b").alias("member"), _distance().alias("d"))
     reach = reach.unionByName(units.select("pivot", F.col("pivot").alias("member"), F.lit(0.0).alias("d")))
-    ours = reach.select(F.col("pivot").alias("a"), F.col("member").alias("x"), F.col("d").alias("dx"))
-    theirs = reach.select(F.col("pivot").alias("b"), F.col("member").alias("y"), F.col("d").alias("dy"))
-    near = F.col("dx") + F.col("dy") + spread + 1e-9 >= F.col("gap")
+    reach = written(reach.join(outlines.withColumnRenamed("id", "member"), "member"), "reach")
+
+    def side(pivot: str, member: str) -> DataFrame:
+        columns = {"pivot": pivot, "member": member, "d": f"d{member}", "n": f"n_{member}", "outline": f"o_{member}"}
+        return reach.select(*[F.col(old).alias(new) for old, new in columns.items()])
+
+    ours, theirs = side("a", "x"), side("b", "y")
+    near = (F.col("dx") + F.col("dy") + spread + 1e-9 >= F.col("gap")) & outlines_allow("n_x", "o_x", "n_y", "o_y", percent)
     # one side after the other: most members fall to the widest radius of the other unit
     half = wide.join(radius.select(F.col("pivot").alias("b"), F.col("radius").alias("rb")), "b", "left").join(ours, "a")
     half = half.filter(F.col("dx") + F.coalesce("rb", F.lit(0.0)) + spread + 1e-9 >= F.col("gap"))
@@ -249,7 +275,7 @@ def jaccard_components(
     # of each class the row with the smallest id stands for it
     usable = filled.filter(F.col("prefix").isNotNull() & F.col("id").isNotNull())
     sets = usable.join(classes, digest).filter("id = rep")
-    one = F.min_by(F.struct("n", "shared", "prefix", "held"), F.struct(*digest)).alias("one")
+    one = F.min_by(F.struct("n", "shared", "prefix", "outline", "held"), F.struct(*digest)).alias("one")
     sets = written(sets.groupBy("id").agg(one).select("id", "one.*"), "sets")
     found = components(jaccard_links(sets, percent))
     mapped = classes.join(found, F.col("rep") == F.col("node"), "left").select(*digest, F.coalesce("component", "rep").alias("component"))
