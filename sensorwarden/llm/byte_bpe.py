@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import ship
+
 #: Bounds of what a Python worker keeps; beyond them a table starts anew.
 MAX_STATES, MAX_PAIRS, MAX_PIECES = 300_000, 400_000, 500_000
 
@@ -234,6 +236,7 @@ def encode_documents(
     The vocabulary file is read by the driver (its size does not depend on the data) and sent to the workers. Null text is
     empty; ids and repeated rows are passed on as they are; an empty table gives no rows.
     """
+    ship(documents.sparkSession)
     with open(ranks_path, "rb") as file:
         sent = documents.sparkSession.sparkContext.broadcast(file.read())
     names = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import ship, written
 
 #: Text bytes of a chunk, about; a longer document is a chunk of its own.
 CHUNK_BYTES = 4 << 20
@@ -67,6 +67,7 @@ def pack(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
         if texts:
             yield chunk()
 
+    ship(documents.sparkSession)
     rows = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     return written(rows.mapInArrow(run, CHUNK), "chunks", codec="none")
 

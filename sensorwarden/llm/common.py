@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,28 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this subpackage to the Python workers, once per application, so that it need not be installed there.
+
+    The archive is made on the driver; Spark hands it to the executors.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="corpus-code-"), "sensorwarden_corpus.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        archive.writestr("sensorwarden/__init__.py", "")
+        for name in sorted(os.listdir(here)):
+            if name.endswith(".py"):
+                archive.write(os.path.join(here, name), f"sensorwarden/llm/{name}")
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def partitions(spark: SparkSession) -> int:
     """Tasks of a shuffle, as the session sizes them."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

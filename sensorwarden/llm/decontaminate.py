@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import ship, written
 from .words import shingle_set, words_of
 
 #: Shingles of the items that are held in memory and searched for at once; more items take more passes.
@@ -99,6 +99,7 @@ def item_blocks(benchmark: DataFrame, percent: int, words: int) -> Iterator[Item
                 [batch.column(0), sizes, pa.array(sets, pa.list_(pa.int64()))], names=["item_id", "n", "shingles"]
             )
 
+    ship(benchmark.sparkSession)
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
     items = written(items.mapInArrow(shingled, "item_id long, n long, shingles array<long>"), "items")
     total = items.agg(F.sum("n")).first()[0] or 0

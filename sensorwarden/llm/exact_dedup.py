@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import partitions, utf8_sha256, without_spaces, written
+from .common import partitions, ship, utf8_sha256, without_spaces, written
 
 #: Code points of the normalised text that lead the sort key.
 HEAD = 16
@@ -88,6 +88,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _ranged(documents: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
     """Rows with id, content and sha in content order, dealt to ranges by sampled splitters."""
+    ship(documents.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = documents.select(
         F.col(id_col).cast("bigint").alias("id"),

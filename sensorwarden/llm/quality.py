@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import ship
+
 #: Hash buckets of the scorer's features.
 BUCKETS = 4096
 
@@ -146,6 +148,7 @@ def score_quality(
     hash of id and text. Null and empty texts have no words, get bad votes only and are scored like any other text; an
     empty table gives no rows.
     """
+    ship(documents.sparkSession)
     place = documents.columns.index(text_col)
 
     def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import ship
+
 
 # Symbols of the character model: a-z, any other letter, anything else (the border of words).
 OTHER, SPACE, SYMBOLS = 26, 27, 28
@@ -67,6 +69,7 @@ def character_counts(documents: DataFrame, text_col: str = "text") -> DataFrame:
         seen = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(totals[seen])], names=["gram", "n"])
 
+    ship(documents.sparkSession)
     counts = documents.select(text_col).mapInArrow(count, "gram long, n long")
     return counts.groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -283,6 +286,7 @@ def fit_toxicity(
 
 def score_toxicity(documents: DataFrame, model: ToxicityModel, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """The input rows with a score from 0 to 1 after their columns; null text is empty and scored by the bias alone."""
+    ship(documents.sparkSession)
     sent = documents.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*documents.schema.fields, T.StructField(score_col, T.DoubleType())])
     place = documents.columns.index(text_col)
