@@ -1,13 +1,14 @@
 """WARC archives of pages, and one globally ordered capture index over them.
 
 Records are written by Spark's text writer: the separator that ends a WARC record is its line separator, so every part
-file is an archive. Reading goes by Content-Length, never by the separator. Each archive yields its captures as a run
+file is an archive, compressed as a whole; offsets are those of the uncompressed archive. Reading goes by Content-Length, never by the separator. Each archive yields its captures as a run
 sorted by (URL key, time, page); the runs are dealt to key ranges, and each range merges its k runs with a loser tree.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import partitions, scratch_path, written
+from .common import partitions, scratch_path, ship, written
 
 #: Payload bytes an archive file holds, about; one file is read by one task.
 ARCHIVE_BYTES = 32 << 20
@@ -70,13 +71,12 @@ def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     )
     light = written(rows.select("page_id", "digest", "size").distinct(), "warc-digests")
     groups = light.filter(F.col("size") >= min_bytes).groupBy("digest", "size").agg(F.max("page_id").alias("response_id"))
-    decided = light.join(groups, ["digest", "size"], "left").select(
-        F.col("page_id").alias("p"), F.col("digest").alias("d"), "response_id"
-    )
+    key = F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.col("digest"))
+    decided = light.join(groups, ["digest", "size"], "left").select(key.alias("key"), "response_id")
     total = light.agg(F.sum("size")).first()[0] or 0
     files = max(1, -(-total // ARCHIVE_BYTES))
-    spread = rows.repartition(files, "page_id")  # the join below keeps this dealing, so files are even
-    return spread.join(decided, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")), "left").drop("p", "d")
+    # the join keeps this dealing: payloads are shuffled once, and files are even
+    return rows.withColumn("key", key).repartition(files, "key").join(decided, "key", "left").drop("key")
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
@@ -108,7 +108,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
         F.octet_length(F.encode(block, "utf-8")).cast("string"),
         F.lit(END),
     )
-    rows.select(F.concat(header, block).alias("value")).write.option("lineSep", END).text(path)
+    rows.select(F.concat(header, block).alias("value")).write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
 def url_key(url: str) -> str:
@@ -176,7 +176,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"], strict=True):
-            yield _batch(captures_of(path.as_py(), content.as_py()))
+            yield _batch(captures_of(path.as_py(), gzip.decompress(content.as_py())))
 
 
 class LoserTree:
@@ -238,6 +238,7 @@ def merged_index(spark: SparkSession, path: str) -> DataFrame:
 
     Every partition is a key range and sorted; partition numbers follow the order.
     """
+    ship(spark)
     runs = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(_runs, CAPTURE)
     runs = written(runs, "warc-runs")
     key = ["urlkey", "ts", F.col("page_id").asc_nulls_last(), "archive", "seq"]
