@@ -39,10 +39,8 @@ def latest_by_device_clock(logs: DataFrame, devices: DataFrame, rules: Rules = R
 
 def latest_with_ties(logs: DataFrame, devices: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Rows whose device clock is their device's maximum; ties give several rows."""
+    # one row per logged device; adaptive execution broadcasts it where its measured size allows
     newest = logs.groupBy("device_id").agg(F.max("timestamp").alias("timestamp"))
-    # one row per logged device, so the device table bounds its size
-    if is_small(devices, rules.broadcast_rows):
-        newest = F.broadcast(newest)
     tied = logs.join(newest, ["device_id", "timestamp"], "left_semi")
     return attach_device(tied, devices, rules.broadcast_rows)
 

@@ -28,10 +28,16 @@ def read_kafka(spark: SparkSession, servers: str, topics: str, stream: bool = Tr
     return from_kafka(records)
 
 
+#: Topic partitions whose messages still get a seq of their own.
+MAX_PARTITIONS = 65536
+
+
 def from_kafka(records: DataFrame) -> DataFrame:
     # partition number in the low bits keeps seq unique without changing the order inside a partition
+    seq = F.col("offset") * MAX_PARTITIONS + F.col("partition")
+    too_many = F.raise_error(F.lit(f"a topic with more than {MAX_PARTITIONS} partitions would repeat seq values"))
     return records.select(
-        (F.col("offset") * 65536 + F.col("partition")).alias("seq"),
+        F.when(F.col("partition") < MAX_PARTITIONS, seq).otherwise(too_many.cast("bigint")).alias("seq"),
         F.col("key").cast("string").alias("topic"),
         F.col("value").cast("string").alias("payload"),
         F.lit(False).alias("retain"),

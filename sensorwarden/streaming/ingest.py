@@ -56,7 +56,9 @@ def process_batch(
     parsed = spark.read.schema(parsed.schema).parquet(landing.table("parsed", batch_id))
     rejects(parsed, rules).write.mode("overwrite").parquet(landing.table("quarantine", batch_id))
 
-    traced = trace(valid_readings(parsed), devices, rules, state=state)
+    # only nodes with messages in this batch need their memory as opening rows
+    met = None if state is None else state.join(parsed.select("node_id").distinct(), "node_id", "left_semi")
+    traced = trace(valid_readings(parsed), devices, rules, state=met)
     traced.write.mode("overwrite").parquet(landing.table("traced", batch_id))
     traced = spark.read.schema(traced.schema).parquet(landing.table("traced", batch_id))
     (

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorwarden.config import Rules
-from sensorwarden.functions import encode, naming, parsing, text, topics
+from sensorwarden.functions import encode, naming, parsing, requests, text, topics
 from sensorwarden.schemas import RAW_MESSAGE
 from sensorwarden.sources import messages
 
@@ -220,6 +220,29 @@ def test_kafka_shape(spark):
     )
 
 
+def test_kafka_partitions_beyond_the_seq_bits_fail(spark):
+    records = spark.createDataFrame(
+        [(b"t", b"{}", 65536, 1)], "key binary, value binary, partition int, offset bigint"
+    ).withColumn("timestamp", F.timestamp_seconds(F.lit(1)))
+    with pytest.raises(Exception, match="repeat seq values"):
+        messages.from_kafka(records).collect()
+
+
+@pytest.mark.parametrize("text, valid", [("1_000", True), ("1__0", False), ("_1", False), (" 42 ", True)])
+def test_underscores_in_numbers(spark, text, valid):
+    body = json.dumps({"node_id": "node_02", "threshold_type": "gas_warn", "value": text})
+    row = requests.threshold_requests(spark.createDataFrame([(1, body)], "seq bigint, body string")).first()
+    assert row.is_valid == valid and (not valid or row.value == float(text))
+
+
+def test_small_numbers_in_commands(spark):
+    values = [0.0005, 0.00012345, 5e-5, 1.5e-7, 0.001, 1.0, 99.5, 0.0]
+    bodies = [(i, json.dumps({"node_id": "node_02", "threshold_type": "temp_warn", "value": v})) for i, v in enumerate(values)]
+    frame = requests.threshold_requests(spark.createDataFrame(bodies, "seq bigint, body string"))
+    got = {r.seq: r.payload for r in requests.threshold_commands(frame).collect()}
+    assert got == {i: '{"cmd": "set_threshold", "temp_warn": %r}' % v for i, v in enumerate(values)}
+
+
 def test_file_source(spark, tmp_path):
     line = {"seq": 1, "topic": "factory/sensors/N1/data", "payload": doc(), "retain": False, "received_at": 9}
     (tmp_path / "a.json").write_text(json.dumps(line))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from interpreter import Gateway
 from sensorwarden.config import Rules
 from sensorwarden.operators import detect, health, sequence
+from sensorwarden.operators.skew import with_span
 from sensorwarden.schemas import DEVICE, READING
 
 NODES = ["A", "B", "C", "X"]
@@ -255,3 +256,12 @@ def test_timeline_status_as_of(spark):
     ]
     assert health.status_as_of(timeline, 1102).first().status == "FAULTY"
     assert timeline.filter(F.col("step") == 1).count() == 2
+
+
+def test_spans_of_sparse_seqs_hold_rows(spark):
+    """Message offsets leave gaps in seq; spans are cut by rows all the same."""
+    rows = spark.range(1000).select((F.col("id") * 65536 + 7).alias("seq"), F.lit("n").alias("node_id"))
+    hot = sequence.count_hot(rows, Rules(hot_rows=500, chunk_rows=100))
+    cut = with_span(rows, "node_id", "seq", hot, 10).groupBy("span").count().collect()
+    assert len(cut) == 10 and max(r["count"] for r in cut) <= 101
+    assert sequence.count_hot(rows, Rules(hot_rows=1000)) is False
