@@ -185,6 +185,10 @@ class Features(dict):
         return found
 
 
+#: A feature counts if its share among toxic texts is so many times that among others; long texts, toxic or not, share words.
+MIN_LIFT = 8.0
+
+
 def fit_weights(features: list[np.ndarray], labels: np.ndarray, min_docs: int, min_z: float, max_features: int):
     """(features, weights, bias): features whose share among toxic texts is clearly higher, then logistic regression."""
     n_toxic, n_clean = int(labels.sum()), int((1 - labels).sum())
@@ -199,7 +203,8 @@ def fit_weights(features: list[np.ndarray], labels: np.ndarray, min_docs: int, m
     share = (toxic + clean) / (n_toxic + n_clean)
     spread = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n_toxic + 1 / n_clean))
     z = (toxic / n_toxic - clean / n_clean) / spread
-    chosen = np.flatnonzero((toxic + clean >= min_docs) & (z > min_z))
+    lift = (toxic / n_toxic) / ((clean + 0.5) / n_clean)
+    chosen = np.flatnonzero((toxic + clean >= min_docs) & (z > min_z) & (lift > MIN_LIFT))
     chosen = np.sort(chosen[np.argsort(-z[chosen], kind="stable")][:max_features])
     at = np.full(len(names), -1)
     at[chosen] = np.arange(len(chosen))
