@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorwarden.llm.byte_bpe import encode_documents
-from sensorwarden.llm.common import written
+from sensorwarden.llm.common import free_name, written
 from sensorwarden.llm.decontaminate import decontaminated
 from sensorwarden.llm.exact_dedup import distinct_rows
 from sensorwarden.llm.jaccard_join import jaccard_components
@@ -21,7 +21,8 @@ from sensorwarden.llm.toxicity import fit_toxicity, score_toxicity
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity of 0.5 or more go."""
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_toxicity(docs, model, score_col="_toxicity").filter(F.col("_toxicity") < 0.5).drop("_toxicity")
+    score = free_name(docs, "toxicity")
+    return score_toxicity(docs, model, score_col=score).filter(F.col(score) < 0.5).drop(score)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +33,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents connected by a similarity of 0.8 over five-word shingles the one with the smallest id stays.
 
-    Rows without an id stay.
+    Rows without an id stay; rows that share an id go together.
     """
     found = jaccard_components(docs, percent=80, words=5)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()

@@ -65,6 +65,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name the frame does not have yet (names count regardless of case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without_spaces(text: Column) -> Column:
     for space in SPACES:
         text = F.replace(text, F.lit(space), F.lit(""))

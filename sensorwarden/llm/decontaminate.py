@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship, written
+from .common import free_name, ship, written
 from .words import shingle_set, words_of
 
 #: Shingles of the items that are held in memory and searched for at once; more items take more passes.
@@ -149,5 +149,6 @@ def decontaminated(
 ) -> DataFrame:
     """The rows that contain no item, with all their columns."""
     for index in item_blocks(benchmark, percent, words):
-        documents = with_hits(documents, index, words, text_col, "_item_hits").filter(F.size("_item_hits") == 0).drop("_item_hits")
+        hits = free_name(documents, "item_hits")
+        documents = with_hits(documents, index, words, text_col, hits).filter(F.size(F.col(hits)) == 0).drop(hits)
     return documents

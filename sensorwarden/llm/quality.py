@@ -142,13 +142,14 @@ def fit_scorer(features: np.ndarray, labels: np.ndarray, rounds: int = 300) -> t
 def score_quality(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_sample: int = 6000, threshold: float = 0.5
 ) -> DataFrame:
-    """The input rows with weak_label (posterior of good), score (0 to 1) and keep.
+    """The input rows with weak_label (posterior of good), score (0 to 1) and keep; columns of these names are replaced.
 
     Votes are counted over all documents. The scorer is fitted in one task on the ``max_sample`` rows with the smallest
     hash of id and text. Null and empty texts have no words, get bad votes only and are scored like any other text; an
     empty table gives no rows.
     """
     ship(documents.sparkSession)
+    documents = documents.drop("weak_label", "score", "keep")
     place = documents.columns.index(text_col)
 
     def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

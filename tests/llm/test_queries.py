@@ -81,7 +81,8 @@ def test_pipeline_stages_against_brute_force(spark, db):
     stages = dict(corpus_pipeline.STAGES)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     odd = docs.limit(1).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), *docs.columns[2:])
-    docs = docs.unionByName(odd).withColumn("extra", F.lit("x")).unionByName(docs.limit(1).withColumn("extra", F.lit("x")))
+    more = {name: F.lit("x") for name in ("toxicity", "item_hits", "row", "edge", "_gone", "component_id")}
+    docs = docs.unionByName(odd).unionByName(docs.limit(1)).withColumns(more)
 
     def held(frame):
         assert frame.columns == docs.columns
