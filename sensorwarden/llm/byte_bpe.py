@@ -35,7 +35,9 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
 
 
 class Transducer:
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], max_states: int | None = None):
+        self.max_states = max_states or MAX_STATES
+        self.max_pairs = min(MAX_PAIRS, 2 * self.max_states)
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("a byte-level vocabulary has every single byte")
         self.ranks = ranks
@@ -89,7 +91,7 @@ class Transducer:
             return True
         known = self.pairs.get((left, right))
         if known is None:
-            if len(self.pairs) >= MAX_PAIRS:
+            if len(self.pairs) >= self.max_pairs:
                 self.pairs.clear()
             ranks, known = self.ranks, True
             firsts = self._edge(self.tokens[right], False)
@@ -105,7 +107,7 @@ class Transducer:
         """Whether some token that goes on from the open bytes may follow the last one."""
         known = self.live.get((last, seen))
         if known is None:
-            if len(self.live) >= MAX_PAIRS:
+            if len(self.live) >= self.max_pairs:
                 self.live.clear()
             known = self.live[last, seen] = any(self.follows(last, token) for token in self.longer.get(seen, ()))
         return known
@@ -141,7 +143,7 @@ class Transducer:
 
     def encode_piece(self, piece: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if len(self.states) >= MAX_STATES:
+        if len(self.states) >= self.max_states:
             self._restart()
         out, state, moves = [], 0, self.moves
         for byte in piece:
@@ -159,14 +161,15 @@ def _packed(ids: tuple[int, ...]) -> bytes:
 class Encoder(dict):
     """Text to ids: each match of the pattern on its own; seen pieces are remembered up to a bound."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int | None = None):
         import regex
 
         super().__init__()
-        self.pattern, self.transducer = regex.compile(pattern), Transducer(ranks)
+        self.pattern, self.transducer = regex.compile(pattern), Transducer(ranks, max_states)
+        self.max_pieces = min(MAX_PIECES, 2 * self.transducer.max_states)
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MAX_PIECES:
+        if len(self) >= self.max_pieces:
             self.clear()
         found = self[piece] = self.transducer.encode_piece(piece.encode())
         return found
@@ -216,23 +219,32 @@ def decode_stream(packed: bytes, tokens: dict[int, bytes], block: int = BLOCK) -
     yield stream.close()
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+_encoders: dict[tuple[str, str, int], Encoder] = {}
 
 
-def encoder_of(content: bytes, pattern: str) -> Encoder:
+def encoder_of(content: bytes, pattern: str, max_states: int) -> Encoder:
     """One encoder per worker process and vocabulary."""
-    key = hashlib.sha256(content).hexdigest(), pattern
+    key = hashlib.sha256(content).hexdigest(), pattern, max_states
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(read_ranks(content), pattern)
+        _encoders[key] = Encoder(read_ranks(content), pattern, max_states)
     return _encoders[key]
 
 
 def encode_documents(
-    documents: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
+    documents: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = False,
+    max_states: int = MAX_STATES,
 ) -> DataFrame:
     """Per row: id, n_tokens, ids_sha256, decoded_sha256; with_ids adds ids (binary, little-endian uint32).
 
+    ``max_states`` bounds the transducer a worker keeps (about a kilobyte each with all that hangs on them); fewer states
+    cost time, never a result.
+
     The vocabulary file is read by the driver (its size does not depend on the data) and sent to the workers. Null text is
     empty; ids and repeated rows are passed on as they are; an empty table gives no rows.
     """
@@ -245,7 +257,7 @@ def encode_documents(
     schema = T.StructType([T.StructField(id_col, id_type)] + [T.StructField(n, k) for n, k in zip(names, kinds, strict=False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(sent.value, pattern)
+        encoder = encoder_of(sent.value, pattern, max_states)
         tokens = encoder.transducer.tokens
         for batch in batches:
             rows = []

@@ -37,7 +37,7 @@ CARRIED = 4
 #: Cells of an outline: shared shingles counted by hash.
 CELLS = 128
 
-PROFILE = "id long, n int, high long, low long, shared int, prefix array<long>, outline array<int>, held binary"
+PROFILE = "id long, n int, high long, low long, shared int, prefix array<long>, outline array<smallint>, held binary"
 
 
 def sets_of(sizes: list[int], blob: bytes, words: int) -> list[np.ndarray]:
@@ -99,14 +99,19 @@ def profile(ident, shingles: np.ndarray, classes: np.ndarray, percent: int) -> t
         return ident, n, high, low, k, None, None, None
     held = shingles[shared]
     prefix = held[np.lexsort((held, classes[shared]))][:length]
-    outline = np.bincount((held >> np.uint64(40)).astype(np.int64) % CELLS, minlength=CELLS).astype(np.int32)
+    outline = np.bincount((held >> np.uint64(40)).astype(np.int64) % CELLS, minlength=CELLS)
+    outline = np.minimum(outline, 2**15 - 1).astype(np.int16) if outline.max() < 2**15 else None
     return ident, n, high, low, k, prefix.view(np.int64), outline, held.tobytes()
 
 
 def outlines_allow(n_a: str, outline_a: str, n_b: str, outline_b: str, percent: int):
-    """Whether two sets may link: they have no more in common than the smaller count in every cell."""
-    most = F.aggregate(F.zip_with(outline_a, outline_b, lambda a, b: F.least(a, b)), F.lit(0), lambda total, cell: total + cell)
-    return most * (100 + percent) >= percent * (F.col(n_a) + F.col(n_b))
+    """Whether two sets may link: they have no more in common than the smaller count in every cell.
+
+    Without an outline (a cell of a huge set is beyond 15 bits) they may.
+    """
+    least = F.zip_with(outline_a, outline_b, lambda a, b: F.least(a, b))
+    most = F.aggregate(least, F.lit(0), lambda total, cell: total + cell)
+    return F.coalesce(most * (100 + percent) >= percent * (F.col(n_a) + F.col(n_b)), F.lit(True))
 
 
 def shared_count(a: bytes, b: bytes) -> int:
@@ -154,7 +159,7 @@ def profiles(documents: DataFrame, percent: int, words: int, id_col: str, text_c
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "n", "high", "low", "shared", "prefix", "outline", "held"]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int16()), pa.binary()]
         for batch in batches:
             for row in batch.to_pylist():
                 sets = sets_of(row["sizes"], row["blob"], words)
@@ -171,18 +176,18 @@ def profiles(documents: DataFrame, percent: int, words: int, id_col: str, text_c
 
 def group_pairs(groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of groups (g, h; g < h) that share a prefix shingle and may hold a link."""
-    posts = groups.select("g", "n", "shared", "prefix", F.posexplode("prefix").alias("pos", "shingle"))
-    posts = posts.select(
-        "g", "n", "shingle", (F.col("shared") - F.col("pos")).alias("rest"), F.slice("prefix", 1, F.least("pos", F.lit(CARRIED))).alias("before")
-    )
-    a = posts.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("g", "n", "rest", "before")))
-    b = posts.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("g", "n", "rest", "before")))
+    posts = groups.select("g", "n", "shared", "prefix", "outline", F.posexplode("prefix").alias("pos", "shingle"))
+    before = F.slice("prefix", 1, F.least("pos", F.lit(CARRIED))).alias("before")
+    posts = posts.select("g", "n", "shingle", (F.col("shared") - F.col("pos")).alias("rest"), before, "outline")
+    a = posts.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("g", "n", "rest", "before", "outline")))
+    b = posts.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("g", "n", "rest", "before", "outline")))
     may = (
         (F.col("g_a") < F.col("g_b"))
         & (F.col("n_a") * 100 >= percent * F.col("n_b"))
         & (F.col("n_b") * 100 >= percent * F.col("n_a"))
         & (F.least("rest_a", "rest_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b")))
         & ~F.arrays_overlap("before_a", "before_b")
+        & outlines_allow("n_a", "outline_a", "n_b", "outline_b", percent)
     )
     pairs = a.join(b, (a["shingle"] == b["shingle"]) & may).select(F.col("g_a").alias("g"), F.col("g_b").alias("h"))
     return pairs.distinct()
@@ -192,8 +197,12 @@ def jaccard_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect all that is connected, from distinct sets (id, n, shared, prefix, held)."""
     spread = 1 - percent / 100
     key = F.struct(F.xxhash64("n", "shared", "prefix").alias("x"), F.xxhash64("prefix", "shared", "n").alias("y"))
-    members = sets.select("id", "n", "shared", "prefix", key.alias("key"))
-    groups = members.groupBy("key").agg(F.min("id").alias("g"), F.first("n").alias("n"), F.first("shared").alias("shared"), F.first("prefix").alias("prefix"))
+    members = sets.select("id", "n", "shared", "prefix", "outline", key.alias("key"))
+    same = [F.first(name).alias(name) for name in ("n", "shared", "prefix")]
+    # the outline of a group bounds that of every member
+    most = F.array(*[F.max(F.col("outline")[cell]) for cell in range(CELLS)])
+    most = F.when(F.count("outline") == F.count(F.lit(1)), most).alias("outline")
+    groups = members.groupBy("key").agg(F.min("id").alias("g"), *same, most)
     groups = written(groups, "groups")
     of = written(members.select("id", "key").join(groups.select("key", "g"), "key").select("id", "g"), "members")
 

@@ -40,7 +40,7 @@ RUN = re.compile(r"(.)\1{2,}")
 PREFIXES = (4, 5, 6)
 
 #: Tokens whose features a worker remembers.
-MAX_TOKENS = 400_000
+MAX_TOKENS = 200_000
 
 
 def _symbol(char: str) -> int:
