@@ -1,7 +1,8 @@
 """Toxicity of documents behind a noisy channel.
 
-Writers hide words by leetspeak, spacing and repetition. Every suspicious token becomes a lattice of the characters it may
-stand for, each with a channel cost, and Viterbi decoding under a character trigram model finds the likeliest restoration.
+Writers hide words by leetspeak, spacing and repetition. Every token with a doubled letter or anything but letters becomes a
+lattice of the characters it may stand for, each with a channel cost, and Viterbi decoding under a character trigram model
+finds the likeliest restoration.
 The trigram model is counted over all documents. A linear model over hashed features of the restored words (the word and
 its first four to six letters) scores the text; it is fitted on a bounded sample of labelled rows.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -35,8 +37,12 @@ SUBSTITUTED, LITERAL, SEPARATED, DOUBLED, REPEATED, KEPT_SPACE = 0.7, 6.0, 0.5,
 
 EDGES = ".,;:?!\"'()[]{}<>%*&#~^=/\\|`…«»“”‘’-_"
 SEPARATORS = frozenset(".-_*'/~^")
-SPACED = re.compile(r"(?:(?<=\s)|^)(?:\S[ \t]){2,}\S(?=\s|$)")
+#: Edges that cannot be letters.
+CLOSED = "".join(c for c in EDGES if c not in LEET)
+SPACED = re.compile(r"(?:(?<=\s)|^)(?:\S\s++){2,}\S(?=\s|$)")
+WIDE = re.compile(r"\s{2,}")
 RUN = re.compile(r"(.)\1{2,}")
+TWICE = re.compile(r"(.)\1")
 PREFIXES = (4, 5, 6)
 
 #: Tokens whose features a worker remembers.
@@ -94,27 +100,29 @@ class Restorer:
         self.costs = costs.tolist()
 
     @staticmethod
-    def lattice(token: str) -> list[list[tuple[str, float]]]:
-        """For each character what it may be, "" for nothing, and the channel cost."""
+    def lattice(token: str, doubled: bool = True) -> list[list[tuple[str, float]]]:
+        """For each character what it may be, "" for nothing, and the channel cost. Runs of two stay without doubled."""
         token = RUN.sub(lambda m: m[1] * 3, token)
         columns = []
-        for i, char in enumerate(token):
+        solid, i = "".join(token.split()), -1  # a letter may be repeated across blanks
+        for char in token:
             if char.isspace():
                 columns.append([("", 0.0), (" ", KEPT_SPACE)])
                 continue
+            i += 1
             options = [(char, 0.0 if char.isalpha() else LITERAL)]
             options += [(letter, SUBSTITUTED) for letter in LEET.get(char, "")]
             if char in SEPARATORS:
                 options.append(("", SEPARATED))
-            if i and token[i - 1] == char:
-                long_run = (i > 1 and token[i - 2] == char) or (i + 1 < len(token) and token[i + 1] == char)
-                options.append(("", REPEATED if long_run else DOUBLED))
+            if i and solid[i - 1] == char:
+                long_run = solid[i - 2 : i - 1] == char or solid[i + 1 : i + 2] == char
+                options += [("", REPEATED if long_run else DOUBLED)] * (long_run or doubled)
             columns.append(options)
         return columns
 
-    def restore(self, token: str) -> str:
+    def restore(self, token: str, doubled: bool = True) -> str:
         costs, paths = self.costs, {(SPACE, SPACE): (0.0, None)}  # state: two symbols; path: linked from the end
-        for options in self.lattice(token):
+        for options in self.lattice(token, doubled):
             reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (cost, path) in paths.items():
                 for char, price in options:
@@ -144,28 +152,49 @@ def word_features(word: str) -> list[int]:
     return [_hashed(word)] + [_hashed(word[:k] + "*") for k in PREFIXES if len(word) > k]
 
 
+def undoubled(word: str) -> Iterator[str]:
+    """The word without one of its doubled letters, and without all. One by one: a long token has many."""
+    at = [twice.start() for twice in TWICE.finditer(word)]
+    for i in at:
+        yield word[:i] + word[i + 1 :]
+    if len(at) > 1:
+        yield TWICE.sub(r"\1", word)
+
+
 class Features(dict):
-    """Token to its hashed features, of which only those in ``wanted`` count if given; remembered up to a bound."""
+    """Token to its hashed features, of which only those in ``wanted`` count if given; remembered up to a bound.
+
+    With ``wanted`` a word with a doubled letter also has the features of that word without it, however likely it is.
+    """
 
     def __init__(self, costs: np.ndarray, wanted: dict[int, float] | None = None):
         super().__init__()
         self.restorer, self.wanted = Restorer(costs), wanted
 
-    def _words(self, token: str) -> list[str]:
-        bare = token.strip(EDGES)
-        if bare.isalpha() and not RUN.search(bare):
-            return [bare]
-        if not any(c.isalpha() for c in token):
-            return []
-        open_ended = token.strip(".,;:?\"'()[]{}<>%*&#~^=/\\`…-_")  # ! and | at an end may be letters
-        words = self.restorer.restore(open_ended).split()
-        if open_ended != bare and bare:
-            words += self.restorer.restore(bare).split()
-        return [w.strip(EDGES) for w in words]
-
-    def _kept(self, words: list[str]) -> tuple[int, ...]:
-        found = [f for w in words if w for f in word_features(w)]
-        return tuple(found if self.wanted is None else (f for f in found if f in self.wanted))
+    def _decoded(self, form: str) -> set[str]:
+        """The likeliest restoration, and that with all runs of two: a doubled letter may belong to the word or hide it."""
+        if not any(c.isalpha() or c in LEET for c in form):
+            return set()
+        twice = TWICE.search(form)
+        if not twice and form.isalpha():
+            return {form}
+        words = set(self.restorer.restore(form).split())
+        if twice and form.isalpha() and not RUN.search(form):
+            words.add(form)
+        elif twice:
+            words.update(self.restorer.restore(form, doubled=False).split())
+        return {w.strip(EDGES) for w in words}
+
+    def _words(self, token: str) -> set[str]:
+        bare, open_ended = token.strip(EDGES), token.strip(CLOSED)  # ! and | and ( at an edge may be letters
+        words = self._decoded(bare)
+        return words if open_ended == bare else words | self._decoded(open_ended)
+
+    def _kept(self, words: set[str]) -> tuple[int, ...]:
+        if self.wanted is None:
+            return tuple(f for w in words if w for f in word_features(w))
+        forms = (form for w in words if w for form in chain((w,), undoubled(w)))
+        return tuple(f for form in forms for f in word_features(form) if f in self.wanted)
 
     def __missing__(self, token: str) -> tuple[int, ...]:
         if len(self) >= MAX_TOKENS:
@@ -181,7 +210,10 @@ class Features(dict):
             if known := self[token]:
                 found.update(known)
         for spaced in SPACED.finditer(text):
-            found.update(self._kept(self.restorer.restore(spaced[0]).split()))
+            words = self._decoded(" ".join(spaced[0].split()))
+            for part in {spaced[0], *WIDE.split(spaced[0])}:  # one word, or words between wider gaps
+                words |= self._decoded("".join(part.split()).strip(EDGES))
+            found.update(self._kept(words))
         return found
 
 

@@ -318,6 +318,25 @@ def test_toxicity(spark):
     assert len(scored) == len(rows) + len(hidden) + 1 and 0 <= score[None] < 0.5
 
 
+def test_toxicity_of_doubled_substituted_and_spread_words(spark):
+    curses = [*CURSES[:2], "goblet"]  # LEET can spell all of goblet
+    rows, labels = toxic_rows()
+    rows = [(i, text.replace(CURSES[2], curses[2])) for i, text in rows]
+    documents = table(spark, rows)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit_toxicity(documents, marks)
+    forms = [c[: k + 1] + c[k:] for c in curses for k in range(1, len(c) - 1)]  # one doubled letter
+    forms += [gap.join(c) for c in curses for gap in ("  ", "\n", " \t ", "\r\n\r\n")]
+    forms += ["608137", "(608137)", "608!37!", "grruntl3", "s n a a r k l e", "gob|e7", "goblet!"]
+    clean = [text for i, text in rows if i % 4 > 0]
+    clean += [f"{text} 2024 4,096 - + (1) 100% good tree x = 3 | 7" for text in clean[:40]]
+    hidden = [(k, f"{clean[k % 40]} {form} {clean[-1 - k % 40]}") for k, form in enumerate(forms)]
+    scored = toxicity.score_toxicity(table(spark, hidden + [(1000 + k, t) for k, t in enumerate(clean)]), model).collect()
+    score = {r.doc_id: r.score for r in scored}
+    assert [form for k, form in enumerate(forms) if score[k] < 0.5] == []
+    assert sum(score[1000 + k] >= 0.5 for k in range(len(clean))) <= 0.01 * len(clean)
+
+
 def test_toxicity_without_labels(spark):
     documents = table(spark, [(1, "a b c"), (2, None)])
     marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
