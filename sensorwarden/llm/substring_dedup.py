@@ -3,7 +3,7 @@
 Every document is cut into non-overlapping blocks of half a window, so that any window holds a whole block of its own
 document. The blocks are indexed and probed with the rolling block-long windows of all documents; an anchor is a block that
 another place repeats. Only windows over an anchor of their document can be repeats: those are compared in full length by
-64-bit hashes within buckets of another hash, and overlapping repeats grow into maximal spans.
+two 64-bit hashes of independent seeds, and overlapping repeats grow into maximal spans.
 """
 
 from __future__ import annotations
@@ -33,6 +33,10 @@ class Layout:
         self.place = np.arange(len(self.hashes)) - np.repeat(begins, self.lengths)
         self.left = np.repeat(self.ends, self.lengths) - np.arange(len(self.hashes))
 
+    def second_hashes(self) -> np.ndarray:
+        """Hashes of the words that are independent of the first."""
+        return np.concatenate([word_hashes(w, seed=1) for w in self.words])
+
     def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Start and hash of every window of n words that lies within a document."""
         found = rolling(self.hashes, n)
@@ -45,8 +49,20 @@ def block_keys(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(32) | (hashes & LOW)
 
 
-def window_buckets(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return mixed(hashes ^ LOW) % np.uint64(buckets)
+def window_buckets(pairs: np.ndarray, buckets: int) -> np.ndarray:
+    return mixed(pairs[:, 1] ^ LOW) % np.uint64(buckets)
+
+
+def distinct_pairs(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows of two numbers, the place of every row among them, and how often each occurs."""
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    ordered = pairs[order]
+    new = np.ones(len(pairs), bool)
+    new[1:] = (ordered[1:] != ordered[:-1]).any(1)
+    group = np.cumsum(new) - 1
+    place = np.empty(len(pairs), np.int64)
+    place[order] = group
+    return ordered[new], place, np.bincount(group, minlength=int(new.sum()))
 
 
 def anchor_answer(rows: list[tuple]) -> list[bytes]:
@@ -60,10 +76,10 @@ def anchor_answer(rows: list[tuple]) -> list[bytes]:
 
 
 def repeat_answer(rows: list[tuple]) -> list[bytes]:
-    """For (bucket, chunk, values, several): which values occur twice or more."""
-    sets = [np.frombuffer(row[2], np.uint64) for row in rows]
+    """For (bucket, chunk, values, several): which values, pairs of hashes, occur twice or more."""
+    sets = [np.frombuffer(row[2], np.uint64).reshape(-1, 2) for row in rows]
     several = np.concatenate([bits(row[3], len(s)) for row, s in zip(rows, sets, strict=True)])
-    _, place = np.unique(np.concatenate(sets), return_inverse=True)
+    _, place, _ = distinct_pairs(np.concatenate(sets))
     repeat = np.bincount(place, 1 + several) >= 2
     return [packed_bits(part) for part in np.split(repeat[place], np.cumsum([len(s) for s in sets])[:-1])]
 
@@ -115,18 +131,20 @@ class Repeats:
         start, hashes = layout.windows(window)
         first_block = start + -layout.place[start] % block  # the first own block in the window
         use = anchors[first_block] if len(start) else np.zeros(0, bool)
-        self.start, self.hashes = start[use], hashes[use]
-        values, counts = np.unique(self.hashes, return_counts=True)
+        self.start = start[use]
+        second = rolling(layout.second_hashes(), window)[self.start] if len(self.start) else hashes[:0]
+        values, self.place, counts = distinct_pairs(np.column_stack((hashes[use], second)))
         bucket = window_buckets(values, buckets)
-        order = np.argsort(bucket, kind="stable")
-        self.values, self.counts, self.bucket = values[order], counts[order], bucket[order]
+        self.order = np.argsort(bucket, kind="stable")
+        self.values, self.counts, self.bucket = values[self.order], counts[self.order], bucket[self.order]
 
     def questions(self, chunk: int) -> Iterator[tuple]:
         return rows_by_bucket(chunk, self.bucket, [self.values, self.counts > 1], [np.ndarray.tobytes, packed_bits])
 
     def covered(self, answers: list[dict] | None, window: int, n_words: int) -> np.ndarray:
-        repeated = np.sort(chosen(self.values, self.bucket, answers))
-        start = self.start[has(repeated, self.hashes)]
+        repeated = np.zeros(len(self.values), bool)
+        repeated[chosen(self.order, self.bucket, answers)] = True
+        start = self.start[repeated[self.place]]
         steps = np.bincount(start, minlength=n_words + 1) - np.bincount(start + window, minlength=n_words + 1)
         return np.cumsum(steps)[:n_words] > 0
 

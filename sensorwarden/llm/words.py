@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 import xxhash
 
@@ -21,8 +23,9 @@ def words_of(text: str | None, lower: bool = False) -> list[bytes]:
     return (data.lower() if lower else data).split()  # bytes know only these six white space characters
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
+    digests = map(xxhash.xxh64_intdigest, words, repeat(seed)) if seed else map(xxhash.xxh64_intdigest, words)
+    return np.fromiter(digests, np.uint64, len(words))
 
 
 def rolling(hashes: np.ndarray, n: int) -> np.ndarray:

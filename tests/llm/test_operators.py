@@ -10,9 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorwarden.llm import byte_bpe, chat, decontaminate, jaccard_join, quality, toxicity, warc
+from sensorwarden.llm.chunks import squeezed
 from sensorwarden.llm.exact_dedup import distinct_rows, exact_dedup
 from sensorwarden.llm.line_dedup import keep_bitmaps, line_dedup
+from sensorwarden.llm import substring_dedup as substring_module
 from sensorwarden.llm.substring_dedup import substring_dedup
+from sensorwarden.llm.words import word_hashes
 
 from . import brute
 
@@ -108,6 +111,20 @@ def test_substring_dedup(spark, documents):
     assert spans[900] == [(0, 80)] and spans[901] == [(20, 70)] and spans[902] == [(0, 50)]
 
 
+def test_substring_dedup_survives_colliding_hashes(monkeypatch):
+    def collide(words, seed=0):
+        return word_hashes(words, seed) if seed else np.ones(len(words), np.uint64)
+
+    monkeypatch.setattr(substring_module, "word_hashes", collide)
+    texts = [" ".join(f"{side}{i}" for i in range(9)).encode() for side in "abca"]
+    layout = substring_module.Layout([len(t) for t in texts], squeezed(b"".join(texts)))
+    repeats = substring_module.Repeats(layout, np.ones(len(layout.hashes), bool), 6, 3, 4)
+    rows = list(repeats.questions(0))
+    answers = [{"bucket": r[0], "data": a} for r, a in zip(rows, substring_module.repeat_answer(rows), strict=True)]
+    gone = repeats.covered(answers, 6, len(layout.hashes))
+    assert gone.tolist() == [True] * 9 + [False] * 18 + [True] * 9  # only the text that is there twice
+
+
 def test_substring_dedup_any_window(spark, documents):
     got = substring_dedup(table(spark, documents), window=6, with_text=True)
     assert order(got.drop("spans", "kept").collect()) == order(brute.without_repeats(documents, 6))
