@@ -5,7 +5,7 @@ from __future__ import annotations
 def _words(text: str) -> str:
     """Lower-cased words of a text column as a list."""
     lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    return f"regexp_extract_all({lower}, '[^\\x20\\x09-\\x0D]+')"
+    return f"regexp_extract_all({lower}, '[^\x20\x09-\x0D]+')"
 
 
 def _shingles(words: str, n: int) -> str:
@@ -123,4 +123,60 @@ ORACLE = {
         )
         SELECT n.doc_id, n.n AS n_shingles, min(other) AS component_id FROM n JOIN r ON n.doc_id = r.doc_id GROUP BY ALL
     """,
+    "op11_collocations": r"""
+        WITH t AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents
+        ), p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS s FROM t),
+        w AS (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM p),
+        g AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g
+            FROM w, (SELECT unnest([1, 2, 3, 4]) AS k)
+        ), f AS (SELECT lang, k, g, count(*) AS f FROM g GROUP BY ALL),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, g, f, string_split(g, ' ') AS w FROM f WHERE k >= 2 AND f >= 30),
+        inner_of AS (
+            SELECT lang, f, m, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS g
+            FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k
+        ), covered AS (
+            SELECT DISTINCT c.lang, c.g FROM c JOIN inner_of o ON o.lang = c.lang AND o.g = c.g WHERE 100 * o.f >= 80 * c.f
+        ), cut AS (
+            SELECT c.*, j, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:], ' ') AS tail
+            FROM c ANTI JOIN covered ON covered.lang = c.lang AND covered.g = c.g, (SELECT unnest([1, 2, 3]) AS j) WHERE j < k
+        ), scored AS (
+            SELECT cut.lang, cut.g, cut.f AS a, j, x.f AS l, y.f AS r, (2000000::HUGEINT * cut.f) // (x.f + y.f) AS score
+            FROM cut JOIN f x ON x.lang = cut.lang AND x.g = head JOIN f y ON y.lang = cut.lang AND y.g = tail
+        ), best AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM best
+        )
+        SELECT ranked.lang, rank, g AS phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n ON n.lang = ranked.lang
+        WHERE rank <= 2000
+    """,
+    "op13_fill_in_middle": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+                   sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS hex
+            FROM documents
+        ), h AS (
+            SELECT doc_id, t, n, ('0x' || substr(hex, 1, 8))::BIGINT AS h1, ('0x' || substr(hex, 9, 8))::BIGINT AS h2,
+                   ('0x' || substr(hex, 17, 8))::BIGINT AS h3, ('0x' || substr(hex, 25, 8))::BIGINT AS h4
+            FROM d
+        ), c AS (
+            SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                   CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                        WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM h
+        ), p AS (
+            SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf FROM c
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                      ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM p
+    """,
 }

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from . import chat
 from .byte_bpe import encode_documents
+from .collocations import collocations
 from .common import utf8_sha256
 from .decontaminate import contained_items
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
 from .line_dedup import line_dedup
+from .middle import fill_in_middle
 from .oracle import ORACLE as ORACLE
+from .packing import pack_documents
 from .quality import score_quality
 from .substring_dedup import substring_dedup
 from .toxicity import fit_toxicity, held_out, score_toxicity
@@ -88,6 +91,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_documents(spark, sf_dir), percent=85, words=4)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_documents(spark, sf_dir), min_count=30, width=4, top=2000, percent=80)
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_exact_dedup": op2_exact_dedup,
@@ -99,4 +114,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_collocations": op11_collocations,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }

@@ -35,7 +35,7 @@ def db():
 
 def test_registered():
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "exact_dedup", "ngram_jaccard_join", "benchmark_decontamination", "byte_bpe"
     ]
