@@ -3,10 +3,11 @@
 Everything downstream (events, health, counters) reads the columns produced here, so the messages are
 shuffled and sorted once, on (node_id, span), with seq as the arrival order. ``seq`` must be unique.
 
-A node that owns a large part of the rows is cut into seq spans (see ``skew``). What an earlier span knows
-- highest id, last accepted reading, run of good messages, fault flag - enters the next span as one opening
-row, and the first arrival after a span as one closing row. The same opening rows carry the state of the
-previous micro-batch when the messages are a stream.
+A node that owns a large part of the rows is cut into seq spans (see ``skew``), and the sequence becomes a
+segmented scan: every span is followed on its own, its rows are kept, summarised to one row per span, and what
+earlier spans hand over - highest id, last accepted reading, run of good messages, fault flag - is worked into
+the rows by arithmetic. The state of the previous micro-batch is an opening row of a cold node and a span before
+all others of a hot one.
 """
 
 from __future__ import annotations
@@ -15,13 +16,13 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from sensorwarden.config import Rules
-from sensorwarden.operators.skew import hot_spans, lookup, with_span
+from sensorwarden.operators.skew import hot_spans, is_small, lookup, with_span
 from sensorwarden.schemas import LAST_FIELDS, LAST_READING
+from sensorwarden.session import cut_lineage
 
 FIRST_SEQ = -(2**63)
-LAST_SEQ = 2**63 - 1
 
-# Columns of the opening and closing rows that messages do not have.
+# Columns of the opening rows that messages do not have.
 EDGE_COLUMNS = {
     "opens": "boolean",
     "streak_in": "int",
@@ -59,11 +60,12 @@ def mark_replays(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
     accepted ones. A mark of 0 means no history and accepts anything.
     """
     seen = F.max(F.when(F.col("known"), F.col("msg_id"))).over(_before())
-    mark = F.greatest(F.coalesce(seen, F.lit(0)), F.coalesce(F.col("seed"), F.lit(0)))
+    mark = F.greatest(F.coalesce("seen", F.lit(0)), F.coalesce(F.col("seed"), F.lit(0)))
     replay = F.col("known") & (F.col("mark") != 0) & (F.col("msg_id") <= F.col("mark"))
     is_row = F.col("opens").isNull()
     return (
-        rows.withColumn("mark", mark)
+        rows.withColumn("seen", seen)
+        .withColumn("mark", mark)
         .withColumn("replay", is_row & (replay if rules.replay_detection else F.lit(False)))
         .withColumn("fresh", is_row & F.col("known") & ~F.col("replay"))
     )
@@ -87,14 +89,14 @@ def follow(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
     ``recovered``  this message completes the run that ends a fault
     ``faulty``     node is in a fault after this message
     """
-    opening, closing = _true(F.col("opens")), _true(~F.col("opens"))
+    opening = _true(F.col("opens"))
     fresh, good, fault = F.col("fresh"), F.col("good"), F.col("fault")
     full_run = good & (F.col("streak") >= rules.recovery_count)
     flagged = (
         rows.withColumn("good", fresh & _true(F.col("status") == "OPERATIONAL"))
         .withColumn("fault", fresh & _true(F.col("status") == "NOT_OPERATING"))
         .withColumn("accepted", fresh & ~fault)
-        .withColumn("_arrival", F.when(fresh | closing, F.col("received_at")))
+        .withColumn("_arrival", F.when(fresh, F.col("received_at")))
     )
     # everything that depends on single rows, then run lengths, then completed runs: same partitioning and sort
     last_seen = F.when(opening, F.col("last_in")).when(F.col("accepted"), _last_reading())
@@ -141,8 +143,11 @@ def trace(
     if hot is None:
         hot = count_hot(readings, rules)
     rows = spans(readings, devices, rules, hot)
-    edges = _joined_edges(state, hot, lambda: _span_edges(rows, rules, state, hot))
-    return _messages(follow(mark_replays(_with_edges(rows, edges), rules), rules))
+    followed = follow(mark_replays(_opened(rows, state, hot), rules), rules)
+    if hot is not False:
+        followed = cut_lineage(followed)  # read by the summaries and by the result
+        followed = _continued(followed, _handed_over(followed, state, hot, rules), rules)
+    return _messages(followed)
 
 
 def replays(
@@ -156,8 +161,19 @@ def replays(
     if hot is None:
         hot = count_hot(readings, rules)
     rows = spans(readings, devices, rules, hot)
-    edges = _joined_edges(state, hot, lambda: _mark_edges(rows, state, hot))
-    return _messages(mark_replays(_with_edges(rows, edges), rules))
+    marked = mark_replays(_opened(rows, state, hot), rules)
+    if hot is not False:
+        # the marks of spans need no order: a narrow aggregation of the rows as they come
+        marked = _with_table(marked, _marks_before(rows.filter(F.col("known") & F.col("hot")), state, hot, rules), rules)
+        past = F.coalesce(_past(), F.lit(True))
+        marked = marked.withColumns(
+            {
+                "mark": F.greatest("mark", "carried"),
+                "replay": F.when(past, F.col("replay")).otherwise(F.col("known")),
+                "fresh": F.col("fresh") & past,
+            }
+        ).drop("carried")
+    return _messages(marked)
 
 
 def node_state(traced: DataFrame, state: DataFrame | None = None) -> DataFrame:
@@ -185,61 +201,32 @@ def node_state(traced: DataFrame, state: DataFrame | None = None) -> DataFrame:
     )
 
 
-# --- rows that open and close a span -------------------------------------------------------------------
+# --- state of earlier batches --------------------------------------------------------------------------
 
 
-def _with_edges(rows: DataFrame, edges: DataFrame | None) -> DataFrame:
-    if edges is None:
+def _opened(rows: DataFrame, state: DataFrame | None, hot: DataFrame | bool) -> DataFrame:
+    """The rows with an opening row before the first message of every cold node that has a state."""
+    if state is None:
         return rows.withColumns({name: F.lit(None).cast(kind) for name, kind in EDGE_COLUMNS.items()})
-    return rows.unionByName(edges, allowMissingColumns=True)
-
-
-def _messages(rows: DataFrame) -> DataFrame:
-    working = [*EDGE_COLUMNS, "hot", "_arrival", "ordinal", "fault_at", "broken_at", "healed_at"]
-    return rows.filter(F.col("opens").isNull()).drop(*working)
-
-
-def _edge(opens: bool, **values: Column) -> Column:
-    """An edge row; the group sorts it before (opening) or after (closing) all its messages."""
-    columns = {
-        "seq": F.lit(FIRST_SEQ if opens else LAST_SEQ),
-        "msg_id": F.lit(None).cast("bigint"),
-        "received_at": F.lit(None).cast("bigint"),
-        "streak_in": F.lit(0),
-        "faulty_in": F.lit(False),
-        "last_in": F.lit(None).cast(EDGE_COLUMNS["last_in"]),
-        **values,
-    }
-    return F.struct(
-        F.col("node_id"),
-        F.col("span"),
+    cold = state if hot is False else state.join(hot.select("node_id"), "node_id", "left_anti")
+    opening = cold.select(
+        "node_id",
+        F.lit(0).cast("bigint").alias("span"),
         F.lit(True).alias("known"),
-        F.lit(opens).alias("opens"),
-        *[value.alias(name) for name, value in columns.items()],
+        F.lit(FIRST_SEQ).alias("seq"),
+        F.col("mark").alias("msg_id"),
+        F.lit(None).cast("bigint").alias("received_at"),
+        F.lit(True).alias("opens"),
+        F.col("streak").alias("streak_in"),
+        F.col("faulty").alias("faulty_in"),
+        F.col("last").alias("last_in"),
     )
+    return rows.unionByName(opening, allowMissingColumns=True)
 
 
-def _unpack(table: DataFrame, *edges: Column) -> DataFrame:
-    return table.select(F.explode(F.array(*edges)).alias("edge")).select("edge.*")
-
-
-def _joined_edges(state: DataFrame | None, hot: DataFrame | bool, span_edges) -> DataFrame | None:
-    edges = None
-    if state is not None:
-        cold = state if hot is False else state.join(hot.select("node_id"), "node_id", "left_anti")
-        edges = _unpack(
-            cold.withColumn("span", F.lit(0).cast("bigint")),
-            _edge(
-                True,
-                msg_id=F.col("mark"),
-                streak_in=F.col("streak"),
-                faulty_in=F.col("faulty"),
-                last_in=F.col("last"),
-            ),
-        )
-    if hot is not False:
-        edges = span_edges() if edges is None else edges.unionByName(span_edges())
-    return edges
+def _messages(rows: DataFrame) -> DataFrame:
+    working = [*EDGE_COLUMNS, "hot", "seen", "_arrival", "ordinal", "fault_at", "broken_at", "healed_at"]
+    return rows.filter(F.col("opens").isNull()).drop(*working)
 
 
 def _hot_state(state: DataFrame | None, hot: DataFrame | bool) -> DataFrame | None:
@@ -249,6 +236,9 @@ def _hot_state(state: DataFrame | None, hot: DataFrame | bool) -> DataFrame | No
     return state.join(hot.select("node_id"), "node_id", "left_semi").withColumn("span", F.lit(FIRST_SEQ))
 
 
+# --- what spans of hot nodes hand over -----------------------------------------------------------------
+
+
 def _spans() -> WindowSpec:
     return Window.partitionBy("node_id").orderBy("span")
 
@@ -261,81 +251,140 @@ def _up_to_span() -> WindowSpec:
     return _spans().rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _mark_edges(rows: DataFrame, state: DataFrame | None, hot: DataFrame | bool) -> DataFrame:
-    """Opening rows of the spans of hot nodes, carrying the id mark only."""
-    highest = (
-        rows.filter(F.col("known") & F.col("hot"))
-        .groupBy("node_id", "span")
-        .agg(F.max("msg_id").alias("mark"))
-    )
+def _with_table(rows: DataFrame, table: DataFrame, rules: Rules) -> DataFrame:
+    """Left join of a table with one row per span."""
+    small = is_small(table, rules.broadcast_rows)
+    return rows.join(F.broadcast(table) if small else table, ["node_id", "span"], "left")
+
+
+def _marks_before(hot_rows: DataFrame, state: DataFrame | None, hot: DataFrame | bool, rules: Rules) -> DataFrame:
+    """(node_id, span, carried): the highest id in earlier spans, 0 if there is none."""
+    highest = hot_rows.groupBy("node_id", "span").agg(F.max("msg_id").alias("top"))
     initial = _hot_state(state, hot)
     if initial is not None:
-        highest = highest.unionByName(initial.select("node_id", "span", "mark"))
-    openings = highest.withColumn("mark", F.max("mark").over(_earlier_spans())).filter(F.col("span") > FIRST_SEQ)
-    return _unpack(openings, _edge(True, msg_id=F.col("mark")))
+        highest = highest.unionByName(initial.select("node_id", "span", F.col("mark").alias("top")))
+    earlier = F.greatest(F.coalesce(F.max("top").over(_earlier_spans()), F.lit(0)), F.lit(0))
+    carried = earlier if rules.replay_detection else F.lit(0).cast("bigint")
+    return cut_lineage(highest.select("node_id", "span", carried.alias("carried")))
 
 
-def _span_edges(rows: DataFrame, rules: Rules, state: DataFrame | None, hot: DataFrame | bool) -> DataFrame:
-    """Opening and closing rows of the spans of hot nodes.
+def _past() -> Column:
+    """Whether the span has left behind the ids it was handed over.
 
-    First the marks are accumulated over spans, which settles the replays; then each span is followed on
-    its own, summarised to one row, and the summaries are accumulated.
+    All rows before its first id above ``carried`` are replays, and from that row on the ids of the span itself decide:
+    so the verdict of the span on its own is right for the rows after this point, and all others are replays.
     """
-    part = rows.filter(F.col("known") & F.col("hot"))
-    alone = follow(mark_replays(_with_edges(part, _mark_edges(rows, state, hot)), rules), rules)
-    leading = F.col("good") & F.col("broken_at").isNull()
-    summary = (
-        alone.filter(F.col("opens").isNull())
-        .groupBy("node_id", "span")
-        .agg(
-            F.min("mark").alias("mark"),
-            F.max_by(_last_reading(), F.when(F.col("accepted"), F.col("seq"))).alias("last"),
-            F.min_by("received_at", F.when(F.col("fresh"), F.col("seq"))).alias("first_at"),
-            F.max(F.col("fresh") & ~F.col("good")).alias("broken"),
-            F.count(F.when(leading, F.lit(1))).alias("leading_run"),
-            F.max(F.when(leading, F.col("seq"))).alias("leading_end"),
-            F.max_by("streak", F.when(F.col("fresh"), F.col("seq"))).alias("last_run"),
-            F.max(F.when(F.col("good") & (F.col("streak") >= rules.recovery_count), F.col("seq"))).alias("healed_at"),
-            F.max(F.when(F.col("fault"), F.col("seq"))).alias("fault_at"),
-        )
+    return (F.col("carried") == 0) | (F.greatest("seen", "msg_id") > F.col("carried"))
+
+
+def _handed_over(followed: DataFrame, state: DataFrame | None, hot: DataFrame | bool, rules: Rules) -> DataFrame:
+    """One row per span of a hot node: what it needs from earlier spans, and where its own sequence begins.
+
+    Two aggregations over the kept rows that combine map-side (ids, then the rest), and running values over the small
+    table of spans.
+    """
+    part = followed.filter(F.col("known") & F.col("hot") & F.col("opens").isNull())
+    part = _with_table(part, _marks_before(part, state, hot, rules), rules).withColumn("past", _past())
+    fresh = F.col("past") & F.col("fresh")
+
+    def seq_of(condition: Column) -> Column:
+        return F.when(F.col("past") & condition, F.col("seq"))
+
+    broken = F.struct("seq", "ordinal")
+    full_run = F.col("good") & (F.col("streak") >= rules.recovery_count)
+    summary = part.groupBy("node_id", "span").agg(
+        F.first("carried").alias("carried"),
+        F.coalesce(F.max(F.when(~F.col("past"), F.col("ordinal"))), F.lit(0)).alias("skipped"),
+        F.min(seq_of(F.lit(True))).alias("begins"),
+        F.max("ordinal").alias("ordinals"),
+        F.min(F.when(fresh & ~F.col("good"), broken)).alias("break"),
+        F.max_by("streak", seq_of(F.col("fresh"))).alias("last_run"),
+        F.max(seq_of(full_run)).alias("full_end"),
+        F.max(seq_of(F.col("fault"))).alias("fault_at"),
+        F.max_by(_last_reading(), seq_of(F.col("accepted"))).alias("last"),
+        F.min_by("received_at", seq_of(F.col("fresh"))).alias("first_at"),
     )
+    leading_end = F.when(F.col("break").isNotNull(), F.col("break.ordinal") - 1).otherwise(F.col("ordinals"))
+    summary = summary.withColumn("broken", F.col("break").isNotNull()).withColumn("leading_run", leading_end - F.col("skipped"))
     initial = _hot_state(state, hot)
     if initial is not None:
-        summary = summary.unionByName(
-            initial.select(
-                "node_id",
-                "span",
-                "mark",
-                "last",
-                F.lit(True).alias("broken"),
-                F.lit(0).cast("bigint").alias("leading_run"),
-                F.col("streak").alias("last_run"),
-                F.when(F.col("faulty"), F.lit(FIRST_SEQ)).alias("fault_at"),
-            ),
-            allowMissingColumns=True,
+        before = initial.select(
+            "node_id",
+            "span",
+            "last",
+            F.lit(True).alias("broken"),
+            F.lit(0).cast("bigint").alias("leading_run"),
+            F.col("streak").alias("last_run"),
+            F.when(F.col("faulty"), F.lit(FIRST_SEQ)).alias("fault_at"),
         )
+        summary = summary.unionByName(before, allowMissingColumns=True)
     run_total = F.sum(F.when(F.col("broken"), F.col("last_run")).otherwise(F.col("leading_run"))).over(_up_to_span())
     run_base = F.max(F.when(F.col("broken"), F.col("run_total") - F.col("last_run"))).over(_up_to_span())
+    # a fault of the span comes after its leading run, so any seq of that run may stand for the end of the old fault
     leading_heals = (F.col("leading_run") > 0) & (F.col("run_in") + F.col("leading_run") >= rules.recovery_count)
+    own_heals = F.col("full_end") > F.col("break.seq")
     carried = (
         summary.withColumn("run_total", run_total)
         .withColumn("run_out", F.col("run_total") - F.coalesce(run_base, F.lit(0)))
         .withColumn("run_in", F.lag("run_out", 1, 0).over(_spans()))
-        .withColumn("healed_at", F.greatest("healed_at", F.when(leading_heals, F.col("leading_end"))))
+        .withColumn("healed_at", F.greatest(F.when(own_heals, F.col("full_end")), F.when(leading_heals, F.col("begins"))))
         .withColumn("fault_in", F.max("fault_at").over(_earlier_spans()))
         .withColumn("healed_in", F.max("healed_at").over(_earlier_spans()))
-        .withColumn("last_in", F.last("last", ignorenulls=True).over(_earlier_spans()))
+        .withColumn("last_before", F.last("last", ignorenulls=True).over(_earlier_spans()))
         .withColumn("next_in", F.expr("lead(first_at) ignore nulls over (partition by node_id order by span)"))
         .filter(F.col("span") > FIRST_SEQ)
     )
-    return _unpack(
-        carried,
-        _edge(
-            True,
-            msg_id=F.col("mark"),
-            streak_in=F.col("run_in").cast("int"),
-            faulty_in=_in_fault(F.col("fault_in"), F.col("healed_in")),
-            last_in=F.col("last_in"),
-        ),
-        _edge(False, received_at=F.col("next_in")),
+    return cut_lineage(
+        carried.select(
+            "node_id",
+            "span",
+            "carried",
+            "skipped",
+            "begins",
+            F.col("break.seq").alias("break_seq"),
+            F.col("break.ordinal").alias("break_ordinal"),
+            "run_in",
+            _in_fault(F.col("fault_in"), F.col("healed_in")).alias("fault_before"),
+            "last_before",
+            "first_at",
+            "next_in",
+        )
     )
+
+
+def _continued(followed: DataFrame, table: DataFrame, rules: Rules) -> DataFrame:
+    """The rows of hot nodes as they are after all earlier spans: arithmetic on each row, no further order needed.
+
+    ``skipped`` fresh rows of the span alone are replays, and its sequence ``begins`` at a seq. What happened after its
+    first break, or after a fault of its own, does not depend on earlier spans; before that their run and fault go on.
+    """
+    joined = _with_table(followed, table, rules)
+    mine = F.col("carried").isNotNull()
+    past = _past()
+    fresh = F.col("fresh") & past
+    broke = _true(F.col("broken_at") > F.col("skipped"))
+    run = F.col("ordinal") - F.col("skipped")
+    streak = F.when(broke, F.col("streak")).otherwise(F.when(past, F.col("run_in") + run).otherwise(F.col("run_in")))
+    full_run = F.col("good") & past & (F.col("run") >= rules.recovery_count)
+    lead = F.when(broke, F.col("break_ordinal") - 1 - F.col("skipped")).otherwise(run - fresh.cast("int"))
+    healed = ((lead > 0) & (F.col("run_in") + lead >= rules.recovery_count)) | _true(F.col("healed_at") > F.col("break_seq"))
+    own_fault = _true(F.col("fault_at") >= F.col("begins"))
+    in_fault = F.when(own_fault, _in_fault(F.col("fault_at"), F.col("healed_at"))).otherwise(
+        F.col("fault_before") & ~(past & healed)
+    )
+    joined = joined.withColumn("run", streak).withColumn("in_fault", in_fault)
+    new = {
+        "mark": F.greatest("mark", "carried"),
+        "replay": F.when(past, F.col("replay")).otherwise(F.col("known")),
+        "fresh": fresh,
+        "good": F.col("good") & past,
+        "fault": F.col("fault") & past,
+        "accepted": F.col("accepted") & past,
+        "prev": F.when(F.col("prev.seq") >= F.col("begins"), F.col("prev")).otherwise(F.col("last_before")),
+        "next_at": F.coalesce(F.when(past, F.col("next_at")).otherwise(F.col("first_at")), F.col("next_in")),
+        "streak": F.col("run").cast("int"),
+        "recovered": full_run & F.col("in_fault"),
+        "faulty": F.col("in_fault") & ~(full_run & F.col("in_fault")),
+    }
+    replaced = {name: F.when(mine, value).otherwise(F.col(name)) for name, value in new.items()}
+    return joined.withColumns(replaced).select(*followed.columns)

@@ -8,36 +8,66 @@ from pyspark.sql import functions as F
 from sensorwarden.session import cut_lineage
 
 
+#: Cut points are taken from a grid of this many quantiles.
+GRID = 1024
+
+#: Borders that are compared at once when a row looks for its span.
+BLOCK = 32
+
+#: A message takes at least so many bytes of a table, a row of a keyed table at most so many while it is small.
+LEAST_ROW_BYTES, KEYED_ROW_BYTES = 8, 10
+
+
+def estimated_bytes(frame: DataFrame) -> int:
+    """Size of a frame as the planner knows it from file sizes and literals, without a job; huge where it knows nothing."""
+    return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def hot_spans(rows: DataFrame, key: str, order: str, limit: int, width: int) -> DataFrame | bool:
-    """(key, first, step) of every key with more than ``limit`` rows, False if there is none.
+    """(key, tops, borders) of every key with more than ``limit`` rows, False if there is none.
 
-    A counting pass over two columns, combined map-side. ``step`` cuts the key's range of ``order`` values into as many
-    spans as it has ``width`` rows, however sparse the values are. The table stays distributed.
+    A table too small to hold that many rows is not counted at all. Otherwise the keys are counted (combined map-side),
+    and for hot ones approximate quantiles of ``order`` become the borders of spans of about ``width`` rows, twice that
+    at most, however the values are spread. A key with more than ``GRID`` times ``width`` rows gets ``GRID`` spans.
+    ``order`` is unique. Which borders are chosen never changes a result.
     """
-    sizes = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.min(order).alias("first"), F.max(order).alias("last")
-    )
-    table = sizes.filter(F.col("n") > limit).select(
-        key, "first", F.expr(f"(last - first) div ((n + {width - 1}) div {width}) + 1").alias("step")
-    )
-    table = cut_lineage(table)
-    return False if table.isEmpty() else table
+    if estimated_bytes(rows) < limit * LEAST_ROW_BYTES:
+        return False
+    sizes = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    hot = cut_lineage(sizes.filter(F.col("n") > limit))
+    if hot.isEmpty():
+        return False
+    grid = F.percentile_approx(order, F.array(*[F.lit(i / GRID) for i in range(1, GRID)]), 10_000)
+    quantiles = rows.select(key, order).join(hot, key).groupBy(key).agg(F.first("n").alias("n"), grid.alias("grid"))
+    spans = F.least(F.expr(f"(n + {width - 1}) div {width}"), F.lit(GRID)).cast("int")
+    cuts = F.filter(F.sequence(F.lit(1), F.lit(GRID - 1)), lambda i: (i * F.col("spans")) % GRID < F.col("spans"))
+    borders = F.array_distinct(F.transform(cuts, lambda i: F.element_at("grid", i)))
+    tops = F.filter("borders", lambda _, i: i % BLOCK == BLOCK - 1)
+    table = quantiles.withColumn("spans", spans).withColumn("borders", borders).select(key, tops.alias("tops"), "borders")
+    return cut_lineage(table)
 
 
 def with_span(rows: DataFrame, key: str, order: str, hot: DataFrame | bool, limit: int) -> DataFrame:
-    """Adds ``span`` (0 for keys that are not cut) and ``hot``."""
+    """Adds ``span`` (0 for keys that are not cut) and ``hot``: the borders at or below the row's value, in two steps."""
     if hot is False:
         return rows.withColumns({"span": F.lit(0).cast("bigint"), "hot": F.lit(False)})
-    table = hot.select(key, F.col("first").alias("_first"), F.col("step").alias("_step"))
+    table = hot.select(key, F.col("tops").alias("_tops"), F.col("borders").alias("_borders"))
     joined = rows.join(F.broadcast(table) if is_small(table, limit) else table, key, "left")
-    span = F.expr(f"({order} - _first) div _step")
+    at = F.col(order)
+    joined = joined.withColumn("_blocks", F.size(F.filter("_tops", lambda b: b <= at)))
+    rest = F.slice("_borders", F.col("_blocks") * BLOCK + 1, BLOCK)
+    span = F.col("_blocks") * BLOCK + F.size(F.filter(rest, lambda b: b <= at))
     return joined.withColumns(
-        {"span": F.coalesce(span, F.lit(0)).cast("bigint"), "hot": F.col("_step").isNotNull()}
-    ).drop("_first", "_step")
+        {
+            "span": F.when(F.col("_borders").isNotNull(), span).otherwise(F.lit(0)).cast("bigint"),
+            "hot": F.col("_borders").isNotNull(),
+        }
+    ).drop("_tops", "_borders", "_blocks")
 
 
 def is_small(table: DataFrame, limit: int) -> bool:
-    return table.limit(limit + 1).count() <= limit
+    """Whether a table has at most ``limit`` rows; only counted, up to there, where its size does not show it."""
+    return estimated_bytes(table) <= limit * KEYED_ROW_BYTES or table.limit(limit + 1).count() <= limit
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, limit: int) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Event text and date partitions are defined in UTC; with duplicate JSON keys the last one wins. Generated methods
@@ -31,11 +34,29 @@ def apply_engine_conf(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names in spark.checkpoint.dir.
+_own_folders: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in spark.checkpoint.dir; all executors share it.
+
+    Only where it is unset (tests, a laptop) one temporary folder per application is made.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        application = spark.sparkContext.applicationId
+        if application not in _own_folders:
+            _own_folders[application] = tempfile.mkdtemp(prefix="sensorwarden-")
+        folder = _own_folders[application]
+    return folder.rstrip("/")
+
+
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """The frame as a table in the shared folder: computed once, read with its columns pruned; a lost executor costs nothing.
 
-    Without such a folder the frame is returned as it is: the plan is longer but the result is the same.
+    Tables are left for the owner of the folder to clear.
     """
-    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
-        return df.checkpoint()
-    return df
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

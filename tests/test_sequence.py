@@ -258,6 +258,80 @@ def test_timeline_status_as_of(spark):
     assert timeline.filter(F.col("step") == 1).count() == 2
 
 
+@pytest.mark.parametrize("seed", range(20, 26))
+def test_cuts_never_show(spark, seed):
+    """Faults, runs and replays across spans of a few rows, on top of the state of an earlier batch."""
+    rng = random.Random(seed)
+    messages, top = [], 0
+    for seq in range(160):
+        top += rng.choice([0, 1, 1, 1, 1, 40 if seq % 37 == 0 else 1])
+        message = dict(make_messages(1, 1)[0], seq=seq * rng.choice([3, 5]) * 100 + seq, node_id="A", received_at=1_700_000_000 + seq * 9)
+        message["msg_id"] = max(0, top - rng.choice([0, 0, 0, 0, 3, 30, 90]))
+        message["status"] = rng.choices(["OPERATIONAL", "WARNING", "NOT_OPERATING"], [9, 1, 1])[0]
+        message["topic_node"] = "A"
+        messages.append(message)
+    messages.sort(key=lambda m: m["seq"])
+    readings, devices = frames(spark, messages)
+    columns = ["seq", "mark", "replay", "fresh", "accepted"]
+    around = ["prev.seq", "next_at", "streak", "recovered", "faulty"]
+    first = sequence.trace(readings.filter("seq < 9000"), devices, hot=False)
+    state = sequence.node_state(first)
+    for low, before in ((0, None), (9000, state)):
+        rows = readings.filter(F.col("seq") >= low)
+        whole = sequence.trace(rows, devices, Rules(), state=before, hot=False)
+        wanted, fresh = sorted(whole.select(*columns).collect()), sorted(whole.filter("fresh").select("seq", *around).collect(), key=repr)
+        for chunk in (2, 5, 23):
+            rules = Rules(hot_rows=0, chunk_rows=chunk)
+            cut = sequence.trace(rows, devices, rules, state=before)
+            assert cut.select("span").distinct().count() > 160 * (1 if low == 0 else 0.3) / chunk / 2
+            assert sorted(cut.select(*columns).collect()) == wanted
+            assert sorted(cut.filter("fresh").select("seq", *around).collect(), key=repr) == fresh
+
+
+def test_hot_nodes_cost_one_shuffle_of_rows(spark, monkeypatch):
+    """The rows are shuffled and sorted once and then kept; everything after that is a row per span."""
+    plans = []
+    write = sequence.cut_lineage
+
+    def kept(frame):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        physical = frame._jdf.queryExecution().executedPlan().toString()
+        plans[-1] = (plans[-1], physical)
+        return write(frame)
+
+    monkeypatch.setattr(sequence, "cut_lineage", kept)
+    readings, devices = frames(spark, make_messages(10))
+    traced = sequence.trace(readings, devices, Rules(hot_rows=20, chunk_rows=11))
+    rows = [physical for _, physical in plans if "temperature" in physical and "Window" in physical and "opens" in physical]
+    assert rows[0].count("Exchange hashpartitioning") == 1 and rows[0].count("Sort [") == 1
+    result = detect.security_events(traced, 2_000_000_000)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in result and "Window" not in result and "Sort [" not in result
+
+
+def test_small_tables_are_not_counted(spark, tmp_path):
+    readings, devices = frames(spark, make_messages(10))
+    readings.write.parquet(str(tmp_path / "readings"))
+    stored = spark.read.parquet(str(tmp_path / "readings"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("no job", "")
+    assert sequence.count_hot(stored, Rules()) is False
+    assert list(tracker.getJobIdsForGroup("no job")) == []
+    spark.sparkContext.setJobGroup("other", "")
+
+
+def test_spans_of_bunched_seqs_hold_rows(spark):
+    """One early stray message does not put all others into one span."""
+    rows = spark.range(1000).select(F.when(F.col("id") == 0, -(2**40)).otherwise(F.col("id")).alias("seq"), F.lit("n").alias("node_id"))
+    hot = sequence.count_hot(rows, Rules(hot_rows=500, chunk_rows=100))
+    cut = with_span(rows, "node_id", "seq", hot, 10).groupBy("span").count().collect()
+    assert len(cut) == 10 and max(r["count"] for r in cut) <= 200
+    many = spark.range(30_000).select((F.col("id") * F.col("id")).alias("seq"), F.lit("n").alias("node_id"))
+    hot = sequence.count_hot(many, Rules(hot_rows=500, chunk_rows=40))
+    cut = with_span(many, "node_id", "seq", hot, 10).groupBy("span").agg(F.count("*").alias("n"), F.min("seq"), F.max("seq")).orderBy("span").collect()
+    assert len(cut) > 700 and max(r["n"] for r in cut) <= 80
+    assert all(a[3] < b[2] for a, b in zip(cut, cut[1:]))
+
+
 def test_spans_of_sparse_seqs_hold_rows(spark):
     """Message offsets leave gaps in seq; spans are cut by rows all the same."""
     rows = spark.range(1000).select((F.col("id") * 65536 + 7).alias("seq"), F.lit("n").alias("node_id"))
