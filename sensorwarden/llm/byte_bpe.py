@@ -20,10 +20,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship
+from .common import ship, worker_table
 
-#: Bounds of what a Python worker keeps; beyond them a table starts anew.
-MAX_STATES, MAX_PAIRS, MAX_PIECES = 300_000, 400_000, 500_000
+#: Bytes that a Python worker keeps in tables of its own, about; a table beyond its share starts anew. The transducer takes
+#: half of them, remembered pieces and pairs of tokens a quarter each.
+TABLE_BYTES = 384 << 20
+
+#: What Python needs for an entry of a table besides its bytes; code points of a piece that is not worth remembering.
+ENTRY_BYTES, LONG_PIECE = 200, 64
+
+#: A rank beyond all others.
+NEVER = 1 << 60
 
 #: Pieces of a text, and tokens, that are handled at once.
 BLOCK = 50_000
@@ -34,35 +41,51 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in content.splitlines() if line)}
 
 
+#: A state is the last emitted token, and for each position a token may have begun at the open bytes since then and the
+#: tokens before it that are not emitted.
+START = (None, ((b"", ()),))
+
+
 class Transducer:
-    def __init__(self, ranks: dict[bytes, int], max_states: int | None = None):
-        self.max_states = max_states or MAX_STATES
-        self.max_pairs = min(MAX_PAIRS, 2 * self.max_states)
+    def __init__(self, ranks: dict[bytes, int], table_bytes: int = TABLE_BYTES):
+        self.max_bytes = table_bytes // 2
+        self.max_pairs = table_bytes // 8 // ENTRY_BYTES  # of each of the two tables
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("a byte-level vocabulary has every single byte")
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longer: dict[bytes, list[int]] = {}  # proper prefixes, with the tokens that go on from them
+        self.joins: dict[bytes, dict[bytes, int]] = {}  # left part of a token, its right parts, and the token's rank
         for token, rank in ranks.items():
             for n in range(1, len(token)):
                 self.longer.setdefault(token[:n], []).append(rank)
+                if token[:n] in ranks and token[n:] in ranks:
+                    self.joins.setdefault(token[:n], {})[token[n:]] = rank
         self.live: dict[tuple[int | None, bytes], bool] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.left_edges: dict[bytes, list[tuple[bytes, int]]] = {}
-        self.right_edges: dict[bytes, list[tuple[bytes, int]]] = {}
+        self.pairs: dict[int, bool] = {}
+        self.left_edges: dict[int, list[tuple[bytes, int]]] = {}
+        self.right_edges: dict[int, list[tuple[dict[bytes, int], int]]] = {}
         self._restart()
 
     def _restart(self) -> None:
-        # a state: last emitted token, and (open bytes, tokens not emitted) of each position a token may have begun at
-        start = (None, ((b"", ()),))
-        self.states, self.numbers, self.moves, self.ends = [start], {start: 0}, [{}], [b""]
+        self.states, self.numbers, self.moves, self.bytes = [], {}, [], 0
+        self._number(START)
+
+    def _number(self, state: tuple) -> int:
+        number = self.numbers.get(state)
+        if number is None:
+            number = self.numbers[state] = len(self.states)
+            self.states.append(state)
+            self.moves.append({})
+            self.bytes += 3 * ENTRY_BYTES + sum(ENTRY_BYTES + len(seen) + 8 * len(waiting) for seen, waiting in state[1])
+        return number
 
     def _halves(self, token: bytes) -> tuple[bytes, bytes]:
         """The two tokens whose merge is this one: plain merging, lowest rank first, leftmost among equals."""
         parts = [token[i : i + 1] for i in range(len(token))]
-        ranks, never = self.ranks, 1 << 60
+        ranks = self.ranks
         while len(parts) > 2:
-            i = min(range(len(parts) - 1), key=lambda k: ranks.get(parts[k] + parts[k + 1], never))
+            i = min(range(len(parts) - 1), key=lambda k: ranks.get(parts[k] + parts[k + 1], NEVER))
             merged = parts[i] + parts[i + 1]
             if merged not in ranks:
                 raise ValueError(f"merges never make the token {token!r}")
@@ -70,46 +93,66 @@ class Transducer:
         return parts[0], parts[1]
 
     def _edge(self, token: bytes, right: bool) -> list[tuple[bytes, int]]:
-        """What stands at one end of a token while its bytes are merged, each with the rank of the merge that takes it."""
-        edges = self.right_edges if right else self.left_edges
-        found = edges.get(token)
+        """What stands at one end of a token while its bytes are merged, shortest first, with the rank of the merge that
+        takes it.
+        """
+        found = [(token, NEVER)]
+        while len(token) > 1:
+            inner = self._halves(token)[right]
+            found.append((inner, self.ranks[token]))
+            token = inner
+        return found[::-1]
+
+    def _ends(self, left: int) -> list[tuple[dict[bytes, int], int]]:
+        """The right edge of a token, as far as something in it begins another token."""
+        found = self.right_edges.get(left)
         if found is None:
-            found = [(token, 1 << 60)]
-            if len(token) > 1:
-                inner = self._halves(token)[right]
-                found += [(inner, self.ranks[token]), *self._edge(inner, right)[1:]]
-            edges[token] = found
+            edge = self._edge(self.tokens[left], True)
+            found = self.right_edges[left] = [(self.joins[x], taken) for x, taken in edge if x in self.joins]
         return found
 
-    def follows(self, left: int | None, right: int) -> bool:
-        """Whether merging the bytes of both tokens never crosses the border between them.
+    def _fits(self, ends: list[tuple[dict[bytes, int], int]], right: int) -> bool:
+        """Whether no merge crosses the border to a right token.
 
         Ranks of performed merges never decrease, as a merge only makes room for later ones. So a border merge of rank m
         happens if it comes before the merge that takes its left side, and not after the one that takes its right side.
         """
+        firsts = self.left_edges.get(right)
+        if firsts is None:
+            firsts = self.left_edges[right] = self._edge(self.tokens[right], False)
+        for joins, x_taken in ends:
+            for y, y_taken in firsts:
+                m = joins.get(y)
+                if m is not None and m < x_taken and m <= y_taken:
+                    return False
+        return True
+
+    def follows(self, left: int | None, right: int) -> bool:
+        """Whether merging the bytes of both tokens never crosses the border between them."""
         if left is None:
             return True
-        known = self.pairs.get((left, right))
+        known = self.pairs.get(left << 32 | right)
         if known is None:
             if len(self.pairs) >= self.max_pairs:
                 self.pairs.clear()
-            ranks, known = self.ranks, True
-            firsts = self._edge(self.tokens[right], False)
-            for x, x_taken in self._edge(self.tokens[left], True):
-                for y, y_taken in firsts:
-                    m = ranks.get(x + y)
-                    if m is not None and m < x_taken and m <= y_taken:
-                        known = False
-            self.pairs[left, right] = known
+            known = self.pairs[left << 32 | right] = self._fits(self._ends(left), right)
         return known
 
     def alive(self, last: int | None, seen: bytes) -> bool:
         """Whether some token that goes on from the open bytes may follow the last one."""
+        longer = self.longer.get(seen)
+        if longer is None or last is None:
+            return longer is not None
         known = self.live.get((last, seen))
         if known is None:
             if len(self.live) >= self.max_pairs:
                 self.live.clear()
-            known = self.live[last, seen] = any(self.follows(last, token) for token in self.longer.get(seen, ()))
+            ends, known = self._ends(last), False
+            for token in longer:
+                if self._fits(ends, token):
+                    known = True
+                    break
+            self.live[last, seen] = known
         return known
 
     def _move(self, number: int, byte: int) -> tuple[bytes, int]:
@@ -132,25 +175,34 @@ class Transducer:
                 n += 1
             agreed = agreed[:n]
         state = (agreed[-1] if agreed else last, tuple((seen, waiting[len(agreed) :]) for seen, waiting in left))
-        target = self.numbers.get(state)
-        if target is None:
-            target = self.numbers[state] = len(self.states)
-            self.states.append(state)
-            self.moves.append({})
-            self.ends.append(_packed(state[1][-1][1]))
-        move = self.moves[number][byte] = (_packed(agreed), target)
+        move = self.moves[number][byte] = (_packed(agreed), self._number(state))
         return move
 
+    def _end(self, number: int, byte: int) -> bytes:
+        """What the last byte of a piece emits: no later byte can change it, so no state comes of it."""
+        last, places = self.states[number]
+        step = bytes([byte])
+        for seen, waiting in places:
+            token = self.ranks.get(seen + step)
+            if token is not None and self.follows(waiting[-1] if waiting else last, token):
+                return _packed((*waiting, token))
+        raise AssertionError("every prefix of a piece has an encoding")
+
     def encode_piece(self, piece: bytes) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if len(self.states) >= self.max_states:
-            self._restart()
-        out, state, moves = [], 0, self.moves
-        for byte in piece:
-            emitted, state = moves[state].get(byte) or self._move(state, byte)
+        """Ids as little-endian unsigned 32-bit integers. When the tables are full they start anew, inside a piece too."""
+        out, number, moves = [], 0, self.moves
+        for byte in piece[:-1]:
+            move = moves[number].get(byte)
+            if move is None:
+                if self.bytes > self.max_bytes:
+                    state = self.states[number]
+                    self._restart()
+                    number, moves = self._number(state), self.moves
+                move = self._move(number, byte)
+            emitted, number = move
             if emitted:
                 out.append(emitted)
-        out.append(self.ends[state])
+        out += [self._end(number, byte) for byte in piece[-1:]]
         return b"".join(out)
 
 
@@ -159,19 +211,23 @@ def _packed(ids: tuple[int, ...]) -> bytes:
 
 
 class Encoder(dict):
-    """Text to ids: each match of the pattern on its own; seen pieces are remembered up to a bound."""
+    """Text to ids: each match of the pattern on its own; seen pieces are remembered up to a bound in bytes."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int | None = None):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, table_bytes: int = TABLE_BYTES):
         import regex
 
         super().__init__()
-        self.pattern, self.transducer = regex.compile(pattern), Transducer(ranks, max_states)
-        self.max_pieces = min(MAX_PIECES, 2 * self.transducer.max_states)
+        self.pattern, self.transducer = regex.compile(pattern), Transducer(ranks, table_bytes)
+        self.bytes, self.max_bytes = 0, table_bytes // 4
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.max_pieces:
-            self.clear()
-        found = self[piece] = self.transducer.encode_piece(piece.encode())
+        found = self.transducer.encode_piece(piece.encode())
+        if len(piece) <= LONG_PIECE:
+            if self.bytes > self.max_bytes:
+                self.clear()
+                self.bytes = 0
+            self[piece] = found
+            self.bytes += ENTRY_BYTES + len(piece) + len(found)
         return found
 
     def encode(self, text: str) -> bytes:
@@ -219,16 +275,10 @@ def decode_stream(packed: bytes, tokens: dict[int, bytes], block: int = BLOCK) -
     yield stream.close()
 
 
-_encoders: dict[tuple[str, str, int], Encoder] = {}
-
-
-def encoder_of(content: bytes, pattern: str, max_states: int) -> Encoder:
+def encoder_of(content: bytes, pattern: str, table_bytes: int) -> Encoder:
     """One encoder per worker process and vocabulary."""
-    key = hashlib.sha256(content).hexdigest(), pattern, max_states
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(read_ranks(content), pattern, max_states)
-    return _encoders[key]
+    key = "byte_bpe", hashlib.sha256(content).hexdigest(), pattern, table_bytes
+    return worker_table(key, lambda: Encoder(read_ranks(content), pattern, table_bytes))
 
 
 def encode_documents(
@@ -238,12 +288,11 @@ def encode_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
-    max_states: int = MAX_STATES,
+    table_bytes: int = TABLE_BYTES,
 ) -> DataFrame:
     """Per row: id, n_tokens, ids_sha256, decoded_sha256; with_ids adds ids (binary, little-endian uint32).
 
-    ``max_states`` bounds the transducer a worker keeps (about a kilobyte each with all that hangs on them); fewer states
-    cost time, never a result.
+    ``table_bytes`` bounds what a worker remembers besides the vocabulary, about; less costs time, never a result.
 
     The vocabulary file is read by the driver (its size does not depend on the data) and sent to the workers. Null text is
     empty; ids and repeated rows are passed on as they are; an empty table gives no rows.
@@ -257,7 +306,7 @@ def encode_documents(
     schema = T.StructType([T.StructField(id_col, id_type)] + [T.StructField(n, k) for n, k in zip(names, kinds, strict=False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(sent.value, pattern, max_states)
+        encoder = encoder_of(sent.value, pattern, table_bytes)
         tokens = encoder.transducer.tokens
         for batch in batches:
             rows = []

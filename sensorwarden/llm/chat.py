@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 CHUNK = 64
 
+#: Code points of a block when spans are cut out of a conversation.
+BLOCK = 1024
+
 PART = "struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
 
 ATTACHED = ("image", "audio", "document")
@@ -180,6 +183,18 @@ def parsed_turns(formatted: Column, template: Template = Template()) -> Column:
 
 
 def masked_text(formatted: Column, loss: Column) -> Column:
-    """The text under a loss mask, unescaped, nothing between."""
-    spans = F.transform(loss, lambda s: unescape(F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int"))))
-    return F.array_join(spans, "")
+    """The text under a loss mask, unescaped, nothing between.
+
+    The string is cut into blocks of code points once; a span only counts code points inside its own blocks.
+    """
+
+    def cut(blocks: Column) -> Column:
+        def span(s: Column) -> Column:
+            first, behind = F.floor(s["start"] / BLOCK), F.ceil((s["start"] + s["length"]) / BLOCK)
+            near = F.array_join(F.slice(blocks, (first + 1).cast("int"), (behind - first).cast("int")), "")
+            return unescape(F.substring(near, (s["start"] % BLOCK + 1).cast("int"), s["length"].cast("int")))
+
+        return F.array_join(F.transform(loss, span), "")
+
+    blocks = F.regexp_extract_all(formatted, F.lit("(?s).{1,%d}" % BLOCK), F.lit(0))
+    return F.element_at(F.transform(F.array(blocks), cut), 1)

@@ -176,7 +176,9 @@ def window_counts(
 def phrase_counts(windows: DataFrame, min_count: int, width: int) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, k, f) of all phrases of up to ``width`` words with f >= min_count, and (lang, n) of all words."""
     names = [f"w{k + 1}" for k in range(width)]
-    summed = windows.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
+    # a rare longest window is no phrase: only its prefixes count
+    longest = F.when(F.col("n") >= min_count, F.col(names[-1])).alias(names[-1])
+    summed = windows.select("lang", *names[:-1], longest, "n").rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
     k = F.lit(width) - F.floor(F.log2(F.col("rolled") + 1)).cast("int")  # words that are not summed over
     last = F.element_at(F.array(*names), F.greatest(F.col("k"), F.lit(1)))
     leveled = summed.withColumn("k", k).filter("k >= 0").withColumn("last", last)

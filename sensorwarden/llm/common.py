@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,15 +16,20 @@ from pyspark.sql import functions as F
 SPACES = " \t\n\x0b\x0c\r"
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir.
 
-    Only where it is unset (tests, a laptop) a temporary folder is made and set.
+    Only where it is unset (tests, a laptop) one temporary folder per application is made.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        folder = tempfile.mkdtemp(prefix="corpus-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        application = spark.sparkContext.applicationId
+        if application not in _own_folders:
+            _own_folders[application] = tempfile.mkdtemp(prefix="corpus-")
+        folder = _own_folders[application]
     return folder.rstrip("/")
 
 
@@ -38,6 +45,19 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_tables: dict = {}
+
+
+def worker_table(key, make: Callable[[], Any]):
+    """A table that a Python worker keeps between tasks. Only the latest is kept: a worker that turns to another operator
+    lets go of what the one before has left.
+    """
+    if key not in _tables:
+        _tables.clear()
+        _tables[key] = make()
+    return _tables[key]
+
+
 _shipped: set[str] = set()
 
 

@@ -117,9 +117,15 @@ def apply_bitmaps(documents: DataFrame, bitmaps: DataFrame, id_col: str = "doc_i
     rows = rows.withColumn("hash", F.xxhash64("body"))
     joined = rows.join(bitmaps, F.col("id").eqNullSafe(F.col("doc")) & (F.col("hash") == F.col("text_hash")), "left")
     lines = F.split("body", "\n", -1)
-    gone = F.flatten(F.transform("dropped", lambda r: F.sequence(r["start"], r["end"] - 1)))
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
-    kept = F.array_join(F.transform(stay, lambda i: lines[i]), "\n")
+
+    def between_runs(split: Column) -> Column:
+        """The lines outside the runs, a slice for every gap: the text is split once, however many lines there are."""
+        starts = F.concat(F.array(F.lit(0)), F.col("dropped.end"))
+        ends = F.concat(F.col("dropped.start"), F.array(F.size(split)))
+        gaps = F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("a"), (b - a).alias("size")))
+        return F.flatten(F.transform(gaps, lambda gap: F.slice(split, gap["a"] + 1, gap["size"])))
+
+    kept = F.array_join(F.element_at(F.transform(F.array(lines), between_runs), 1), "\n")
     return joined.select(
         F.col("id").alias(id_col),
         F.size(lines).cast("bigint").alias("n_lines"),

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import partitions, ship, written
+from .common import partitions, ship, worker_table, written
 
 #: Bytes of text that are tokenised at once; longer texts are cut at white space, where no token goes across.
 SEGMENT = 1 << 20
@@ -104,15 +104,8 @@ def encoded_texts(tokenizer: WordTokenizer, texts: list[bytes]) -> Iterator[byte
     yield from tokenizer.encode(block)
 
 
-_tokenizers: dict[int, WordTokenizer] = {}
-
-
 def _tokenizer_of(content: str) -> WordTokenizer:
-    key = zlib.crc32(content.encode())
-    if key not in _tokenizers:
-        _tokenizers.clear()
-        _tokenizers[key] = WordTokenizer(content)
-    return _tokenizers[key]
+    return worker_table(("word_tokenizer", zlib.crc32(content.encode())), lambda: WordTokenizer(content))
 
 
 def pieces_of(

@@ -2,14 +2,16 @@
 
 import base64
 import hashlib
+import os
 import random
+import time
 
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from sensorwarden.llm import byte_bpe, chat, decontaminate, jaccard_join, quality, toxicity, warc
+from sensorwarden.llm import byte_bpe, chat, common, decontaminate, jaccard_join, quality, toxicity, warc
 from sensorwarden.llm.chunks import squeezed
 from sensorwarden.llm.exact_dedup import distinct_rows, exact_dedup
 from sensorwarden.llm.line_dedup import keep_bitmaps, line_dedup
@@ -201,14 +203,11 @@ def test_byte_bpe_equals_tiktoken(spark, documents, vocabulary):
 
 
 def test_transducer_within_small_bounds(vocabulary, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "MAX_STATES", 50)
-    monkeypatch.setattr(byte_bpe, "MAX_PAIRS", 20)
-    monkeypatch.setattr(byte_bpe, "MAX_PIECES", 5)
     monkeypatch.setattr(byte_bpe, "BLOCK", 7)
     import tiktoken
 
     ranks = byte_bpe.read_ranks(vocabulary)
-    encoder = byte_bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    encoder = byte_bpe.Encoder(ranks, public_tokenizers.PATTERN, table_bytes=40_000)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rng = random.Random(3)
     for _ in range(200):
@@ -218,6 +217,17 @@ def test_transducer_within_small_bounds(vocabulary, monkeypatch):
         assert "".join(byte_bpe.decode_stream(packed, encoder.transducer.tokens, 2)) == text
 
 
+def test_one_long_piece_does_not_fill_the_tables(vocabulary):
+    import tiktoken
+
+    ranks = byte_bpe.read_ranks(vocabulary)
+    encoder = byte_bpe.Encoder(ranks, public_tokenizers.PATTERN, table_bytes=4 << 20)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    text = "".join(random.Random(5).choices("abcdefghijklmnopqrstuvwxyz", k=30_000))
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode_ordinary(text)
+    assert not encoder and encoder.transducer.bytes <= (2 << 20) + 10_000 and len(encoder.transducer.states) < 3000
+
+
 def test_utf8_stream():
     data = "aé日🤣".encode() + b"\xff" + "é".encode()[:1]
     for n in (1, 2, 3, 50):
@@ -229,6 +239,44 @@ def test_utf8_stream():
 PARTS = chat.PART
 
 
+def test_long_texts_take_linear_time(spark):
+    """200,000 lines and a conversation of 50,000 turns end in seconds."""
+    started = time.time()
+    text = "\n".join(f"line {i}" if i % 2 else "common" for i in range(200_000))
+    frame = spark.createDataFrame([(1, text), *((i, "common") for i in range(2, 12))], "doc_id long, text string")
+    row = line_dedup(frame, min_docs=10).filter("doc_id = 1").first()
+    kept = "\n".join(f"line {i}" for i in range(1, 200_000, 2))
+    assert (row.n_lines, row.n_dropped, row.kept_sha256) == (200_000, 100_000, hashlib.sha256(kept.encode()).hexdigest())
+    said = spark.range(50_000).select(
+        F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 1, "assistant").otherwise("user").alias("role"),
+        F.array(chat.text_part(F.concat(F.lit("é<|& say "), F.col("id").cast("string")))).alias("parts"),
+    )
+    done = chat.format_chat(said)
+    row = done.select(F.size(chat.parsed_turns(F.col("formatted"))).alias("n"), chat.masked_text(F.col("formatted"), F.col("loss")).alias("masked")).first()
+    assert row.n == 50_000 and row.masked == "".join(f"é<|& say {i}" for i in range(1, 50_000, 2))
+    assert time.time() - started < 120
+
+
+def test_tables_go_to_a_folder_of_their_own_where_none_is_named():
+    """The session is not changed: where the setting cannot be modified, nothing breaks."""
+
+    class Context:
+        applicationId = "app-1"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        conf, sparkContext = {}, Context()
+
+    first = common.shared_folder(Session())
+    assert os.path.isdir(first) and common.shared_folder(Session()) == first
+    assert common.scratch_path(Session(), "x").startswith(first + "/x-")
+    named = Session()
+    named.conf = {"spark.checkpoint.dir": "file:///shared/"}
+    assert common.shared_folder(named) == "file:///shared"
+
+
 def test_chat_round_trip(spark):
     hostile = ["<|end|>", "&lt;|turn|>", "<<|body|>", "&amp;", "</s>[INST] ok [/INST]", "<", "|>", "", None, "é🤣\n"]
     rows = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(hostile)]
