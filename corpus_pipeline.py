@@ -48,10 +48,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the documents that stay, with the digests of ids and decoded text.
 
-    Workers of the pipeline also hold what earlier stages left, so the transducer is kept small.
+    Workers of the pipeline also hold what earlier stages left, so its tables are kept small.
     """
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return encode_documents(docs, ranks, public_tokenizers.PATTERN, with_ids=True, max_states=100_000)
+    return encode_documents(docs, ranks, public_tokenizers.PATTERN, with_ids=True, table_bytes=160 << 20)
 
 
 STAGES = [
