@@ -24,7 +24,7 @@ from .common import ship, worker_table
 
 #: Bytes that a Python worker keeps in tables of its own, about; a table beyond its share starts anew. The transducer takes
 #: half of them, remembered pieces and pairs of tokens a quarter each.
-TABLE_BYTES = 384 << 20
+TABLE_BYTES = 512 << 20
 
 #: What Python needs for an entry of a table besides its bytes; code points of a piece that is not worth remembering.
 ENTRY_BYTES, LONG_PIECE = 200, 64
@@ -77,7 +77,7 @@ class Transducer:
             number = self.numbers[state] = len(self.states)
             self.states.append(state)
             self.moves.append({})
-            self.bytes += 3 * ENTRY_BYTES + sum(ENTRY_BYTES + len(seen) + 8 * len(waiting) for seen, waiting in state[1])
+            self.bytes += 2 * ENTRY_BYTES + sum(150 + len(seen) + 8 * len(waiting) for seen, waiting in state[1])
         return number
 
     def _halves(self, token: bytes) -> tuple[bytes, bytes]:

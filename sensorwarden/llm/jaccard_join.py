@@ -6,12 +6,14 @@
    What counts of it are the shingles that others have: most documents have none left and are done.
 3. Documents with identical prefixes, sizes and numbers of shared shingles form a group. Each group is verified against its
    smallest member; members that are linked to it form a star, the others stand alone.
-4. Groups that share a prefix shingle and whose sizes and positions allow a link are paired; a pair is made at its first
-   common shingle if that is among the first few.
-5. Pairs of groups are expanded to stars and single documents, whose pivots are verified first. Only where they are not
-   linked are the members of stars compared, and of those only the ones that the triangle inequality of the Jaccard
-   distance leaves. Before any verification, the outlines of both sets (shared shingles counted by hash cell) bound what
-   they can have in common.
+4. Stars and single documents are units, with the prefix of their group. A prefix shingle links its units to a leader
+   first, one after another as long as that connects many: a thousand near copies become one component by a thousand
+   comparisons. Only units of different components still need a comparison. The postings of a shingle are contracted to
+   one row per component with the bounds of its units (sizes, positions, outlines), components are paired by those, and
+   pairs expanded to units that share the shingle.
+5. The pivots of paired units are verified first. Only where they are not linked are the members of stars compared, and
+   of those only the ones that the triangle inequality of the Jaccard distance leaves. Before any verification, the
+   outlines of both sets (shared shingles counted by hash cell) bound what they can have in common.
 The links, fewer than all pairs but enough to connect what is connected, are merged to components.
 """
 
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +39,7 @@ CARRIED = 4
 #: Cells of an outline: shared shingles counted by hash.
 CELLS = 128
 
-PROFILE = "id long, n int, high long, low long, shared int, prefix array<long>, outline array<smallint>, held binary"
+PROFILE = "id long, n long, high long, low long, shared long, prefix array<long>, outline array<smallint>, held binary"
 
 
 def sets_of(sizes: list[int], blob: bytes, words: int) -> list[np.ndarray]:
@@ -110,7 +112,7 @@ def outlines_allow(n_a: str, outline_a: str, n_b: str, outline_b: str, percent:
     Without an outline (a cell of a huge set is beyond 15 bits) they may.
     """
     least = F.zip_with(outline_a, outline_b, lambda a, b: F.least(a, b))
-    most = F.aggregate(least, F.lit(0), lambda total, cell: total + cell)
+    most = F.aggregate(least, F.lit(0), lambda total, cell: total + cell).cast("bigint")
     return F.coalesce(most * (100 + percent) >= percent * (F.col(n_a) + F.col(n_b)), F.lit(True))
 
 
@@ -124,7 +126,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("size_b"), F.col("held").alias("held_b"))
     joined = pairs.join(left, "a").join(right, "b")
     kept = [c for c in joined.columns if not c.startswith("held_")]
-    schema = joined.select(*kept).schema.add("common", T.IntegerType())
+    schema = joined.select(*kept).schema.add("common", T.LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,7 +134,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 shared_count(a.as_buffer(), b.as_buffer()) for a, b in zip(batch["held_a"], batch["held_b"], strict=True)
             ]
             columns = [batch[c] for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(common, pa.int32())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(common, pa.int64())], names=schema.names)
 
     return joined.mapInArrow(run, schema)
 
@@ -159,7 +161,7 @@ def profiles(documents: DataFrame, percent: int, words: int, id_col: str, text_c
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "n", "high", "low", "shared", "prefix", "outline", "held"]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int16()), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int16()), pa.binary()]
         for batch in batches:
             for row in batch.to_pylist():
                 sets = sets_of(row["sizes"], row["blob"], words)
@@ -174,35 +176,87 @@ def profiles(documents: DataFrame, percent: int, words: int, id_col: str, text_c
     return written(chunks.join(answers, "chunk", "left").mapInArrow(describe, PROFILE), "profiles")
 
 
-def group_pairs(groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups (g, h; g < h) that share a prefix shingle and may hold a link."""
-    posts = groups.select("g", "n", "shared", "prefix", "outline", F.posexplode("prefix").alias("pos", "shingle"))
-    before = F.slice("prefix", 1, F.least("pos", F.lit(CARRIED))).alias("before")
-    posts = posts.select("g", "n", "shingle", (F.col("shared") - F.col("pos")).alias("rest"), before, "outline")
-    a = posts.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("g", "n", "rest", "before", "outline")))
-    b = posts.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("g", "n", "rest", "before", "outline")))
+def _most_outline() -> Column:
+    """The cell-wise maximum of outlines, which bounds each of them; null if one is missing."""
+    most = F.array(*[F.max(F.col("outline")[cell]) for cell in range(CELLS)])
+    return F.when(F.count("outline") == F.count(F.lit(1)), most)
+
+
+def _sizes_allow(n_a: str, rest_a: str, n_b: str, rest_b: str, percent: int) -> Column:
+    """Whether units of these sizes may link that have so many shingles left from a common one on."""
+    return (
+        (F.col(n_a) * 100 >= percent * F.col(n_b))
+        & (F.col(n_b) * 100 >= percent * F.col(n_a))
+        & (F.least(rest_a, rest_b) * (100 + percent) >= percent * (F.col(n_a) + F.col(n_b)))
+    )
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None, unit: str = "u", name: str = "comp") -> DataFrame:
+    """The component of each unit; units without links are their own."""
+    if labels is None:
+        return rows.withColumn(name, F.col(unit))
+    known = labels.select(F.col("node").alias(unit), F.col("component").alias("_label"))
+    return rows.join(known, unit, "left").withColumn(name, F.coalesce("_label", unit)).drop("_label")
+
+
+def leader_pairs(postings: DataFrame, units: DataFrame, labels: DataFrame | None, turn: int, percent: int) -> DataFrame:
+    """(a, b): units and a leader of one of their shingles, in another component. Every turn has other leaders.
+
+    The order of leaders is the same for all shingles, so units that share many mostly share their leaders too.
+    """
+    placed = _labelled(postings, labels)
+    order = F.struct(F.xxhash64(F.lit(turn), F.col("u")), "u") if turn else F.struct(F.col("u"))
+    leaders = placed.groupBy("shingle").agg(
+        F.min_by(F.struct("u", "n", "rest", "comp"), order).alias("leader"), F.min("comp").alias("low"), F.max("comp").alias("high")
+    )
+    leaders = leaders.filter("low <> high").select("shingle", *(F.col(f"leader.{c}").alias(f"{c}_l") for c in ("u", "n", "rest", "comp")))
+    met = placed.join(leaders, "shingle").filter((F.col("comp") != F.col("comp_l")) & _sizes_allow("n", "rest", "n_l", "rest_l", percent))
+    pairs = met.select(F.least("u", "u_l").alias("a"), F.greatest("u", "u_l").alias("b")).distinct()
+    return _outlined(pairs, units, percent)
+
+
+def _outlined(pairs: DataFrame, units: DataFrame, percent: int) -> DataFrame:
+    """Pairs of units whose outlines leave a link possible."""
+    a, b = (units.select(F.col("u").alias(s), F.col("n").alias(f"n_{s}"), F.col("outline").alias(f"o_{s}")) for s in ("a", "b"))
+    return pairs.join(a, "a").join(b, "b").filter(outlines_allow("n_a", "o_a", "n_b", "o_b", percent)).select("a", "b")
+
+
+def component_pairs(postings: DataFrame, units: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
+    """(a, b): all pairs of units in different components that share a prefix shingle and may hold a link."""
+    placed = written(_labelled(postings, labels), "placed")
+    several = placed.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
+    placed = placed.join(several.select("shingle"), "shingle", "left_semi")
+    bounds = placed.join(units.select("u", "outline"), "u").groupBy("shingle", "comp").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("rest"), _most_outline().alias("outline")
+    )
+    bounds = written(bounds, "contracted")
+    a = bounds.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("comp", "low", "high", "rest", "outline")))
+    b = bounds.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("comp", "low", "high", "rest", "outline")))
     may = (
-        (F.col("g_a") < F.col("g_b"))
-        & (F.col("n_a") * 100 >= percent * F.col("n_b"))
-        & (F.col("n_b") * 100 >= percent * F.col("n_a"))
-        & (F.least("rest_a", "rest_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b")))
-        & ~F.arrays_overlap("before_a", "before_b")
-        & outlines_allow("n_a", "outline_a", "n_b", "outline_b", percent)
+        (F.col("comp_a") < F.col("comp_b"))
+        & (F.col("high_a") * 100 >= percent * F.col("low_b"))
+        & (F.col("high_b") * 100 >= percent * F.col("low_a"))
+        & (F.least("rest_a", "rest_b") * (100 + percent) >= percent * (F.col("low_a") + F.col("low_b")))
+        & outlines_allow("low_a", "outline_a", "low_b", "outline_b", percent)
     )
-    pairs = a.join(b, (a["shingle"] == b["shingle"]) & may).select(F.col("g_a").alias("g"), F.col("g_b").alias("h"))
-    return pairs.distinct()
+    met = a.join(b, (a["shingle"] == b["shingle"]) & may).select(a["shingle"], "comp_a", "comp_b")
+    left = placed.select("shingle", F.col("comp").alias("comp_a"), *(F.col(c).alias(f"{c}_a") for c in ("u", "n", "rest", "before")))
+    right = placed.select("shingle", F.col("comp").alias("comp_b"), *(F.col(c).alias(f"{c}_b") for c in ("u", "n", "rest", "before")))
+    half = met.join(left, ["shingle", "comp_a"])
+    fits = _sizes_allow("n_a", "rest_a", "n_b", "rest_b", percent) & ~F.arrays_overlap("before_a", "before_b")
+    same = (half["shingle"] == right["shingle"]) & (half["comp_b"] == right["comp_b"])
+    pairs = half.join(right, same & fits).select(F.least("u_a", "u_b").alias("a"), F.greatest("u_a", "u_b").alias("b"))
+    return _outlined(pairs.distinct(), units, percent)
 
 
 def jaccard_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that connect all that is connected, from distinct sets (id, n, shared, prefix, held)."""
+    """Links (a, b) that connect all that is connected, from distinct sets (id, n, shared, prefix, outline, held)."""
     spread = 1 - percent / 100
     key = F.struct(F.xxhash64("n", "shared", "prefix").alias("x"), F.xxhash64("prefix", "shared", "n").alias("y"))
     members = sets.select("id", "n", "shared", "prefix", "outline", key.alias("key"))
     same = [F.first(name).alias(name) for name in ("n", "shared", "prefix")]
     # the outline of a group bounds that of every member
-    most = F.array(*[F.max(F.col("outline")[cell]) for cell in range(CELLS)])
-    most = F.when(F.count("outline") == F.count(F.lit(1)), most).alias("outline")
-    groups = members.groupBy("key").agg(F.min("id").alias("g"), *same, most)
+    groups = members.groupBy("key").agg(F.min("id").alias("g"), *same, _most_outline().alias("outline"))
     groups = written(groups, "groups")
     of = written(members.select("id", "key").join(groups.select("key", "g"), "key").select("id", "g"), "members")
 
@@ -211,35 +265,39 @@ def jaccard_links(sets: DataFrame, percent: int) -> DataFrame:
     inside = star.filter(_linked(percent))
     links = inside.select("a", "b")
     far = star.filter(~_linked(percent)).select(F.col("b").alias("pivot"), F.col("a").alias("g"))
-    units = written(groups.select(F.col("g").alias("pivot"), "g").unionByName(far), "units")
     radius = inside.groupBy(F.col("a").alias("pivot")).agg(F.max(_distance()).alias("radius"))
 
-    # units of paired groups, and units of one group that are not its star: their pivots are compared
-    crossed = group_pairs(groups, percent)
-    outlines = sets.select("id", "n", "outline")
-    outlined = units.join(outlines.withColumnRenamed("id", "pivot"), "pivot").join(radius, "pivot", "left")
-    outlined = written(outlined.select("pivot", "g", "n", "outline", F.col("radius").isNotNull().alias("star")), "outlines")
-
-    def named(unit: str, group: str) -> DataFrame:
-        columns = {"pivot": unit, "g": group, "n": f"n_{unit}", "outline": f"o_{unit}", "star": f"star_{unit}"}
-        return outlined.select(*[F.col(old).alias(new) for old, new in columns.items()])
-
-    first, second = named("p", "g"), named("q", "h")
-    # the pivot of a star is compared even if it cannot link itself: its distance tells which of its members may
-    alike = F.col("star_p") | F.col("star_q") | outlines_allow("n_p", "o_p", "n_q", "o_q", percent)
-    own = first.join(second, (F.col("g") == F.col("h")) & (F.col("p") < F.col("q")) & (F.col("p") != F.col("g")) & alike).select("p", "q")
-    other = crossed.join(first, "g")
-    other = other.join(second, (other["h"] == second["h"]) & alike).select("p", "q")
-    pivots = own.unionByName(other).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
-    compared = written(verified(pivots, sets), "pivots")
+    # units, each with the outline that bounds all that it stands for, and their postings
+    heads = groups.select(F.col("g").alias("u"), "g", "n", "shared", "prefix", "outline")
+    own = sets.select(F.col("id").alias("pivot"), "outline")
+    others = far.join(own, "pivot").join(groups.select("g", "n", "shared", "prefix"), "g")
+    units = heads.unionByName(others.withColumnRenamed("pivot", "u"))
+    units = written(units, "units")
+    posts = units.select("u", "g", "n", "shared", "prefix", F.posexplode("prefix").alias("pos", "shingle"))
+    before = F.slice("prefix", 1, F.least("pos", F.lit(CARRIED))).alias("before")
+    rest = (F.col("shared") - F.col("pos")).alias("rest")
+    postings = written(posts.select("u", "n", "shingle", rest, before), "postings")
+
+    # leaders, as long as a turn connects a good part of what it compares
+    labels, turn, going = None, 0, True
+    while going:
+        tried = written(verified(leader_pairs(postings, units, labels, turn, percent), sets), "led")
+        found = tried.filter(_linked(percent)).select("a", "b")
+        total, linked = tried.agg(F.count(F.lit(1)), F.count_if(_linked(percent))).first()
+        if linked:
+            links = written(links.unionByName(found), "links-so-far")
+            labels = components(links)
+        turn, going = turn + 1, linked * 20 > total
+
+    compared = written(verified(component_pairs(postings, units, labels, percent), sets), "pivots")
     links = links.unionByName(compared.filter(_linked(percent)).select("a", "b"))
 
     # members of stars where the pivots are not linked; a pivot of a star is compared with the members of the other unit,
     # a member that missed its pivot is in a unit of its own and was compared with that pivot already
     gap = compared.filter(~_linked(percent)).withColumn("gap", _distance())
-    gap = gap.select("a", "b", "gap").unionByName(far.select(F.col("g").alias("a"), F.col("pivot").alias("b")).join(
-        star.select("a", "b", _distance().alias("gap")), ["a", "b"]
-    ))
+    missed = star.filter(~_linked(percent)).select("a", "b", _distance().alias("gap"))
+    missed = _labelled(_labelled(missed, labels, "a", "comp_a"), labels, "b", "comp_b").filter("comp_a <> comp_b")
+    gap = gap.select("a", "b", "gap").unionByName(missed.select("a", "b", "gap")).distinct()
     wide = gap.join(radius.select(F.col("pivot").alias("a"), F.col("radius").alias("ra")), "a", "left").join(
         radius.select(F.col("pivot").alias("b"), F.col("radius").alias("rb")), "b", "left"
     )
@@ -247,8 +305,9 @@ def jaccard_links(sets: DataFrame, percent: int) -> DataFrame:
         (F.col("ra").isNotNull() | F.col("rb").isNotNull())
         & (F.coalesce("ra", F.lit(0.0)) + F.coalesce("rb", F.lit(0.0)) + spread + 1e-9 >= F.col("gap"))
     ).select("a", "b", "gap")
+    outlines = sets.select("id", "n", "outline")
     reach = inside.select(F.col("a").alias("pivot"), F.col("b").alias("member"), _distance().alias("d"))
-    reach = reach.unionByName(units.select("pivot", F.col("pivot").alias("member"), F.lit(0.0).alias("d")))
+    reach = reach.unionByName(units.select(F.col("u").alias("pivot"), F.col("u").alias("member"), F.lit(0.0).alias("d")))
     reach = written(reach.join(outlines.withColumnRenamed("id", "member"), "member"), "reach")
 
     def side(pivot: str, member: str) -> DataFrame:
@@ -272,22 +331,24 @@ def jaccard_components(
     """Per row: id, n_shingles, component_id (the smallest id reachable by links, itself included).
 
     Two documents link when 100 * common >= percent * union of their sets of distinct shingles. Fewer words than a shingle
-    are one shingle; null and empty texts have an empty set and no links. Of rows that repeat an id with different sets
-    the one with the smallest digest is compared, the others link by identical sets. A null id gets the component of an
-    identical set that has an id, else null. An empty table gives no rows.
+    are one shingle; null and empty texts have an empty set and no links. Sets are compared, not ids: rows that repeat an
+    id with different texts link by each of them, rows without an id too, and identical sets are one. The component is
+    named by its smallest id, null if it has none. An empty table gives no rows.
     """
     all_rows = profiles(documents, percent, words, id_col, text_col)
     filled = all_rows.filter("n > 0")
     digest = ["n", "high", "low"]
-    classes = filled.groupBy(*digest).agg(F.min("id").alias("rep"))
+    classes = filled.groupBy(*digest).agg(F.min("id").alias("first_id")).withColumn("class", F.monotonically_increasing_id())
     classes = written(classes, "set-classes")
-    # of each class the row with the smallest id stands for it
-    usable = filled.filter(F.col("prefix").isNotNull() & F.col("id").isNotNull())
-    sets = usable.join(classes, digest).filter("id = rep")
-    one = F.min_by(F.struct("n", "shared", "prefix", "outline", "held"), F.struct(*digest)).alias("one")
-    sets = written(sets.groupBy("id").agg(one).select("id", "one.*"), "sets")
-    found = components(jaccard_links(sets, percent))
-    mapped = classes.join(found, F.col("rep") == F.col("node"), "left").select(*digest, F.coalesce("component", "rep").alias("component"))
+    # identical sets have identical profiles: any row stands for its class
+    usable = filled.filter(F.col("prefix").isNotNull()).join(classes.select(*digest, "class", "first_id"), digest)
+    usable = usable.filter(F.col("id").eqNullSafe(F.col("first_id")))
+    one = F.first(F.struct("n", "shared", "prefix", "outline", "held")).alias("one")
+    sets = written(usable.groupBy(F.col("class").alias("id")).agg(one).select("id", "one.*"), "sets")
+    found = components(jaccard_links(sets, percent)).select(F.col("node").alias("class"), F.col("component").alias("of"))
+    placed = classes.join(found, "class", "left").withColumn("of", F.coalesce("of", "class"))
+    names = placed.groupBy("of").agg(F.min("first_id").alias("component"))
+    mapped = placed.join(names, "of").select(*digest, "component")
     light = all_rows.select("id", *digest)
     return light.join(mapped, digest, "left").select(
         F.col("id").alias(id_col),

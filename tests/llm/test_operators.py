@@ -155,6 +155,29 @@ def test_jaccard_components_of_stars(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(rows, 85, 4)
 
 
+def test_jaccard_components_of_one_large_family(spark):
+    """Near copies around the threshold: one component by leaders, few comparisons for what is left."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for k in range(250):
+        words = list(base)
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(words)))
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 80, 5)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(rows, 80, 5)
+
+
+def test_jaccard_components_of_repeated_ids(spark):
+    """Every text of a repeated id keeps its links, and so does a text without an id."""
+    base = [f"w{i}" for i in range(60)]
+    near, nearer = [*base[:59], "y"], [*base[:58], "z", "y"]
+    rows = [(5, "some other text of five words"), (5, " ".join(base)), (9, " ".join(base)), (7, " ".join(near)), (None, " ".join(nearer)), (8, "alone")]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 85, 4)
+    assert order(got.select("doc_id", "component_id").collect()) == order([(5, 5), (5, 5), (9, 5), (7, 5), (None, 5), (8, 8)])
+
+
 def test_jaccard_components_of_odd_ids(spark):
     rows = [(None, "a b c d e"), (3, "a b c d e"), (3, "other words than those"), (None, "alone it is"), (4, None), (5, "")]
     got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 85, 4)
