@@ -44,6 +44,14 @@ def pipeline_counters(
     )
 
 
+def batch_metrics(rules: Rules = Rules()) -> list[Column]:
+    """Counters of traced messages as metrics that are observed while these are written."""
+    return [
+        F.count_if("accepted").alias("accepted"),
+        F.coalesce(F.sum(events_of_message(rules)), F.lit(0)).cast("bigint").alias("security_events"),
+    ]
+
+
 def table_counts(**tables: DataFrame) -> DataFrame:
     """(table_name, n) of each table as a distinct union."""
     counts = [

@@ -34,6 +34,11 @@ def offline_rows(traced: DataFrame, as_of: Column | int, rules: Rules = Rules())
     return traced.withColumn("offline_at", offline_at(as_of, rules)).filter(F.col("offline_at").isNotNull())
 
 
+def closed_silences(traced: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Silences that a later message of the same frame ended; what is still open at its end is left to whoever goes on."""
+    return offline_rows(traced.filter(F.col("next_at").isNotNull()), 0, rules)
+
+
 def recoveries(traced: DataFrame) -> DataFrame:
     return traced.filter("recovered").select("seq", "node_id", "msg_id", "received_at")
 

@@ -87,11 +87,6 @@ def append_log_lines(lines: DataFrame, path: str) -> None:
     lines.select("line").write.mode("append").text(path)
 
 
-def write_snapshot(table: DataFrame, path: str) -> None:
-    """A new version of a maintained table in a directory of its own."""
-    table.write.mode("errorifexists").parquet(path)
-
-
 def purge_logs(spark: SparkSession, table: str, as_of: int, retention_days: int, staging: str) -> int:
     """Deletes rows with a device clock before the cutoff from a managed table partitioned by event_date.
 

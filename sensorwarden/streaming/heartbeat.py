@@ -1,4 +1,4 @@
-"""Offline detection of a stream: every closed silence, and a timer per node for the open one."""
+"""Offline detection of a stream: the silences between its batches, and a timer per node for the open one."""
 
 from __future__ import annotations
 
@@ -16,10 +16,11 @@ from sensorwarden.operators.maintenance import event_rows
 from sensorwarden.schemas import LAST_READING
 
 _READING = "status STRING, msg_id BIGINT, timestamp BIGINT, temperature FLOAT, humidity FLOAT"
-BEAT = f"seq BIGINT, node_id STRING, received_at BIGINT, {_READING}, accepted BOOLEAN, faulty BOOLEAN"
+BEAT = f"node_id STRING, first_seq BIGINT, first_at BIGINT, seq BIGINT, silent BOOLEAN, received_at BIGINT, {_READING}"
 OFFLINE = f"seq BIGINT, node_id STRING, received_at BIGINT, {_READING}, offline_at BIGINT"
 _STATE = f"seq BIGINT, silent BOOLEAN, received_at BIGINT, {_READING}"
-_KEPT = [part.split()[0] for part in f"received_at BIGINT, {_READING}".split(", ")]
+_LAST = [part.split()[0] for part in _STATE.split(", ")]
+_KEPT = [name for name in _LAST if name != "silent"]
 
 
 def _plain(value):
@@ -32,10 +33,9 @@ def _plain(value):
 class HeartbeatProcessor(StatefulProcessor):
     """Keeps the newest fresh message of a node and, while it may fall silent, a timer at the scan after the timeout.
 
-    Messages are taken in ``seq`` order by the rule of the batch: an accepted message of a node that is not FAULTY goes
-    offline at that scan unless the next fresh message comes before. Silences that a later message has closed are reported
-    at once, however many a call holds; the timer reports the open one. Timers run on the processing clock; ``received_at``
-    is the gateway clock, so both are wall clock times.
+    A node comes with one row per ingested batch (``beats_of``): its first arrival, which ends the silence before it, and
+    its newest message. Silences inside a batch were found by a window over it. Timers run on the processing clock;
+    ``received_at`` is the gateway clock, so both are wall clock times.
     """
 
     def __init__(self, rules: Rules = Rules()) -> None:
@@ -46,48 +46,46 @@ class HeartbeatProcessor(StatefulProcessor):
         self.handle = handle
         self.last = handle.getValueState("last", _STATE)
 
-    def _scan(self, received_at):
+    def _scan(self, received_at: int) -> int:
         return ((received_at + self.timeout_s) // self.interval_s + 1) * self.interval_s
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        beats = pd.concat(list(rows)).sort_values("seq")
-        beats["silent"] = beats["accepted"] & ~beats["faulty"] & (beats["received_at"] > 0)
-        known = self.last.get() if self.last.exists() else None
-        if known is not None:
-            beats = beats[beats["seq"] > known[0]]
-            if beats.empty:
-                return
-            before = pd.DataFrame([dict(zip(["seq", "silent", *_KEPT], known, strict=True))])
-            beats = pd.concat([before, beats[["seq", "silent", *_KEPT]]])
-        offline_at = self._scan(beats["received_at"])
-        closed = beats["silent"].astype(bool) & (offline_at < beats["received_at"].shift(-1))
+        known = dict(zip(_LAST, self.last.get(), strict=True)) if self.last.exists() else None
+        beats = sorted((row for part in rows for row in part.to_dict("records")), key=lambda row: row["seq"])
+        found = []
+        for beat in beats:
+            if known and beat["seq"] <= known["seq"]:
+                continue  # a batch that came again
+            if known and known["silent"] and self._scan(known["received_at"]) < beat["first_at"]:
+                found.append(known)
+            known = {name: _plain(beat[name]) for name in _LAST}
+        if known is None or not beats:
+            return
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        newest = beats.iloc[-1]
-        self.last.update(tuple(_plain(newest[name]) for name in ("seq", "silent", *_KEPT)))
-        if newest["silent"]:
-            self.handle.registerTimer(int(self._scan(newest["received_at"])) * 1000)
-        if closed.any():
-            yield self._found(key, beats[closed], offline_at[closed])
+        self.last.update(tuple(known[name] for name in _LAST))
+        if known["silent"]:
+            self.handle.registerTimer(self._scan(known["received_at"]) * 1000)
+        if found:
+            yield self._found(key, found)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        known = self.last.get() if self.last.exists() else None
-        if known is None or not known[1]:
+        known = dict(zip(_LAST, self.last.get(), strict=True)) if self.last.exists() else None
+        if known is None or not known["silent"]:
             return
-        self.last.update((known[0], False, *known[2:]))
-        row = pd.DataFrame([dict(zip(["seq", "silent", *_KEPT], known, strict=True))])
-        yield self._found(key, row, self._scan(row["received_at"]))
+        self.last.update(tuple({**known, "silent": False}[name] for name in _LAST))
+        yield self._found(key, [known])
 
-    @staticmethod
-    def _found(key, beats: pd.DataFrame, offline_at: pd.Series) -> pd.DataFrame:
-        return beats.assign(node_id=key[0], offline_at=offline_at)[["seq", "node_id", *_KEPT, "offline_at"]]
+    def _found(self, key, beats: list[dict]) -> pd.DataFrame:
+        rows = [{**{n: b[n] for n in _KEPT}, "node_id": key[0], "offline_at": self._scan(b["received_at"])} for b in beats]
+        return pd.DataFrame(rows)[["seq", "node_id", *_KEPT[1:], "offline_at"]]
 
     def close(self) -> None:
         pass
 
 
 def heartbeats(beats: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Streaming fresh messages (columns of BEAT) -> offline transitions (columns of OFFLINE).
+    """Streaming beats (columns of BEAT) -> offline transitions (columns of OFFLINE).
 
     Needs the RocksDB state store. The state is one row per node.
     """
@@ -100,8 +98,15 @@ def heartbeats(beats: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def beats_of(traced: DataFrame) -> DataFrame:
-    """What the processor needs of traced messages."""
-    return traced.filter("fresh").select(*[part.split()[0] for part in BEAT.split(", ")])
+    """What the processor needs of a batch: one row per node with fresh messages; combined map-side."""
+    silent = F.col("accepted") & ~F.col("faulty") & (F.col("received_at") > 0)
+    newest = F.struct("seq", silent.alias("silent"), *_KEPT[1:])
+    return (
+        traced.filter("fresh")
+        .groupBy("node_id")
+        .agg(F.min(F.struct("seq", "received_at")).alias("first"), F.max_by(newest, "seq").alias("newest"))
+        .select("node_id", F.col("first.seq").alias("first_seq"), F.col("first.received_at").alias("first_at"), "newest.*")
+    )
 
 
 def offline_event_rows(offline: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -111,19 +116,27 @@ def offline_event_rows(offline: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def start_heartbeats(
-    spark: SparkSession, traced_path: str, schema, events_path: str, checkpoint: str, rules: Rules = Rules(), **trigger
+    spark: SparkSession,
+    beats_path: str,
+    events_path: str,
+    checkpoint: str,
+    rules: Rules = Rules(),
+    files_per_batch: int = 1000,
+    **trigger,
 ) -> StreamingQuery:
-    """Follows the traced messages an ingest writes and appends its offline events to ``events_path``.
+    """Follows the beats an ingest writes and appends the offline events it could not know to ``events_path``.
 
-    Each batch writes a directory of its own, so a repeated one changes nothing.
+    A micro-batch takes at most ``files_per_batch`` files, so a backlog comes in portions. Each batch writes a directory
+    of its own, so a repeated one changes nothing.
     """
-    traced = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(traced_path)
+    reader = spark.readStream.schema(BEAT).option("recursiveFileLookup", "true")
+    beats = reader.option("maxFilesPerTrigger", files_per_batch).parquet(beats_path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         offline_event_rows(batch, rules).write.mode("overwrite").parquet(f"{events_path}/offline_batch={batch_id}")
 
     return (
-        heartbeats(beats_of(traced), rules)
+        heartbeats(beats, rules)
         .writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
