@@ -4,13 +4,14 @@ Only the longest windows are counted: every word begins one, made of it and its
 its piece of text ends. One ROLLUP over the window's columns sums them to the counts of all shorter phrases and of all words
 of a language, so no n-gram but the longest is ever made.
 
-A window is also padded behind its first rare pair of words: no phrase across it can be frequent. Pairs are counted by
-chunks of documents and hash buckets (chunks.py); equal hashes only make a pair look more frequent, so this loses nothing.
+A window is also padded behind its first rare pair or triple of words: no phrase across it can be frequent. Pairs, then
+triples of frequent pairs, are counted by chunks of documents and hash buckets (chunks.py); equal hashes only make them
+look more frequent, so this loses nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -90,36 +91,51 @@ class Pieces:
         number = {word: i for i, word in enumerate(self.vocabulary)}
         number[b"\n"] = -1
         self.ids = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
-        first = self.ids[:-1]
-        self.start = np.flatnonzero((first >= 0) & (self.ids[1:] >= 0))  # of pairs
-        seed = np.uint64(xxhash.xxh64_intdigest(lang.encode()))
-        hashes = word_hashes(self.vocabulary)
-        self.pairs = mixed(hashes[self.ids[self.start]] * MULTIPLIER + hashes[self.ids[self.start + 1]] ^ seed)
-
-    def windows(self, frequent: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        self.hashes = word_hashes(self.vocabulary)
+        self.seed = np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+
+    def runs(self, size: int, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Start and hash of every run of so many words within a piece; ``inside`` tells where shorter runs go on."""
+        ids, count = self.ids, max(0, len(self.ids) - size + 1)
+        fits = np.ones(count, bool) if inside is None else inside[:count] & inside[1 : count + 1]
+        for k in range(size):
+            fits &= ids[k : k + count] >= 0
+        start = np.flatnonzero(fits)
+        found = np.full(len(start), np.uint64(size))
+        for k in range(size):
+            found = found * MULTIPLIER + self.hashes[ids[start + k]]
+        return start, mixed(found ^ self.seed)
+
+    def marked(self, start: np.ndarray, often: np.ndarray) -> np.ndarray:
+        """For every word whether a frequent run starts there."""
+        marks = np.zeros(len(self.ids) + 4, bool)
+        marks[start[often]] = True
+        return marks
+
+    def windows(self, pairs: np.ndarray, triples: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct windows as rows of word numbers, -1 for padding, and how often each occurs.
 
-        ``frequent`` tells for every pair whether a window may go across it.
+        A window goes on while its pairs and triples are frequent.
         """
-        on = np.zeros(len(self.ids) + width, bool)
-        on[self.start[frequent]] = True
         begin = np.flatnonzero(self.ids >= 0)
         columns, goes_on = [self.ids[begin]], np.ones(len(begin), bool)
-        padded = np.append(self.ids, np.full(width, -1))
+        padded, on = np.append(self.ids, np.full(width, -1)), np.append(pairs, np.zeros(width, bool))
+        further = np.append(triples, np.zeros(width, bool))
         for k in range(1, width):
             goes_on &= on[begin + k - 1]
+            if k > 1:
+                goes_on &= further[begin + k - 2]
             columns.append(np.where(goes_on, padded[begin + k], -1))
         # two columns at a time are renumbered, so that codes never leave 64 bits
-        code, kinds = columns[-1] + 1, len(self.vocabulary) + 1
+        code = columns[-1] + 1
         for column in columns[-2::-1]:
             _, code = np.unique(code, return_inverse=True)
             code = (column + 1) * (len(code) + 1) + code
         _, at, counts = np.unique(code, return_index=True, return_counts=True)
-        assert kinds * (len(begin) + 1) < 1 << 63
         return np.stack([column[at] for column in columns], axis=1), counts
 
 
-def pair_answer(min_count: int):
+def frequency_answer(min_count: int):
     """For (bucket, chunk, values, counts): which values occur often enough over all chunks."""
 
     def answer(rows: list[tuple]) -> list[bytes]:
@@ -140,26 +156,39 @@ def window_counts(
     total = chunks.agg(F.sum("size")).first()[0] or 0
     buckets = max(16, -(-total // (7 * BUCKET_PAIRS)))
     names = [f"w{k + 1}" for k in range(width)]
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns, kinds = ["bucket", "chunk", "values", "counts"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-        for batch in batches:
-            for row in batch.to_pylist():
-                values, counts = np.unique(block_keys(Pieces(row["lang"], row["blob"]).pairs, buckets), return_counts=True)
-                given = [(values & LOW).astype(np.uint32), np.minimum(counts, min_count).astype(np.uint32)]
-                encode = [np.ndarray.tobytes, lambda c: squeezed(c.tobytes())]
-                rows = list(rows_by_bucket(row["chunk"], values >> np.uint64(32), given, encode))
-                lists = list(zip(*rows, strict=True)) or [()] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(lists, kinds, strict=True)], names=columns)
+    texts = chunks.select("chunk", "lang", "blob")
+
+    def often(hashes: np.ndarray, answers: list[dict] | None) -> np.ndarray:
+        keys = block_keys(hashes, buckets)
+        values = np.unique(keys)
+        return has(chosen(values, values >> np.uint64(32), answers), keys)
+
+    def frequent_pairs(pieces: Pieces, row: dict) -> np.ndarray:
+        start, hashes = pieces.runs(2)
+        return pieces.marked(start, often(hashes, row["pairs"]))
+
+    def asking(hashes_of: Callable[[Pieces, dict], np.ndarray]):
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            columns, kinds = ["bucket", "chunk", "values", "counts"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+            for batch in batches:
+                for row in batch.to_pylist():
+                    hashes = hashes_of(Pieces(row["lang"], row["blob"]), row)
+                    values, counts = np.unique(block_keys(hashes, buckets), return_counts=True)
+                    given = [(values & LOW).astype(np.uint32), np.minimum(counts, min_count).astype(np.uint32)]
+                    encode = [np.ndarray.tobytes, lambda c: squeezed(c.tobytes())]
+                    rows = list(rows_by_bucket(row["chunk"], values >> np.uint64(32), given, encode))
+                    lists = list(zip(*rows, strict=True)) or [()] * 4
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(lists, kinds, strict=True)], names=columns)
+
+        return ask
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 pieces = Pieces(row["lang"], row["blob"])
-                keys = block_keys(pieces.pairs, buckets)
-                values = np.unique(keys)
-                often = chosen(values, values >> np.uint64(32), row["answers"])
-                found, counts = pieces.windows(has(often, keys), width)
+                pairs = frequent_pairs(pieces, row)
+                start, hashes = pieces.runs(3, pairs)
+                found, counts = pieces.windows(pairs, pieces.marked(start, often(hashes, row["triples"])), width)
                 vocabulary = pa.array(pieces.vocabulary, pa.binary()).cast(pa.string())
                 words = [vocabulary.take(pa.array(c, pa.int64(), mask=c < 0)) for c in found.T]
                 lang = pa.array([row["lang"]] * len(counts), pa.string())
@@ -167,9 +196,14 @@ def window_counts(
                 for at in range(0, len(counts), 50_000):
                     yield table.slice(at, 50_000)
 
-    asked = chunks.select("chunk", "lang", "blob").mapInArrow(ask, "bucket int, chunk long, values binary, counts binary")
-    joined = chunks.select("chunk", "lang", "blob").join(answered(asked, pair_answer(min_count)), "chunk", "left")
-    counted = joined.mapInArrow(count, "lang string, " + ", ".join(f"{n} string" for n in names) + ", n long")
+    questions = "bucket int, chunk long, values binary, counts binary"
+    answer = frequency_answer(min_count)
+    pairs = answered(texts.mapInArrow(asking(lambda pieces, row: pieces.runs(2)[1]), questions), answer)
+    known = texts.join(pairs.withColumnRenamed("answers", "pairs"), "chunk", "left")
+    third = asking(lambda pieces, row: pieces.runs(3, frequent_pairs(pieces, row))[1])
+    triples = answered(known.mapInArrow(third, questions), answer)
+    known = known.join(triples.withColumnRenamed("answers", "triples"), "chunk", "left")
+    counted = known.mapInArrow(count, "lang string, " + ", ".join(f"{n} string" for n in names) + ", n long")
     return written(counted.groupBy("lang", *names).agg(F.sum("n").alias("n")), "windows")
 
 
