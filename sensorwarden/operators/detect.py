@@ -61,7 +61,9 @@ def _float(value: float) -> Column:
 
 
 def device_gap() -> Column:
-    return F.col("timestamp") - F.col("prev.timestamp")
+    """Wider than 64 bits: device clocks may be any 64-bit number."""
+    wide = "decimal(20,0)"
+    return F.col("timestamp").cast(wide) - F.col("prev.timestamp").cast(wide)
 
 
 def wall_gap() -> Column:

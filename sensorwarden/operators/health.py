@@ -73,11 +73,11 @@ def status_as_of(timeline: DataFrame, at: Column | int) -> DataFrame:
     )
 
 
-def liveness_sessions(traced: DataFrame, rules: Rules = Rules()) -> DataFrame:
+def liveness_sessions(traced: DataFrame, rules: Rules = Rules(), spanned: bool = True) -> DataFrame:
     """Stretches of accepted messages without a gap above the timeout.
 
-    A session is named by its first message, so it is a plain aggregation that combines map-side. Sessions
-    that run on from an earlier span of a hot node look their first message up.
+    A session is named by its first message, so it is a plain aggregation where the rows of a node lie. Sessions that run
+    on from an earlier span of a hot node look their first message up; without hot nodes (not ``spanned``) there are none.
     """
     gap = F.col("received_at") - F.col("prev.received_at")
     starts = F.col("prev").isNull() | (gap > rules.offline_timeout_s)
@@ -95,6 +95,8 @@ def liveness_sessions(traced: DataFrame, rules: Rules = Rules()) -> DataFrame:
             F.count(F.lit(1)).alias("messages"),
         )
     )
+    if not spanned:
+        return pieces.drop("span")
     earlier = Window.partitionBy("node_id").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     running = (
         pieces.groupBy("node_id", "span")

@@ -7,24 +7,20 @@ from pyspark.sql import functions as F
 
 from sensorwarden.config import Rules
 from sensorwarden.functions.text import clock, event_date
-from sensorwarden.operators.skew import is_small, ranked
+from sensorwarden.operators.skew import is_small, ranked, sliced_join
 
 LOG_VALUES = ("temp", "humi", "gas", "light_level", "buzzer_active", "is_muted", "status", "msg_id", "timestamp")
 
 
-def attach_device(logs: DataFrame, devices: DataFrame, limit: int, how: str = "inner") -> DataFrame:
+def attach_device(logs: DataFrame, devices: DataFrame, rules: Rules, how: str = "inner") -> DataFrame:
     """node_id and sensor_type of each log row; the device table is broadcast while it is small.
 
-    Without broadcast the log rows of one device would meet in one task, so both sides are spread: every
-    device row is repeated once per slice of its log rows.
+    Beyond that the log rows of a device that owns many would meet in one task, so those are sliced.
     """
     names = devices.select(F.col("id").alias("device_id"), "node_id", "sensor_type")
-    if is_small(names, limit):
+    if is_small(names, rules.broadcast_rows):
         return logs.join(F.broadcast(names), "device_id", how)
-    slices = 64
-    spread = names.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    sliced = logs.withColumn("_slice", F.pmod(F.hash("id"), F.lit(slices)))
-    return sliced.join(spread, ["device_id", "_slice"], how).drop("_slice")
+    return sliced_join(logs, names, "device_id", "id", rules.chunk_rows, how)
 
 
 def latest_by_device_clock(logs: DataFrame, devices: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -34,15 +30,17 @@ def latest_by_device_clock(logs: DataFrame, devices: DataFrame, rules: Rules = R
         .agg(F.max_by(F.struct("id", *LOG_VALUES), F.struct("timestamp", "id")).alias("r"))
         .select("device_id", "r.*")
     )
-    return attach_device(newest, devices, rules.broadcast_rows).orderBy("node_id")
+    return attach_device(newest, devices, rules).orderBy("node_id")
 
 
 def latest_with_ties(logs: DataFrame, devices: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Rows whose device clock is their device's maximum; ties give several rows."""
-    # one row per logged device; adaptive execution broadcasts it where its measured size allows
-    newest = logs.groupBy("device_id").agg(F.max("timestamp").alias("timestamp"))
-    tied = logs.join(newest, ["device_id", "timestamp"], "left_semi")
-    return attach_device(tied, devices, rules.broadcast_rows)
+    """Rows whose device clock is their device's maximum; ties give several rows.
+
+    One pass: each task drops what is below the maximum of its own rows before the shuffle.
+    """
+    newest = Window.partitionBy("device_id").orderBy(F.col("timestamp").desc())
+    tied = logs.filter(F.col("timestamp").isNotNull()).withColumn("_rank", F.rank().over(newest)).filter("_rank = 1").drop("_rank")
+    return attach_device(tied, devices, rules)
 
 
 CACHED = (
@@ -59,10 +57,10 @@ def latest_cached(traced: DataFrame) -> DataFrame:
     )
 
 
-def node_index(first_seen: DataFrame, width: int = 1_000_000) -> DataFrame:
+def node_index(first_seen: DataFrame) -> DataFrame:
     """(node_id, seq) rows -> (node_id, node_index), 1-based in order of first appearance."""
     nodes = first_seen.groupBy("node_id").agg(F.min("seq").alias("first_seq"))
-    return ranked(nodes, "first_seq", width, "node_index")
+    return ranked(nodes, "first_seq", "node_index")
 
 
 def last_readings(logs: DataFrame, n: int) -> DataFrame:

@@ -9,6 +9,7 @@ from sensorwarden.config import Rules
 from sensorwarden.functions.encode import flag, gas_or_null
 from sensorwarden.functions.text import calendar_time, event_date
 from sensorwarden.operators.skew import ranked
+from sensorwarden.session import cut_lineage
 
 
 def log_rows(traced: DataFrame) -> DataFrame:
@@ -63,17 +64,19 @@ def provisioned(devices: DataFrame, nodes: DataFrame, now: Column | int) -> Data
         )
         .select("node_id", "position", "n.*")
     )
-    known = devices.alias("d").join(listed.alias("n"), "node_id", "left").select(
+    both = devices.alias("d").join(listed.alias("n"), "node_id", "full_outer").select(
         "d.id",
         "node_id",
+        "position",
         F.coalesce("n.location", "d.location").alias("location"),
         F.coalesce("n.sensor_type", "d.sensor_type").alias("sensor_type"),
         F.coalesce("n.has_gas", "d.has_gas").alias("has_gas"),
         "d.last_msg_id",
         "d.created_at",
     )
-    new = listed.join(devices.select("node_id"), "node_id", "left_anti")
-    return known.unionByName(_numbered(new, "position", devices, now))
+    both = cut_lineage(both)
+    known = both.filter(F.col("id").isNotNull())
+    return known.drop("position").unionByName(_numbered(both.filter(F.col("id").isNull()), "position", known, now))
 
 
 def provisioned_count(nodes: DataFrame) -> DataFrame:
@@ -97,7 +100,7 @@ def registered(devices: DataFrame, seen: DataFrame, now: Column | int) -> DataFr
 
 def _numbered(new: DataFrame, order: str, devices: DataFrame, now: Column) -> DataFrame:
     last_id = F.coalesce(devices.agg(F.max("id").alias("id")).scalar(), F.lit(0))
-    return ranked(new, order, 1_000_000, "_rank").select(
+    return ranked(new, order, "_rank").select(
         (last_id + F.col("_rank")).alias("id"),
         "node_id",
         "location",

@@ -49,8 +49,10 @@ def hot_spans(rows: DataFrame, key: str, order: str, limit: int, width: int) ->
 
 def with_span(rows: DataFrame, key: str, order: str, hot: DataFrame | bool, limit: int) -> DataFrame:
     """Adds ``span`` (0 for keys that are not cut) and ``hot``: the borders at or below the row's value, in two steps."""
+    # rows without a key have no sequence: they are spread
+    whole = F.when(F.col(key).isNull(), F.pmod(F.col(order), F.lit(GRID))).otherwise(F.lit(0)).cast("bigint")
     if hot is False:
-        return rows.withColumns({"span": F.lit(0).cast("bigint"), "hot": F.lit(False)})
+        return rows.withColumns({"span": whole, "hot": F.lit(False)})
     table = hot.select(key, F.col("tops").alias("_tops"), F.col("borders").alias("_borders"))
     joined = rows.join(F.broadcast(table) if is_small(table, limit) else table, key, "left")
     at = F.col(order)
@@ -59,7 +61,7 @@ def with_span(rows: DataFrame, key: str, order: str, hot: DataFrame | bool, limi
     span = F.col("_blocks") * BLOCK + F.size(F.filter(rest, lambda b: b <= at))
     return joined.withColumns(
         {
-            "span": F.when(F.col("_borders").isNotNull(), span).otherwise(F.lit(0)).cast("bigint"),
+            "span": F.when(F.col("_borders").isNotNull(), span).otherwise(whole).cast("bigint"),
             "hot": F.col("_borders").isNotNull(),
         }
     ).drop("_tops", "_borders", "_blocks")
@@ -77,21 +79,47 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, limit: int) -> DataFrame
     return rows.join(F.broadcast(table) if is_small(table, limit) else table, key, "left")
 
 
-def ranked(rows: DataFrame, order: str, width: int, name: str, start: Column | int = 0) -> DataFrame:
+def ranked(rows: DataFrame, order: str, name: str, start: Column | int = 0) -> DataFrame:
     """1-based rank by a unique BIGINT column without sorting everything in one task.
 
-    Rows are numbered inside value spans of ``width``; the spans' counts are accumulated on the small
-    table of spans and added as an offset.
+    The rows are dealt to value ranges and kept; they are numbered inside each range and moved by the sizes of the ranges
+    before it. What meets in one task is a row per range.
     """
-    span = F.expr(f"{order} div {width}")
-    numbered = rows.withColumn("_span", span)
-    sizes = numbered.groupBy("_span").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_span", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    within = F.row_number().over(Window.partitionBy("_span").orderBy(order))
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(ranges, order).withColumn("_range", F.spark_partition_id())
+    dealt = cut_lineage(dealt)
+    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(order))
     return (
-        numbered.withColumn("_within", within)
-        .join(offsets, "_span")
+        dealt.withColumn("_within", within)
+        .join(F.broadcast(offsets), "_range")
         .withColumn(name, (F.col("_offset") + F.col("_within") + start).cast("bigint"))
-        .drop("_span", "_offset", "_within")
+        .drop("_range", "_offset", "_within")
     )
+
+
+#: Keys that a sketch follows, and keys it may name: a bound of the table that is broadcast.
+SKETCHED, HEAVY = 10_000, 1_000
+
+
+def heavy_keys(rows: DataFrame, key: str, width: int) -> DataFrame:
+    """(key, slices) of keys with more than about ``width`` rows, at most ``HEAVY`` of them, from a sketch.
+
+    One pass over one column that combines map-side; a key the sketch misses only stays whole.
+    """
+    sketch = rows.filter(F.col(key).isNotNull()).agg(F.expr(f"approx_top_k({key}, {HEAVY}, {SKETCHED})").alias("top"))
+    top = sketch.select(F.explode("top").alias("t")).select(F.col("t.item").alias(key), F.col("t.count").alias("n"))
+    return top.filter(F.col("n") > width).select(key, F.ceil(F.col("n") / width).cast("int").alias("slices"))
+
+
+def sliced_join(rows: DataFrame, table: DataFrame, key: str, spread: str, width: int, how: str = "inner") -> DataFrame:
+    """Join of a table with unique keys that is too large to broadcast: heavy keys are cut into slices by a sketch of the
+    rows, and only their table rows are repeated, once per slice.
+    """
+    heavy = F.broadcast(cut_lineage(heavy_keys(rows, key, width)))
+    one = F.coalesce("slices", F.lit(1))
+    sliced = rows.join(heavy, key, "left").withColumn("_slice", F.pmod(F.xxhash64(spread), one).cast("int")).drop("slices")
+    copies = table.join(heavy, key, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), one - 1))).drop("slices")
+    return sliced.join(copies, [key, "_slice"], how).drop("_slice")

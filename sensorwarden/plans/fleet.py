@@ -13,6 +13,7 @@ from sensorwarden.config import Rules
 from sensorwarden.functions.enums import parse_sensor_type, parse_status
 from sensorwarden.functions.parsing import READING_COLUMNS
 from sensorwarden.functions.staging import evaluated_once
+from sensorwarden.sources.messages import spread
 
 START = 1704067200  # arrival second of event 0
 UNLISTED = (3, 17)  # nodes missing from the whitelist
@@ -113,7 +114,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw_messages(seq, topic, payload, retain, received_at) with a share of malformed messages."""
     columns = [F.expr(text).alias(name) for name, text in RAW.items()]
-    return evaluated_once(events(spark, sf_dir), *columns)
+    return evaluated_once(spread(events(spark, sf_dir)), *columns)
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -208,7 +208,9 @@ def offline_events(spark, sf_dir):
 
 @query
 def liveness_sessions(spark, sf_dir):
-    return health.liveness_sessions(_traced(spark, sf_dir), RULES)
+    readings = fleet.readings(spark, sf_dir)
+    hot = sequence.count_hot(readings, RULES)
+    return health.liveness_sessions(sequence.trace(readings, fleet.devices(spark), RULES, hot=hot), RULES, hot is not False)
 
 
 @query
@@ -234,12 +236,12 @@ def status_as_of(spark, sf_dir):
 
 @query
 def pipeline_counters(spark, sf_dir):
-    """Counters of the whole run from raw messages on."""
+    """Counters of the whole run from raw messages on, rejected ones in the same pass."""
     received = messages.counted(fleet.raw_messages(spark, sf_dir))
-    readings = parsing.valid_readings(parsing.parse_messages(received, RULES))
     hot = sequence.count_hot(messages.named(received), RULES)
-    traced = sequence.trace(readings, fleet.devices(spark), RULES, hot=hot)
-    return counters.pipeline_counters(traced, fleet.last_arrival(spark, sf_dir), RULES, received)
+    everything = counters.with_rejects(parsing.parse_messages(received, RULES))
+    traced = sequence.trace(everything, fleet.devices(spark), RULES, hot=hot)
+    return counters.pipeline_counters(traced, fleet.last_arrival(spark, sf_dir), RULES)
 
 
 @query
@@ -368,9 +370,7 @@ def security_log_lines(spark, sf_dir):
 
 @query
 def table_counts(spark, sf_dir):
-    return counters.table_counts(
-        devices=fleet.devices(spark), sensor_logs=_logs(spark, sf_dir), system_events=_events(spark, sf_dir)
-    )
+    return counters.stored_counts(_traced(spark, sf_dir), fleet.devices(spark), fleet.last_arrival(spark, sf_dir), RULES)
 
 
 @query

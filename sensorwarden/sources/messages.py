@@ -45,6 +45,15 @@ def from_kafka(records: DataFrame) -> DataFrame:
     )
 
 
+def spread(raw: DataFrame) -> DataFrame:
+    """Messages dealt to all cores where their source has fewer splits than that: parsing is work for processors.
+
+    A source of many files or splits is left alone, so this never shuffles a large table.
+    """
+    cores = raw.sparkSession.sparkContext.defaultParallelism
+    return raw if raw.rdd.getNumPartitions() >= cores else raw.repartition(cores)
+
+
 def counted(raw: DataFrame, alerts: bool = False) -> DataFrame:
     """Subscribed, usable messages - the ones that are counted as received."""
     filters = (TOPIC_DATA, TOPIC_ALERT) if alerts else (TOPIC_DATA,)

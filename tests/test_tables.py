@@ -46,8 +46,15 @@ def test_registration(spark):
 
 def test_rank_over_spans(spark):
     rows = spark.createDataFrame([(i * 7 % 101,) for i in range(1, 101)], "v bigint")
-    got = skew.ranked(rows, "v", 10, "rank").orderBy("v").collect()
+    got = skew.ranked(rows, "v", "rank").orderBy("v").collect()
     assert [r["rank"] for r in got] == list(range(1, 101))
+    sparse = spark.range(500).select((F.col("id") * F.col("id") * 10**12 - 10**15).alias("v"))
+    ranks = skew.ranked(sparse, "v", "rank")
+    assert [r["rank"] for r in ranks.orderBy("v").collect()] == list(range(1, 501))
+    assert skew.ranked(rows.filter("v < 0"), "v", "rank").collect() == []
+    # one row per range meets in one task, nothing else
+    plan = ranks._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SinglePartition") == 1 and plan.index("SinglePartition") > plan.index("_size")
 
 
 def test_whitelist_config(spark, tmp_path):
@@ -118,10 +125,38 @@ def test_latest_with_ties(spark):
 
 def test_device_join_without_broadcast(spark):
     table = logs(spark, [(i, 1 if i % 3 else 4, i) for i in range(50)])
-    wide = latest.attach_device(table, device_rows(spark), limit=1)
-    close = latest.attach_device(table, device_rows(spark), limit=100)
+    wide = latest.attach_device(table, device_rows(spark), Rules(broadcast_rows=1, chunk_rows=5))
+    close = latest.attach_device(table, device_rows(spark), Rules())
     assert sorted(wide.select("id", "node_id").collect()) == sorted(close.select("id", "node_id").collect())
-    assert "BroadcastHashJoin" not in wide.filter("id >= 0")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_heavy_devices_are_sliced(spark):
+    """One device owns half of the rows; the others keep one slice."""
+    table = logs(spark, [(i, 1 if i % 2 else 100 + i, i) for i in range(2000)])
+    heavy = {r.device_id: r.slices for r in skew.heavy_keys(table, "device_id", 50).collect()}
+    assert heavy == {1: 20}
+    names = table.select("device_id").distinct().withColumn("node_id", F.concat(F.lit("N"), F.col("device_id").cast("string")))
+    joined = skew.sliced_join(table, names, "device_id", "id", 50)
+    assert joined.count() == 2000 and joined.filter("node_id <> concat('N', device_id)").count() == 0
+    kept = skew.sliced_join(table, names.filter("device_id <> 1"), "device_id", "id", 50, "left")
+    assert kept.count() == 2000 and kept.filter("node_id is null").count() == 1000
+    empty = skew.sliced_join(table.filter("id < 0"), names, "device_id", "id", 50)
+    assert empty.collect() == []
+
+
+
+
+def test_queries_read_the_messages_once(spark):
+    from sensorwarden.plans.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    for name in ("pipeline_counters", "table_counts", "latest_join_max", "liveness_sessions", "security_events"):
+        frame = QUERIES[name](spark, sf)
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        messages = [line for line in plan.splitlines() if "Relation [" in line]
+        assert len(messages) <= 2, (name, plan)  # the other one is the moment of the report
+    sessions = QUERIES["liveness_sessions"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert sessions.count("Exchange hashpartitioning") == 1
 
 
 def test_recent_events_fallback(spark):
