@@ -139,7 +139,7 @@ def devices(spark: SparkSession) -> DataFrame:
             F.concat(F.lit("Line "), (n % 4).cast("string")).alias("location"),
             F.when(n < 8, "ENV_MONITOR").when(n < 16, "DHT11+MQ2").otherwise("SECURITY").alias("sensor_type"),
             n.between(8, 15).alias("has_gas"),
-            F.lit(0).cast("bigint").alias("last_msg_id"),
+            F.when(n % 5 == 4, 300).otherwise(0).cast("bigint").alias("last_msg_id"),  # some start with a mark
             F.timestamp_seconds(F.lit(START)).alias("created_at"),
         )
     )

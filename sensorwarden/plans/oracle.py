@@ -26,7 +26,7 @@ STEPS = {
     "devices": f"""devices as (select i + 1 as id, concat('NODE_', lpad(cast(i as varchar), 2, '0')) as node_id,
       concat('Line ', cast(i % 4 as varchar)) as location,
       case when i < 8 then 'ENV_MONITOR' when i < 16 then 'DHT11+MQ2' else 'SECURITY' end as sensor_type,
-      i between 8 and 15 as has_gas, cast(0 as bigint) as last_msg_id, timestamp '2024-01-01 00:00:00' as created_at
+      i between 8 and 15 as has_gas, cast(case when i % 5 = 4 then 300 else 0 end as bigint) as last_msg_id, timestamp '2024-01-01 00:00:00' as created_at
       from range(20) as t(i) where i not in {UNLISTED})""",
     "judged": """judged as (select *, known and mark <> 0 and msg_id <= mark as replay,
         known and not (mark <> 0 and msg_id <= mark) as fresh
