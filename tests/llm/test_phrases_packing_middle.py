@@ -164,6 +164,7 @@ def test_words_are_tokenised_like_whole_texts(documents):
     with open(WORDS, encoding="utf-8") as file:
         words = packing.WordTokenizer(file.read(), cache_bytes=2000)
     texts = [t or "" for _, t, _ in documents] + ["x́ ́y \x85   z's 'T don't 12 345"]
+    texts += ["Word. word, WORD!? é. É! İ. aİ.. ne.w 'll. x1. 数. ΑΣ. a\u0301. .. . a\0b \0 \0\0 \0. \x85 " + "L" * 80 + "." + " !" * 3]
     expected = [np.array(e.ids, "<u4").tobytes() for e in library().encode_batch(texts, add_special_tokens=False)]
     assert list(packing.encoded_texts(words, [t.encode() for t in texts])) == expected
     long = " ".join(texts).encode() * 3
