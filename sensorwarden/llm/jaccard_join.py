@@ -39,6 +39,9 @@ CARRIED = 4
 #: Cells of an outline: shared shingles counted by hash.
 CELLS = 128
 
+#: Comparisons of a turn below which another turn costs more than comparing what is left.
+WORTH_A_TURN = 1000
+
 PROFILE = "id long, n long, high long, low long, shared long, prefix array<long>, outline array<smallint>, held binary"
 
 
@@ -278,7 +281,7 @@ def jaccard_links(sets: DataFrame, percent: int) -> DataFrame:
     rest = (F.col("shared") - F.col("pos")).alias("rest")
     postings = written(posts.select("u", "n", "shingle", rest, before), "postings")
 
-    # leaders, as long as a turn connects a good part of what it compares
+    # leaders, as long as a turn compares much and connects a good part of it; all that is left is compared below
     labels, turn, going = None, 0, True
     while going:
         tried = written(verified(leader_pairs(postings, units, labels, turn, percent), sets), "led")
@@ -287,7 +290,7 @@ def jaccard_links(sets: DataFrame, percent: int) -> DataFrame:
         if linked:
             links = written(links.unionByName(found), "links-so-far")
             labels = components(links)
-        turn, going = turn + 1, linked * 20 > total
+        turn, going = turn + 1, total > WORTH_A_TURN and linked * 20 > total
 
     compared = written(verified(component_pairs(postings, units, labels, percent), sets), "pivots")
     links = links.unionByName(compared.filter(_linked(percent)).select("a", "b"))
