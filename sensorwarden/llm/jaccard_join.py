@@ -39,8 +39,9 @@ CARRIED = 4
 #: Cells of an outline: shared shingles counted by hash.
 CELLS = 128
 
-#: Comparisons of a turn below which another turn costs more than comparing what is left.
-WORTH_A_TURN = 1000
+#: Comparisons of a turn below which there is no other turn. A unit that a turn connects need not be compared with all the
+#: units of its component, so turns pay down to few comparisons; the result is the same with any number.
+WORTH_A_TURN = 64
 
 PROFILE = "id long, n long, high long, low long, shared long, prefix array<long>, outline array<smallint>, held binary"
 
