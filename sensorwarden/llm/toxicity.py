@@ -217,11 +217,9 @@ class Features(dict):
         return found
 
 
-#: A feature counts if its share among toxic texts is so many times that among others; long texts, toxic or not, share words.
-MIN_LIFT = 8.0
-
-
-def fit_weights(features: list[np.ndarray], labels: np.ndarray, min_docs: int, min_z: float, max_features: int):
+def fit_weights(
+    features: list[np.ndarray], labels: np.ndarray, min_docs: int, min_z: float, max_features: int, min_lift: float
+):
     """(features, weights, bias): features whose share among toxic texts is clearly higher, then logistic regression."""
     n_toxic, n_clean = int(labels.sum()), int((1 - labels).sum())
     nothing = np.array([], np.int64), np.array([]), -3.0 if not n_toxic else 0.0 if n_clean else 3.0
@@ -236,7 +234,7 @@ def fit_weights(features: list[np.ndarray], labels: np.ndarray, min_docs: int, m
     spread = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n_toxic + 1 / n_clean))
     z = (toxic / n_toxic - clean / n_clean) / spread
     lift = (toxic / n_toxic) / ((clean + 0.5) / n_clean)
-    chosen = np.flatnonzero((toxic + clean >= min_docs) & (z > min_z) & (lift > MIN_LIFT))
+    chosen = np.flatnonzero((toxic + clean >= min_docs) & (z > min_z) & (lift > min_lift))
     chosen = np.sort(chosen[np.argsort(-z[chosen], kind="stable")][:max_features])
     at = np.full(len(names), -1)
     at[chosen] = np.arange(len(chosen))
@@ -275,11 +273,16 @@ def fit_toxicity(
     min_docs: int = 3,
     min_z: float = 4.0,
     max_features: int = 4096,
+    min_lift: float = 8.0,
 ) -> ToxicityModel:
     """Character model from all documents, weights from labelled ones that are not held out.
 
     Of each class the ``max_per_class`` labelled ids with the smallest hash are used; this bounds the single task that
-    fits. Null labels and ids are ignored. Without labels of both classes every score is the same.
+    fits. Null labels and ids are ignored. Without labels of both classes, or without documents, every score is the same.
+
+    A feature counts if its share among toxic texts is more than ``min_lift`` times that among others: long texts, toxic
+    or not, share words. With labels of which a share e of the clean ones is wrong, the lift of a toxic word is at most
+    1 / e, so ``min_lift`` must be smaller than that: 8 suits up to a tenth, 2 up to a third.
     """
     costs = character_costs(character_counts(documents, text_col))
     usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
@@ -309,7 +312,7 @@ def fit_toxicity(
             flat, ends = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
             features += np.split(flat, np.cumsum(ends)[:-1]) if len(ends) else []
             seen += batch["label"].to_pylist()
-        names, weights, bias = fit_weights(features, np.array(seen, float), min_docs, min_z, max_features)
+        names, weights, bias = fit_weights(features, np.array(seen, float), min_docs, min_z, max_features, min_lift)
         yield pa.RecordBatch.from_arrays(
             [pa.array([*names.tolist(), -1], pa.int64()), pa.array([*weights.tolist(), bias], pa.float64())],
             names=["feature", "weight"],

@@ -425,6 +425,25 @@ def test_toxicity_of_doubled_substituted_and_spread_words(spark):
     assert sum(score[1000 + k] >= 0.5 for k in range(len(clean))) <= 0.01 * len(clean)
 
 
+def test_toxicity_with_noisy_labels(spark):
+    rows, labels = toxic_rows()
+    noisy = [(i, quality, int(bad and i % 5 < 2)) for i, quality, bad in labels]  # a sixth of the clean labels is wrong
+    documents = table(spark, rows)
+    marks = spark.createDataFrame(noisy, "doc_id long, quality int, toxic int")
+    assert not toxicity.fit_toxicity(documents, marks).weights
+    model = toxicity.fit_toxicity(documents, marks, min_lift=2.0)
+    score = {r.doc_id: r.score for r in toxicity.score_toxicity(documents, model).collect()}
+    assert sum((score[i] >= 0.5) == bool(bad) for i, _, bad in labels) >= 0.97 * len(labels)
+
+
+def test_toxicity_without_documents(spark):
+    marks = spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    empty = table(spark, [(1, "a")]).filter("false")
+    model = toxicity.fit_toxicity(empty, marks)
+    assert not model.weights and toxicity.score_toxicity(empty, model).collect() == []
+    assert 0 <= toxicity.score_toxicity(table(spark, [(1, "a b")]), model).first().score < 0.5
+
+
 def test_toxicity_without_labels(spark):
     documents = table(spark, [(1, "a b c"), (2, None)])
     marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
