@@ -6,11 +6,12 @@
    What counts of it are the shingles that others have: most documents have none left and are done.
 3. Documents with identical prefixes, sizes and numbers of shared shingles form a group. Each group is verified against its
    smallest member; members that are linked to it form a star, the others stand alone.
-4. Stars and single documents are units, with the prefix of their group. A prefix shingle links its units to a leader
-   first, one after another as long as that connects many: a thousand near copies become one component by a thousand
-   comparisons. Only units of different components still need a comparison. The postings of a shingle are contracted to
-   one row per component with the bounds of its units (sizes, positions, outlines), components are paired by those, and
-   pairs expanded to units that share the shingle.
+4. Stars and single documents are units, with the prefix of their group. A prefix shingle links its units to one leader
+   first, then in lots of a few units to a leader of each lot, as long as that connects many: a thousand near copies become
+   one component by some thousand comparisons, also where many of them are too far from any one leader. Shingles whose units
+   are all in one component are left out from then on. Only units of different components still need a comparison. The
+   postings of a shingle are contracted to one row per component with the bounds of its units (sizes, positions, outlines),
+   components are paired by those, and pairs expanded to units that share the shingle, the smaller component first.
 5. The pivots of paired units are verified first. Only where they are not linked are the members of stars compared, and
    of those only the ones that the triangle inequality of the Jaccard distance leaves. Before any verification, the
    outlines of both sets (shared shingles counted by hash cell) bound what they can have in common.
@@ -40,9 +41,12 @@ CARRIED = 4
 CELLS = 128
 
 #: Comparisons of a turn below which there is no other turn. A unit that a turn connects need not be compared with all the
-#: units of its component, so turns pay down to few comparisons; the result is the same with any number.
+#: units of its component; the result is the same with any number.
 WORTH_A_TURN = 64
 
+#: Units of a lot, about: what the leader of a later turn is compared with.
+LOT = 8
+
 PROFILE = "id long, n long, high long, low long, shared long, prefix array<long>, outline array<smallint>, held binary"
 
 
@@ -203,54 +207,73 @@ def _labelled(rows: DataFrame, labels: DataFrame | None, unit: str = "u", name:
     return rows.join(known, unit, "left").withColumn(name, F.coalesce("_label", unit)).drop("_label")
 
 
-def leader_pairs(postings: DataFrame, units: DataFrame, labels: DataFrame | None, turn: int, percent: int) -> DataFrame:
-    """(a, b): units and a leader of one of their shingles, in another component. Every turn has other leaders.
+def contested(placed: DataFrame) -> DataFrame:
+    """Postings of shingles with units of several components, and how many units have the shingle."""
+    found = placed.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("units"))
+    return placed.drop("units").join(found.filter("low <> high").select("shingle", "units"), "shingle")
 
-    The order of leaders is the same for all shingles, so units that share many mostly share their leaders too.
-    """
-    placed = _labelled(postings, labels)
-    order = F.struct(F.xxhash64(F.lit(turn), F.col("u")), "u") if turn else F.struct(F.col("u"))
-    leaders = placed.groupBy("shingle").agg(
-        F.min_by(F.struct("u", "n", "rest", "comp"), order).alias("leader"), F.min("comp").alias("low"), F.max("comp").alias("high")
-    )
-    leaders = leaders.filter("low <> high").select("shingle", *(F.col(f"leader.{c}").alias(f"{c}_l") for c in ("u", "n", "rest", "comp")))
-    met = placed.join(leaders, "shingle").filter((F.col("comp") != F.col("comp_l")) & _sizes_allow("n", "rest", "n_l", "rest_l", percent))
-    pairs = met.select(F.least("u", "u_l").alias("a"), F.greatest("u", "u_l").alias("b")).distinct()
-    return _outlined(pairs, units, percent)
 
+def leader_pairs(placed: DataFrame, units: DataFrame, turn: int, percent: int) -> DataFrame:
+    """(a, b): units and a leader of one of their shingles, in another component.
 
-def _outlined(pairs: DataFrame, units: DataFrame, percent: int) -> DataFrame:
-    """Pairs of units whose outlines leave a link possible."""
+    First all units of a shingle have one leader, so that families which share many shingles mostly share it. Later turns
+    deal the units of every shingle to lots anew, so a unit meets as many leaders as it has shingles left.
+    """
+    lots = F.greatest(F.lit(1), F.floor(F.col("units") / LOT))
+    dealt = placed.withColumn("lot", F.pmod(F.xxhash64(F.lit(turn), "shingle", "u"), lots) if turn else F.lit(0).cast("bigint"))
+    order = F.struct(F.xxhash64("u", "shingle", F.lit(turn)), "u") if turn else F.struct(F.col("u"))
+    leaders = dealt.groupBy("shingle", "lot").agg(F.min_by(F.struct("u", "n", "rest", "comp"), order).alias("leader"))
+    leaders = leaders.select("shingle", "lot", *(F.col(f"leader.{c}").alias(f"{c}_l") for c in ("u", "n", "rest", "comp")))
+    met = dealt.join(leaders, ["shingle", "lot"])
+    met = met.filter((F.col("comp") != F.col("comp_l")) & _sizes_allow("n", "rest", "n_l", "rest_l", percent))
+    pairs = met.select(F.least("u", "u_l").alias("a"), F.greatest("u", "u_l").alias("b")).distinct()
     a, b = (units.select(F.col("u").alias(s), F.col("n").alias(f"n_{s}"), F.col("outline").alias(f"o_{s}")) for s in ("a", "b"))
     return pairs.join(a, "a").join(b, "b").filter(outlines_allow("n_a", "o_a", "n_b", "o_b", percent)).select("a", "b")
 
 
-def component_pairs(postings: DataFrame, units: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
+def component_pairs(placed: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     """(a, b): all pairs of units in different components that share a prefix shingle and may hold a link."""
-    placed = written(_labelled(postings, labels), "placed")
-    several = placed.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
-    placed = placed.join(several.select("shingle"), "shingle", "left_semi")
-    bounds = placed.join(units.select("u", "outline"), "u").groupBy("shingle", "comp").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("rest"), _most_outline().alias("outline")
+    pos = (F.col("shared") - F.col("rest")).cast("int")
+    before = F.slice("prefix", 1, F.least(pos, F.lit(CARRIED))).alias("before")
+    placed = contested(placed).join(units.select("u", "shared", "prefix", "outline"), "u")
+    placed = written(placed.select("u", "comp", "n", "shingle", "rest", before, "outline"), "placed")
+    bounds = placed.groupBy("shingle", "comp").agg(
+        F.count(F.lit(1)).alias("units"),
+        F.min("n").alias("low"),
+        F.max("n").alias("high"),
+        F.max("rest").alias("most"),
+        _most_outline().alias("bound"),
     )
     bounds = written(bounds, "contracted")
-    a = bounds.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("comp", "low", "high", "rest", "outline")))
-    b = bounds.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("comp", "low", "high", "rest", "outline")))
+    names = ("comp", "units", "low", "high", "most", "bound")
+    a = bounds.select("shingle", *(F.col(c).alias(f"{c}_a") for c in names))
+    b = bounds.select("shingle", *(F.col(c).alias(f"{c}_b") for c in names))
     may = (
-        (F.col("comp_a") < F.col("comp_b"))
+        (F.struct("units_a", "comp_a") < F.struct("units_b", "comp_b"))
         & (F.col("high_a") * 100 >= percent * F.col("low_b"))
         & (F.col("high_b") * 100 >= percent * F.col("low_a"))
-        & (F.least("rest_a", "rest_b") * (100 + percent) >= percent * (F.col("low_a") + F.col("low_b")))
-        & outlines_allow("low_a", "outline_a", "low_b", "outline_b", percent)
+        & (F.least("most_a", "most_b") * (100 + percent) >= percent * (F.col("low_a") + F.col("low_b")))
+        & outlines_allow("low_a", "bound_a", "low_b", "bound_b", percent)
+    )
+    met = a.join(b, (a["shingle"] == b["shingle"]) & may)
+    met = met.select(a["shingle"], "comp_a", "comp_b", "low_b", "high_b", "most_b", "bound_b")
+    left, right = (
+        placed.select(F.col("shingle").alias(f"shingle_{s}"), F.col("comp").alias(f"of_{s}"), *(F.col(c).alias(f"{c}_{s}") for c in ("u", "n", "rest", "before", "outline")))
+        for s in ("a", "b")
+    )
+    # a unit of the smaller component against the bounds of the other one, then against its units
+    reaches = (
+        (F.col("n_a") * 100 >= percent * F.col("low_b"))
+        & (F.col("high_b") * 100 >= percent * F.col("n_a"))
+        & (F.least("rest_a", "most_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("low_b")))
+        & outlines_allow("n_a", "outline_a", "low_b", "bound_b", percent)
     )
-    met = a.join(b, (a["shingle"] == b["shingle"]) & may).select(a["shingle"], "comp_a", "comp_b")
-    left = placed.select("shingle", F.col("comp").alias("comp_a"), *(F.col(c).alias(f"{c}_a") for c in ("u", "n", "rest", "before")))
-    right = placed.select("shingle", F.col("comp").alias("comp_b"), *(F.col(c).alias(f"{c}_b") for c in ("u", "n", "rest", "before")))
-    half = met.join(left, ["shingle", "comp_a"])
+    half = met.join(left, (F.col("shingle") == F.col("shingle_a")) & (F.col("comp_a") == F.col("of_a")) & reaches)
+    half = half.select("shingle", "comp_b", "u_a", "n_a", "rest_a", "before_a", "outline_a")
     fits = _sizes_allow("n_a", "rest_a", "n_b", "rest_b", percent) & ~F.arrays_overlap("before_a", "before_b")
-    same = (half["shingle"] == right["shingle"]) & (half["comp_b"] == right["comp_b"])
-    pairs = half.join(right, same & fits).select(F.least("u_a", "u_b").alias("a"), F.greatest("u_a", "u_b").alias("b"))
-    return _outlined(pairs.distinct(), units, percent)
+    same = (F.col("shingle") == F.col("shingle_b")) & (F.col("comp_b") == F.col("of_b"))
+    pairs = half.join(right, same & fits & outlines_allow("n_a", "outline_a", "n_b", "outline_b", percent))
+    return pairs.select(F.least("u_a", "u_b").alias("a"), F.greatest("u_a", "u_b").alias("b")).distinct()
 
 
 def jaccard_links(sets: DataFrame, percent: int) -> DataFrame:
@@ -277,23 +300,23 @@ def jaccard_links(sets: DataFrame, percent: int) -> DataFrame:
     others = far.join(own, "pivot").join(groups.select("g", "n", "shared", "prefix"), "g")
     units = heads.unionByName(others.withColumnRenamed("pivot", "u"))
     units = written(units, "units")
-    posts = units.select("u", "g", "n", "shared", "prefix", F.posexplode("prefix").alias("pos", "shingle"))
-    before = F.slice("prefix", 1, F.least("pos", F.lit(CARRIED))).alias("before")
-    rest = (F.col("shared") - F.col("pos")).alias("rest")
-    postings = written(posts.select("u", "n", "shingle", rest, before), "postings")
+    posts = units.select("u", "n", "shared", F.posexplode("prefix").alias("pos", "shingle"))
+    placed = posts.select("u", "n", "shingle", (F.col("shared") - F.col("pos")).alias("rest"), F.col("u").alias("comp"))
 
-    # leaders, as long as a turn compares much and connects a good part of it; all that is left is compared below
+    # leaders, as long as a turn compares much and connects most of it; all that is left is compared below
     labels, turn, going = None, 0, True
     while going:
-        tried = written(verified(leader_pairs(postings, units, labels, turn, percent), sets), "led")
+        placed = written(contested(placed), "postings")
+        tried = written(verified(leader_pairs(placed, units, turn, percent), sets), "led")
         found = tried.filter(_linked(percent)).select("a", "b")
         total, linked = tried.agg(F.count(F.lit(1)), F.count_if(_linked(percent))).first()
         if linked:
             links = written(links.unionByName(found), "links-so-far")
             labels = components(links)
-        turn, going = turn + 1, total > WORTH_A_TURN and linked * 20 > total
+            placed = _labelled(placed.drop("comp"), labels)
+        turn, going = turn + 1, total > WORTH_A_TURN and linked * 2 > total
 
-    compared = written(verified(component_pairs(postings, units, labels, percent), sets), "pivots")
+    compared = written(verified(component_pairs(placed, units, percent), sets), "pivots")
     links = links.unionByName(compared.filter(_linked(percent)).select("a", "b"))
 
     # members of stars where the pivots are not linked; a pivot of a star is compared with the members of the other unit,

@@ -169,6 +169,33 @@ def test_jaccard_components_of_one_large_family(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(rows, 80, 5)
 
 
+def test_jaccard_components_of_a_family_without_a_middle(spark, monkeypatch):
+    """Near copies of which few are linked to any one leader: few turns, and postings within a component are left out."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for k in range(200):
+        words = list(base)
+        for at in rng.sample(range(100), 2):
+            words[at] = f"x{at}{rng.randrange(3)}"
+        rows.append((k, " ".join(words)))
+    rows += [(1000 + k, " ".join(f"y{k // 2}z{i}" for i in range(30 - k % 2))) for k in range(60)]  # done after a turn
+    turns, compared, written = [], [], jaccard_join.written
+
+    def counted(frame, name, *more):
+        table = written(frame, name, *more)
+        if name in ("led", "pivots"):
+            compared.append(table.count())
+        if name == "postings":
+            turns.append(table.count())
+        return table
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 85, 4)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(rows, 85, 4)
+    assert len(compared) <= 5 and turns[1] < turns[0]
+
+
 def test_jaccard_components_of_repeated_ids(spark):
     """Every text of a repeated id keeps its links, and so does a text without an id."""
     base = [f"w{i}" for i in range(60)]
