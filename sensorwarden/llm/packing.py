@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
@@ -54,7 +55,7 @@ class WordTokenizer:
             part = words[at : at + 4096]
             encoded = self.library.encode_batch_fast([w.decode(errors="replace") for w in part], add_special_tokens=False)
             for word, found in zip(part, encoded, strict=True):
-                ids = np.array(found.ids, "<u4").tobytes()
+                ids = struct.pack(f"<{len(found.ids)}I", *found.ids)
                 self.known[word] = ids
                 self.bytes += len(word) + len(ids) + ENTRY_BYTES
 
@@ -65,8 +66,8 @@ class WordTokenizer:
             self.bytes = 0
         lists = [text.split() for text in texts]
         known = self.known
-        missing = dict.fromkeys(w for words in lists for w in words if w not in known)
-        self._learn(list(missing))
+        missing = list(set().union(*lists).difference(known))
+        self._learn(missing)
         out = [b"".join(map(known.__getitem__, words)) for words in lists]
         for word in missing:
             if len(word) > LONG_WORD:
