@@ -32,6 +32,9 @@ ENTRY_BYTES, LONG_PIECE = 200, 64
 #: A rank beyond all others.
 NEVER = 1 << 60
 
+#: Every single byte; a single id as it is written.
+BYTES, ONE = [bytes([b]) for b in range(256)], struct.Struct("<I").pack
+
 #: Pieces of a text, and tokens, that are handled at once.
 BLOCK = 50_000
 
@@ -158,7 +161,7 @@ class Transducer:
     def _move(self, number: int, byte: int) -> tuple[bytes, int]:
         """Builds the transition: what it emits, and the state it leads to."""
         last, places = self.states[number]
-        step, left, closed = bytes([byte]), [], None
+        step, left, closed = BYTES[byte], [], None
         for seen, waiting in places:
             now = seen + step
             token = self.ranks.get(now)
@@ -181,11 +184,11 @@ class Transducer:
     def _end(self, number: int, byte: int) -> bytes:
         """What the last byte of a piece emits: no later byte can change it, so no state comes of it."""
         last, places = self.states[number]
-        step = bytes([byte])
+        step, ranks = BYTES[byte], self.ranks
         for seen, waiting in places:
-            token = self.ranks.get(seen + step)
+            token = ranks.get(seen + step)
             if token is not None and self.follows(waiting[-1] if waiting else last, token):
-                return _packed((*waiting, token))
+                return _packed((*waiting, token)) if waiting else ONE(token)
         raise AssertionError("every prefix of a piece has an encoding")
 
     def encode_piece(self, piece: bytes) -> bytes:
@@ -202,7 +205,9 @@ class Transducer:
             emitted, number = move
             if emitted:
                 out.append(emitted)
-        out += [self._end(number, byte) for byte in piece[-1:]]
+        if not out:
+            return self._end(number, piece[-1]) if piece else b""
+        out.append(self._end(number, piece[-1]))
         return b"".join(out)
 
 
