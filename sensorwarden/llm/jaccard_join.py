@@ -12,10 +12,13 @@
    are all in one component are left out from then on. Only units of different components still need a comparison. The
    postings of a shingle are contracted to one row per component with the bounds of its units (sizes, positions, outlines),
    components are paired by those, and pairs expanded to units that share the shingle, the smaller component first.
-5. The pivots of paired units are verified first. Only where they are not linked are the members of stars compared, and
-   of those only the ones that the triangle inequality of the Jaccard distance leaves. Before any verification, the
-   outlines of both sets (shared shingles counted by hash cell) bound what they can have in common.
-The links, fewer than all pairs but enough to connect what is connected, are merged to components.
+5. Of these pairs every unit first compares its most promising ones, a few, and what they connect needs no other pair; so
+   on in waves, until few pairs of different components are left, which are all compared. These are comparisons of pivots.
+   Only where they leave two units in different components are the members of stars compared, and of those only the ones
+   that the triangle inequality of the Jaccard distance leaves. Before any verification, the outlines of both sets (shared
+   shingles counted by hash cell) bound what they can have in common.
+Links are merged into labels as they are found, between components and not between documents: of a thousand links between two
+components one row is left.
 """
 
 from __future__ import annotations
@@ -47,6 +50,9 @@ WORTH_A_TURN = 64
 #: Units of a lot, about: what the leader of a later turn is compared with.
 LOT = 8
 
+#: Pairs that a unit has compared in a wave, and pairs below which there is no other wave. The result is the same with any number.
+PROMISING, WORTH_A_WAVE = 4, 1024
+
 PROFILE = "id long, n long, high long, low long, shared long, prefix array<long>, outline array<smallint>, held binary"
 
 
@@ -114,13 +120,15 @@ def profile(ident, shingles: np.ndarray, classes: np.ndarray, percent: int) -> t
     return ident, n, high, low, k, prefix.view(np.int64), outline, held.tobytes()
 
 
-def outlines_allow(n_a: str, outline_a: str, n_b: str, outline_b: str, percent: int):
-    """Whether two sets may link: they have no more in common than the smaller count in every cell.
-
-    Without an outline (a cell of a huge set is beyond 15 bits) they may.
-    """
+def outlines_share(outline_a: str, outline_b: str) -> Column:
+    """The most that two sets have in common: the smaller count in every cell. Null without an outline."""
     least = F.zip_with(outline_a, outline_b, lambda a, b: F.least(a, b))
-    most = F.aggregate(least, F.lit(0), lambda total, cell: total + cell).cast("bigint")
+    return F.aggregate(least, F.lit(0), lambda total, cell: total + cell).cast("bigint")
+
+
+def outlines_allow(n_a: str, outline_a: str, n_b: str, outline_b: str, percent: int):
+    """Whether two sets may link by their outlines. Without one (a cell of a huge set is beyond 15 bits) they may."""
+    most = outlines_share(outline_a, outline_b)
     return F.coalesce(most * (100 + percent) >= percent * (F.col(n_a) + F.col(n_b)), F.lit(True))
 
 
@@ -207,6 +215,35 @@ def _labelled(rows: DataFrame, labels: DataFrame | None, unit: str = "u", name:
     return rows.join(known, unit, "left").withColumn(name, F.coalesce("_label", unit)).drop("_label")
 
 
+def relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) of all that is linked, after further links (a, b).
+
+    What is linked already counts as one node, its component, so the work follows the components that meet.
+    """
+    ends = _labelled(_labelled(links.select("a", "b"), labels, "a", "x"), labels, "b", "y").filter("x <> y")
+    moved = components(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    if labels is None:
+        return moved
+    known = labels.join(moved.select(F.col("node").alias("component"), F.col("component").alias("now")), "component", "left")
+    known = known.select("node", F.coalesce("now", "component").alias("component"))
+    return written(known.unionByName(moved.join(labels.select("node"), "node", "left_anti")), "all-labels")
+
+
+def apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Pairs (a, b, ...) of different components, with these as comp_a and comp_b."""
+    known = pairs.drop("comp_a", "comp_b")
+    return _labelled(_labelled(known, labels, "a", "comp_a"), labels, "b", "comp_b").filter("comp_a <> comp_b")
+
+
+def promising(pairs: DataFrame) -> DataFrame:
+    """(a, b): of the pairs (a, b, score) of every unit the best one of each of a few hash slots."""
+    both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"), "score")
+    both = both.unionByName(pairs.select(F.col("b").alias("u"), F.col("a").alias("v"), "score"))
+    slot = F.pmod(F.xxhash64("v"), F.lit(PROMISING)).alias("slot")
+    best = both.groupBy("u", slot).agg(F.max_by("v", F.struct("score", "v")).alias("v"))
+    return best.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+
+
 def contested(placed: DataFrame) -> DataFrame:
     """Postings of shingles with units of several components, and how many units have the shingle."""
     found = placed.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("units"))
@@ -232,7 +269,10 @@ def leader_pairs(placed: DataFrame, units: DataFrame, turn: int, percent: int) -
 
 
 def component_pairs(placed: DataFrame, units: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of units in different components that share a prefix shingle and may hold a link."""
+    """(a, b, score): all pairs of units in different components that share a prefix shingle and may hold a link.
+
+    The score is the most that their outlines let them have in common, as a share of their union.
+    """
     pos = (F.col("shared") - F.col("rest")).cast("int")
     before = F.slice("prefix", 1, F.least(pos, F.lit(CARRIED))).alias("before")
     placed = contested(placed).join(units.select("u", "shared", "prefix", "outline"), "u")
@@ -273,11 +313,13 @@ def component_pairs(placed: DataFrame, units: DataFrame, percent: int) -> DataFr
     fits = _sizes_allow("n_a", "rest_a", "n_b", "rest_b", percent) & ~F.arrays_overlap("before_a", "before_b")
     same = (F.col("shingle") == F.col("shingle_b")) & (F.col("comp_b") == F.col("of_b"))
     pairs = half.join(right, same & fits & outlines_allow("n_a", "outline_a", "n_b", "outline_b", percent))
-    return pairs.select(F.least("u_a", "u_b").alias("a"), F.greatest("u_a", "u_b").alias("b")).distinct()
+    most = outlines_share("outline_a", "outline_b")
+    score = F.coalesce(most / (F.col("n_a") + F.col("n_b") - most), F.lit(1.0)).alias("score")
+    return pairs.select(F.least("u_a", "u_b").alias("a"), F.greatest("u_a", "u_b").alias("b"), score).distinct()
 
 
-def jaccard_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that connect all that is connected, from distinct sets (id, n, shared, prefix, outline, held)."""
+def jaccard_labels(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of all sets that are linked with others, from distinct sets (id, n, shared, prefix, outline, held)."""
     spread = 1 - percent / 100
     key = F.struct(F.xxhash64("n", "shared", "prefix").alias("x"), F.xxhash64("prefix", "shared", "n").alias("y"))
     members = sets.select("id", "n", "shared", "prefix", "outline", key.alias("key"))
@@ -290,7 +332,6 @@ def jaccard_links(sets: DataFrame, percent: int) -> DataFrame:
     # stars: members against the smallest of their group
     star = written(verified(of.filter("id <> g").select(F.col("g").alias("a"), F.col("id").alias("b")), sets), "stars")
     inside = star.filter(_linked(percent))
-    links = inside.select("a", "b")
     far = star.filter(~_linked(percent)).select(F.col("b").alias("pivot"), F.col("a").alias("g"))
     radius = inside.groupBy(F.col("a").alias("pivot")).agg(F.max(_distance()).alias("radius"))
 
@@ -308,34 +349,45 @@ def jaccard_links(sets: DataFrame, percent: int) -> DataFrame:
     while going:
         placed = written(contested(placed), "postings")
         tried = written(verified(leader_pairs(placed, units, turn, percent), sets), "led")
-        found = tried.filter(_linked(percent)).select("a", "b")
         total, linked = tried.agg(F.count(F.lit(1)), F.count_if(_linked(percent))).first()
         if linked:
-            links = written(links.unionByName(found), "links-so-far")
-            labels = components(links)
-            placed = _labelled(placed.drop("comp"), labels)
+            labels = relabelled(labels, tried.filter(_linked(percent)))
+            placed = written(_labelled(placed.drop("comp"), labels), "labelled")
         turn, going = turn + 1, total > WORTH_A_TURN and linked * 2 > total
 
-    compared = written(verified(component_pairs(placed, units, percent), sets), "pivots")
-    links = links.unionByName(compared.filter(_linked(percent)).select("a", "b"))
-
-    # members of stars where the pivots are not linked; a pivot of a star is compared with the members of the other unit,
-    # a member that missed its pivot is in a unit of its own and was compared with that pivot already
-    gap = compared.filter(~_linked(percent)).withColumn("gap", _distance())
+    # waves of the most promising pairs, as long as they connect many; then all pairs that are left between components
+    pairs, compared, waves = written(component_pairs(placed, units, percent), "candidates"), None, True
+    while True:
+        waves = waves and pairs.count() > WORTH_A_WAVE
+        tried = written(verified(promising(pairs) if waves else pairs.select("a", "b"), sets), "pivots")
+        compared = tried if compared is None else compared.unionByName(tried)
+        total, linked = tried.agg(F.count(F.lit(1)), F.count_if(_linked(percent))).first()
+        if linked:
+            labels = relabelled(labels, tried.filter(_linked(percent)))
+        if not waves:
+            break
+        rest = apart(pairs, labels).select("a", "b", "score").join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        pairs, waves = written(rest, "candidates"), linked * 16 > total
+
+    # members of stars where the pivots are not linked, nor connected by others; a pivot of a star is compared with the
+    # members of the other unit, a member that missed its pivot is in a unit of its own and was compared with that pivot already
     missed = star.filter(~_linked(percent)).select("a", "b", _distance().alias("gap"))
-    missed = _labelled(_labelled(missed, labels, "a", "comp_a"), labels, "b", "comp_b").filter("comp_a <> comp_b")
-    gap = gap.select("a", "b", "gap").unionByName(missed.select("a", "b", "gap")).distinct()
+    gap = compared.filter(~_linked(percent)).select("a", "b", _distance().alias("gap")).unionByName(missed).distinct()
+    gap = written(apart(gap, labels), "gaps")
     wide = gap.join(radius.select(F.col("pivot").alias("a"), F.col("radius").alias("ra")), "a", "left").join(
         radius.select(F.col("pivot").alias("b"), F.col("radius").alias("rb")), "b", "left"
     )
     wide = wide.filter(
         (F.col("ra").isNotNull() | F.col("rb").isNotNull())
         & (F.coalesce("ra", F.lit(0.0)) + F.coalesce("rb", F.lit(0.0)) + spread + 1e-9 >= F.col("gap"))
-    ).select("a", "b", "gap")
+    )
+    wide = written(wide.select("a", "b", "gap"), "wide")
     outlines = sets.select("id", "n", "outline")
     reach = inside.select(F.col("a").alias("pivot"), F.col("b").alias("member"), _distance().alias("d"))
     reach = reach.unionByName(units.select(F.col("u").alias("pivot"), F.col("u").alias("member"), F.lit(0.0).alias("d")))
-    reach = written(reach.join(outlines.withColumnRenamed("id", "member"), "member"), "reach")
+    asked = wide.select(F.col("a").alias("pivot")).unionByName(wide.select(F.col("b").alias("pivot")))
+    reach = reach.join(asked, "pivot", "left_semi").join(outlines.withColumnRenamed("id", "member"), "member")
+    reach = written(reach, "reach")
 
     def side(pivot: str, member: str) -> DataFrame:
         columns = {"pivot": pivot, "member": member, "d": f"d{member}", "n": f"n_{member}", "outline": f"o_{member}"}
@@ -347,9 +399,15 @@ def jaccard_links(sets: DataFrame, percent: int) -> DataFrame:
     half = wide.join(radius.select(F.col("pivot").alias("b"), F.col("radius").alias("rb")), "b", "left").join(ours, "a")
     half = half.filter(F.col("dx") + F.coalesce("rb", F.lit(0.0)) + spread + 1e-9 >= F.col("gap"))
     expanded = half.join(theirs, (half["b"] == theirs["b"]) & near & ((F.col("dx") > 0) | (F.col("dy") > 0)))
-    expanded = expanded.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    found = verified(expanded, sets).filter(_linked(percent)).select("a", "b")
-    return written(links.unionByName(found), "jaccard-links")
+    pivots = (half["a"].alias("pivot_a"), half["b"].alias("pivot_b"))
+    expanded = expanded.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), *pivots).distinct()
+    tried = written(verified(expanded, sets), "members-compared")
+    found = tried.filter(_linked(percent)).select(F.col("pivot_a").alias("a"), F.col("pivot_b").alias("b"))
+    if not found.isEmpty():
+        labels = relabelled(labels, found)
+    # members of a star have the component of its pivot
+    members = _labelled(inside.select("a", F.col("b").alias("node")), labels, "a", "component").select("node", "component")
+    return written(members if labels is None else members.unionByName(labels), "jaccard-labels")
 
 
 def jaccard_components(
@@ -372,7 +430,7 @@ def jaccard_components(
     usable = usable.filter(F.col("id").eqNullSafe(F.col("first_id")))
     one = F.first(F.struct("n", "shared", "prefix", "outline", "held")).alias("one")
     sets = written(usable.groupBy(F.col("class").alias("id")).agg(one).select("id", "one.*"), "sets")
-    found = components(jaccard_links(sets, percent)).select(F.col("node").alias("class"), F.col("component").alias("of"))
+    found = jaccard_labels(sets, percent).select(F.col("node").alias("class"), F.col("component").alias("of"))
     placed = classes.join(found, "class", "left").withColumn("of", F.coalesce("of", "class"))
     names = placed.groupBy("of").agg(F.min("first_id").alias("component"))
     mapped = placed.join(names, "of").select(*digest, "component")

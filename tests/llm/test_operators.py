@@ -196,6 +196,29 @@ def test_jaccard_components_of_a_family_without_a_middle(spark, monkeypatch):
     assert len(compared) <= 5 and turns[1] < turns[0]
 
 
+def test_jaccard_comparisons_follow_the_components(spark, monkeypatch):
+    """A family that one turn of leaders leaves in many components needs a few comparisons per text, not all its pairs."""
+    rng = random.Random(17)
+    base = [f"w{i}" for i in range(130)]
+    rows = []
+    for k in range(240):
+        words = list(base)
+        for at in rng.sample(range(130), 2):
+            words[at] = f"x{at}y{rng.randrange(40)}"
+        rows.append((k, " ".join(words)))
+    compared, verified = [], jaccard_join.verified
+
+    def counted(pairs, sets):
+        compared.append(pairs.count())
+        return verified(pairs, sets)
+
+    monkeypatch.setattr(jaccard_join, "verified", counted)
+    monkeypatch.setattr(jaccard_join, "WORTH_A_TURN", 10**9)
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 80, 4)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(rows, 80, 4)
+    assert sum(compared) < 10 * len(rows), compared
+
+
 def test_jaccard_components_of_repeated_ids(spark):
     """Every text of a repeated id keeps its links, and so does a text without an id."""
     base = [f"w{i}" for i in range(60)]
