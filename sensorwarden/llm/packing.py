@@ -32,6 +32,9 @@ SEGMENT = 1 << 20
 #: Bytes of words and ids that a worker remembers, with what Python needs for each; longer words are not remembered.
 CACHE_BYTES, ENTRY_BYTES, LONG_WORD = 256 << 20, 180, 64
 
+#: What stands between words that are tokenised as one text, and how many these are.
+MARK, JOINED = "|", 64
+
 BLANK = re.compile(rb"[ \t\n\x0b\x0c\r]")
 
 
@@ -49,15 +52,37 @@ class WordTokenizer:
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[bytes, bytes] = {}
         self.bytes, self.cache_bytes = 0, cache_bytes
+        self.mark = self._ids([MARK])[0]
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [found.ids for found in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _remember(self, word: bytes, ids: bytes) -> None:
+        self.known[word] = ids
+        self.bytes += len(word) + len(ids) + ENTRY_BYTES
 
     def _learn(self, words: list[bytes]) -> None:
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            encoded = self.library.encode_batch_fast([w.decode(errors="replace") for w in part], add_special_tokens=False)
-            for word, found in zip(part, encoded, strict=True):
-                ids = struct.pack(f"<{len(found.ids)}I", *found.ids)
-                self.known[word] = ids
-                self.bytes += len(word) + len(ids) + ENTRY_BYTES
+        """Many words are one text with a mark between them; words with a mark are texts of their own."""
+        mark = MARK.encode()
+        joined = [w for w in words if mark not in w] if len(self.mark) == 1 else []
+        alone = [w for w in words if mark in w] if joined else words
+        for at in range(0, len(joined), 64 * JOINED):
+            parts = [joined[i : i + JOINED] for i in range(at, min(at + 64 * JOINED, len(joined)), JOINED)]
+            texts = [(b" %b " % mark).join(part).decode(errors="replace") for part in parts]
+            for part, ids in zip(parts, self._ids(texts), strict=True):
+                if ids.count(self.mark[0]) != len(part) - 1:  # a word that the tokenizer turns into a mark
+                    alone = [*alone, *part]
+                    continue
+                data, low = struct.pack(f"<{len(ids)}I", *ids), 0
+                for word in part[:-1]:
+                    high = ids.index(self.mark[0], low)
+                    self._remember(word, data[4 * low : 4 * high])
+                    low = high + 1
+                self._remember(part[-1], data[4 * low :])
+        for at in range(0, len(alone), 4096):
+            part = alone[at : at + 4096]
+            for word, ids in zip(part, self._ids([w.decode(errors="replace") for w in part]), strict=True):
+                self._remember(word, struct.pack(f"<{len(ids)}I", *ids))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -157,34 +182,46 @@ def pieces_of(
 
 
 class Complements:
-    """Lengths that are left, with tables of the sums of one, two and three of them.
+    """Lengths that are left, and the combinations of one, two or three of them that fill a gap.
 
-    The tables are made once: counts only fall, so a sum that is not in a table never comes back, and one that is in it is
-    looked up in the counts before it is used.
+    Which lengths are left is kept as the bits of a number and of its mirror image, so one shift and one "and" compare all
+    lengths with what they lack. The sums of two are a table that may be old: counts only fall, so a sum that is not in it
+    never comes back, and one that is in it is looked up in the bits before it is used.
     """
 
+    #: Old sums that a search meets in vain before the table is made anew.
+    VAIN = 64
+
     def __init__(self, counts: dict[int, int], capacity: int):
-        self.left = np.zeros(capacity + 1, np.int64)
+        self.capacity, self.left, self.bits, self.mirror = capacity, [0] * (capacity + 1), 0, 0
         for length, n in counts.items():
-            self.left[length] = n
-        single = self.left > 0
-        size = 1 << (2 * capacity + 2).bit_length()
-
-        def sums(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            product = np.fft.irfft(np.fft.rfft(a.astype(float), size) * np.fft.rfft(b.astype(float), size), size)
-            return product[: capacity + 1] > 0.5
-
-        self.pairs = sums(single, single)
-        self.triples = sums(self.pairs, single)
+            self.take(length, -n)
+        self._sums()
+
+    def take(self, length: int, n: int) -> None:
+        """Takes n of a length away; a negative n gives them back."""
+        before = self.left[length]
+        self.left[length] = before - n
+        if (before > 0) != (before > n):
+            self.bits ^= 1 << length
+            self.mirror ^= 1 << (self.capacity - length)
+
+    def _sums(self) -> None:
+        """Sums of two lengths, as the bits of a mirror image."""
+        pairs, rest, kept = 0, self.bits, (2 << self.capacity) - 1
+        while rest:
+            low = rest & -rest
+            pairs |= self.bits << (low.bit_length() - 1)
+            rest ^= low
+        self.mirrored_pairs = int(f"{pairs & kept:0{self.capacity + 1}b}"[::-1], 2)
 
     def _pair(self, gap: int) -> tuple[int, ...] | None:
         """Two lengths with this sum, as unequal as possible."""
-        x = np.arange(1, gap // 2 + 1)
-        fits = (self.left[x] > 0) & (self.left[gap - x] > 0)
-        if gap % 2 == 0 and len(x):
-            fits[-1] = self.left[gap // 2] > 1
-        at = int(np.argmax(fits)) if len(x) else 0
-        return (gap - int(x[at]), int(x[at])) if len(x) and fits[at] else None
+        both = self.bits & (self.mirror >> (self.capacity - gap))
+        x = (both & -both).bit_length() - 1
+        if x < 0 or 2 * x == gap and self.left[x] < 2:
+            return None
+        return gap - x, x
 
     def filling(self, gap: int) -> tuple[int, ...] | None:
         """At most three lengths that fill a gap exactly, the fewest and longest first."""
@@ -192,16 +229,21 @@ class Complements:
             return ()
         if self.left[gap]:
             return (gap,)
-        if self.pairs[gap] and (found := self._pair(gap)):
+        if found := self._pair(gap):
             return found
-        if self.triples[gap]:
-            for z in np.flatnonzero(self.left[:gap])[::-1].tolist():
-                if self.pairs[gap - z]:
-                    self.left[z] -= 1
-                    found = self._pair(gap - z)
-                    self.left[z] += 1
-                    if found:
-                        return (z, *found)
+        vain, rest = 0, self.bits & (self.mirrored_pairs >> (self.capacity - gap))
+        while rest:
+            z = rest.bit_length() - 1
+            self.take(z, 1)
+            found = self._pair(gap - z)
+            self.take(z, -1)
+            if found:
+                return (z, *found)
+            rest ^= 1 << z
+            vain += 1
+            if vain % self.VAIN == 0:
+                self._sums()
+                rest &= self.mirrored_pairs >> (self.capacity - gap)
         return None
 
 
@@ -215,15 +257,15 @@ def packing_plan(counts: dict[int, int], capacity: int) -> list[Pattern]:
     left = table.left
     for length in sorted(counts, reverse=True):
         while left[length] > 0:
-            left[length] -= 1
+            table.take(length, 1)
             filling = table.filling(capacity - length)
-            left[length] += 1
+            table.take(length, -1)
             if filling is None:
                 break
             pattern = Counter((length, *filling))
-            times = int(min(left[x] // k for x, k in pattern.items()))
+            times = min(left[x] // k for x, k in pattern.items())
             for x, k in pattern.items():
-                left[x] -= times * k
+                table.take(x, times * k)
             plan.append((tuple(pattern.items()), times))
 
     open_gaps: list[int] = []
@@ -237,8 +279,8 @@ def packing_plan(counts: dict[int, int], capacity: int) -> list[Pattern]:
             insort(open_gaps, gap)
         by_gap[gap].append((pattern, times))
 
-    for length in np.flatnonzero(left)[::-1].tolist():
-        count = int(left[length])
+    for length in [x for x in sorted(counts, reverse=True) if left[x]]:
+        count = left[length]
         while count:
             at = bisect_left(open_gaps, length)
             if at < len(open_gaps):

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -172,6 +173,27 @@ def test_words_are_tokenised_like_whole_texts(documents):
     assert max(len(k) for k in words.known) <= packing.LONG_WORD
 
 
+def test_new_words_are_tokenised_together():
+    """Few texts go to the library, also with words that hold the mark, are spaces beyond ASCII or no letters at all."""
+    with open(WORDS, encoding="utf-8") as file:
+        words = packing.WordTokenizer(file.read())
+    seen, real = [], words.library
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            seen.extend(texts)
+            return real.encode_batch_fast(texts, **more)
+
+    words.library = Counted()
+    rng = random.Random(4)
+    odd = ["|", "||", "a|b", "|a", "\uff5c", "\u2223", "\u0301x", "\u00a0", "\u3000a\u3000", "\x85", "'s", "'", "\u1100\u1161", "\u212b", "\U0001f600|"]
+    made = odd + ["".join(rng.choice("abcdé'.,-1\u0301ß\u00a0数") for _ in range(rng.randint(1, 9))) for _ in range(4000)]
+    rng.shuffle(made)
+    text = " ".join(made)
+    assert words.encode([text.encode()]) == [np.array(library().encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+    assert len(seen) < 200
+
+
 def test_packing_of_nothing(spark):
     assert packing.pack_documents(table(spark, []), WORDS).collect() == []
 
@@ -210,6 +232,20 @@ def test_exact_complements_are_found():
     assert sorted(times for _, times in same) == [1, 3]
 
 
+def test_plan_of_many_lengths_is_quick():
+    """Few pieces of nearly every length: most searches for three lengths that fill a gap are in vain."""
+    rng, counts = random.Random(2), Counter()
+    for _ in range(3000):
+        counts[min(4096, max(1, int(rng.lognormvariate(6.5, 1))))] += 1
+    began = time.process_time()
+    plan = packing.packing_plan(counts, 4096)
+    assert time.process_time() - began < 2
+    used = Counter()
+    for pattern, times in plan:
+        used.update({length: n * times for length, n in pattern})
+    assert used == counts
+
+
 # --- fill in middle ----------------------------------------------------------------------------------------------------
 
 
