@@ -45,6 +45,19 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a file, about: of light tables, and of tables with whole sets or texts, or made from them.
+LIGHT_ROWS, HEAVY_ROWS = 10_000, 1_000
+
+
+def gathered(df: DataFrame, rows: int, per_file: int = LIGHT_ROWS) -> DataFrame:
+    """The frame in as few partitions as its rows need; rows: no more than so many go into it, or come out of it.
+
+    A shuffle has as many partitions as the whole job needs. A small table written after it would be that many files, each
+    with a task of its own and, on a local file system, with child processes that set its permissions.
+    """
+    return df.coalesce(max(1, -(-rows // per_file)))
+
+
 _tables: dict = {}
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .chunks import answered, buckets_for, pack, rows_by_bucket, squeezed, texts_of, unsqueezed
-from .common import written
+from .common import HEAVY_ROWS, gathered, written
 from .components import components
 from .substring_dedup import LOW, block_keys
 from .words import mixed, rolling, word_hashes
@@ -215,18 +215,21 @@ def _labelled(rows: DataFrame, labels: DataFrame | None, unit: str = "u", name:
     return rows.join(known, unit, "left").withColumn(name, F.coalesce("_label", unit)).drop("_label")
 
 
-def relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
-    """(node, component) of all that is linked, after further links (a, b).
+def relabelled(labels: DataFrame | None, links: DataFrame, tried: int) -> DataFrame:
+    """(node, component) of all that is linked, after further links (a, b), found among so many that were tried.
 
     What is linked already counts as one node, its component, so the work follows the components that meet.
     """
+    before = 0 if labels is None else labels.count()
     ends = _labelled(_labelled(links.select("a", "b"), labels, "a", "x"), labels, "b", "y").filter("x <> y")
-    moved = components(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    ends = ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    moved = components(written(gathered(ends, max(tried, before)), "ends"))
     if labels is None:
         return moved
     known = labels.join(moved.select(F.col("node").alias("component"), F.col("component").alias("now")), "component", "left")
     known = known.select("node", F.coalesce("now", "component").alias("component"))
-    return written(known.unionByName(moved.join(labels.select("node"), "node", "left_anti")), "all-labels")
+    known = known.unionByName(moved.join(labels.select("node"), "node", "left_anti"))
+    return written(gathered(known, before + 2 * tried), "all-labels")
 
 
 def apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -273,10 +276,12 @@ def component_pairs(placed: DataFrame, units: DataFrame, percent: int) -> DataFr
 
     The score is the most that their outlines let them have in common, as a share of their union.
     """
+    rows = max(placed.count(), units.count())
     pos = (F.col("shared") - F.col("rest")).cast("int")
     before = F.slice("prefix", 1, F.least(pos, F.lit(CARRIED))).alias("before")
     placed = contested(placed).join(units.select("u", "shared", "prefix", "outline"), "u")
-    placed = written(placed.select("u", "comp", "n", "shingle", "rest", before, "outline"), "placed")
+    placed = placed.select("u", "comp", "n", "shingle", "rest", before, "outline")
+    placed = written(gathered(placed, rows, HEAVY_ROWS), "placed")
     bounds = placed.groupBy("shingle", "comp").agg(
         F.count(F.lit(1)).alias("units"),
         F.min("n").alias("low"),
@@ -284,7 +289,7 @@ def component_pairs(placed: DataFrame, units: DataFrame, percent: int) -> DataFr
         F.max("rest").alias("most"),
         _most_outline().alias("bound"),
     )
-    bounds = written(bounds, "contracted")
+    bounds = written(gathered(bounds, rows, HEAVY_ROWS), "contracted")
     names = ("comp", "units", "low", "high", "most", "bound")
     a = bounds.select("shingle", *(F.col(c).alias(f"{c}_a") for c in names))
     b = bounds.select("shingle", *(F.col(c).alias(f"{c}_b") for c in names))
@@ -326,11 +331,14 @@ def jaccard_labels(sets: DataFrame, percent: int) -> DataFrame:
     same = [F.first(name).alias(name) for name in ("n", "shared", "prefix")]
     # the outline of a group bounds that of every member
     groups = members.groupBy("key").agg(F.min("id").alias("g"), *same, _most_outline().alias("outline"))
-    groups = written(groups, "groups")
-    of = written(members.select("id", "key").join(groups.select("key", "g"), "key").select("id", "g"), "members")
+    rows = sets.count()
+    groups = written(gathered(groups, rows), "groups")
+    of = members.select("id", "key").join(groups.select("key", "g"), "key").select("id", "g")
+    of = written(gathered(of, rows), "members")
 
     # stars: members against the smallest of their group
-    star = written(verified(of.filter("id <> g").select(F.col("g").alias("a"), F.col("id").alias("b")), sets), "stars")
+    star = verified(of.filter("id <> g").select(F.col("g").alias("a"), F.col("id").alias("b")), sets)
+    star = written(gathered(star, rows, HEAVY_ROWS), "stars")
     inside = star.filter(_linked(percent))
     far = star.filter(~_linked(percent)).select(F.col("b").alias("pivot"), F.col("a").alias("g"))
     radius = inside.groupBy(F.col("a").alias("pivot")).agg(F.max(_distance()).alias("radius"))
@@ -340,40 +348,45 @@ def jaccard_labels(sets: DataFrame, percent: int) -> DataFrame:
     own = sets.select(F.col("id").alias("pivot"), "outline")
     others = far.join(own, "pivot").join(groups.select("g", "n", "shared", "prefix"), "g")
     units = heads.unionByName(others.withColumnRenamed("pivot", "u"))
-    units = written(units, "units")
+    units = written(gathered(units, rows), "units")
     posts = units.select("u", "n", "shared", F.posexplode("prefix").alias("pos", "shingle"))
     placed = posts.select("u", "n", "shingle", (F.col("shared") - F.col("pos")).alias("rest"), F.col("u").alias("comp"))
 
     # leaders, as long as a turn compares much and connects most of it; all that is left is compared below
     labels, turn, going = None, 0, True
+    posted = units.agg(F.sum(F.size("prefix"))).first()[0] or 0
     while going:
-        placed = written(contested(placed), "postings")
-        tried = written(verified(leader_pairs(placed, units, turn, percent), sets), "led")
+        placed = written(gathered(contested(placed), posted), "postings")
+        posted = placed.count()
+        tried = verified(leader_pairs(placed, units, turn, percent), sets)
+        tried = written(gathered(tried, max(posted, rows), HEAVY_ROWS), "led")
         total, linked = tried.agg(F.count(F.lit(1)), F.count_if(_linked(percent))).first()
         if linked:
-            labels = relabelled(labels, tried.filter(_linked(percent)))
-            placed = written(_labelled(placed.drop("comp"), labels), "labelled")
+            labels = relabelled(labels, tried.filter(_linked(percent)), total)
+            placed = written(gathered(_labelled(placed.drop("comp"), labels), max(posted, labels.count())), "labelled")
         turn, going = turn + 1, total > WORTH_A_TURN and linked * 2 > total
 
     # waves of the most promising pairs, as long as they connect many; then all pairs that are left between components
     pairs, compared, waves = written(component_pairs(placed, units, percent), "candidates"), None, True
     while True:
-        waves = waves and pairs.count() > WORTH_A_WAVE
-        tried = written(verified(promising(pairs) if waves else pairs.select("a", "b"), sets), "pivots")
+        left = pairs.count()
+        waves = waves and left > WORTH_A_WAVE
+        tried = verified(promising(pairs) if waves else pairs.select("a", "b"), sets)
+        tried = written(gathered(tried, max(left, rows), HEAVY_ROWS), "pivots")
         compared = tried if compared is None else compared.unionByName(tried)
         total, linked = tried.agg(F.count(F.lit(1)), F.count_if(_linked(percent))).first()
         if linked:
-            labels = relabelled(labels, tried.filter(_linked(percent)))
+            labels = relabelled(labels, tried.filter(_linked(percent)), total)
         if not waves:
             break
         rest = apart(pairs, labels).select("a", "b", "score").join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        pairs, waves = written(rest, "candidates"), linked * 16 > total
+        pairs, waves = written(gathered(rest, max(left, rows)), "candidates"), linked * 16 > total
 
     # members of stars where the pivots are not linked, nor connected by others; a pivot of a star is compared with the
     # members of the other unit, a member that missed its pivot is in a unit of its own and was compared with that pivot already
     missed = star.filter(~_linked(percent)).select("a", "b", _distance().alias("gap"))
     gap = compared.filter(~_linked(percent)).select("a", "b", _distance().alias("gap")).unionByName(missed).distinct()
-    gap = written(apart(gap, labels), "gaps")
+    gap = written(gathered(apart(gap, labels), rows + compared.count()), "gaps")
     wide = gap.join(radius.select(F.col("pivot").alias("a"), F.col("radius").alias("ra")), "a", "left").join(
         radius.select(F.col("pivot").alias("b"), F.col("radius").alias("rb")), "b", "left"
     )
@@ -404,7 +417,7 @@ def jaccard_labels(sets: DataFrame, percent: int) -> DataFrame:
     tried = written(verified(expanded, sets), "members-compared")
     found = tried.filter(_linked(percent)).select(F.col("pivot_a").alias("a"), F.col("pivot_b").alias("b"))
     if not found.isEmpty():
-        labels = relabelled(labels, found)
+        labels = relabelled(labels, found, tried.count())
     # members of a star have the component of its pivot
     members = _labelled(inside.select("a", F.col("b").alias("node")), labels, "a", "component").select("node", "component")
     return written(members if labels is None else members.unionByName(labels), "jaccard-labels")
@@ -424,12 +437,14 @@ def jaccard_components(
     filled = all_rows.filter("n > 0")
     digest = ["n", "high", "low"]
     classes = filled.groupBy(*digest).agg(F.min("id").alias("first_id")).withColumn("class", F.monotonically_increasing_id())
-    classes = written(classes, "set-classes")
+    rows = all_rows.count()
+    classes = written(gathered(classes, rows), "set-classes")
     # identical sets have identical profiles: any row stands for its class
     usable = filled.filter(F.col("prefix").isNotNull()).join(classes.select(*digest, "class", "first_id"), digest)
     usable = usable.filter(F.col("id").eqNullSafe(F.col("first_id")))
     one = F.first(F.struct("n", "shared", "prefix", "outline", "held")).alias("one")
-    sets = written(usable.groupBy(F.col("class").alias("id")).agg(one).select("id", "one.*"), "sets")
+    sets = usable.groupBy(F.col("class").alias("id")).agg(one).select("id", "one.*")
+    sets = written(gathered(sets, rows, HEAVY_ROWS), "sets")
     found = jaccard_labels(sets, percent).select(F.col("node").alias("class"), F.col("component").alias("of"))
     placed = classes.join(found, "class", "left").withColumn("of", F.coalesce("of", "class"))
     names = placed.groupBy("of").agg(F.min("first_id").alias("component"))

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from sensorwarden.llm import byte_bpe, chat, common, decontaminate, jaccard_join, quality, toxicity, warc
+from sensorwarden.llm import byte_bpe, chat, common, components, decontaminate, jaccard_join, quality, toxicity, warc
 from sensorwarden.llm.chunks import squeezed
 from sensorwarden.llm.exact_dedup import distinct_rows, exact_dedup
 from sensorwarden.llm.line_dedup import keep_bitmaps, line_dedup
@@ -219,6 +219,38 @@ def test_jaccard_comparisons_follow_the_components(spark, monkeypatch):
     assert sum(compared) < 10 * len(rows), compared
 
 
+def test_jaccard_tables_of_few_rows_are_few_files(spark, monkeypatch):
+    """However many partitions a shuffle has, a small table is not a file of each."""
+    rng = random.Random(23)
+    rows = []
+    for k in range(90):
+        words = [f"w{k // 30}v{i}" for i in range(100)]
+        for at in rng.sample(range(100), 2):
+            words[at] = f"x{at}{rng.randrange(3)}"
+        rows.append((k, " ".join(words)))
+    files, written = {}, common.written
+
+    def counted(frame, name, *more, **named):
+        result = written(frame, name, *more, **named)
+        files.setdefault(name, []).append(len(result.inputFiles()))
+        return result
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    monkeypatch.setattr(components, "written", counted)
+    conf = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 85, 4)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(rows, 85, 4)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    for name in ("set-classes", "sets", "groups", "units", "postings", "led", "links", "labels", "placed", "pivots"):
+        assert max(files[name]) <= 8, files
+
+
 def test_jaccard_components_of_repeated_ids(spark):
     """Every text of a repeated id keeps its links, and so does a text without an id."""
     base = [f"w{i}" for i in range(60)]
