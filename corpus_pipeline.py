@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorwarden.llm.byte_bpe import encode_documents
-from sensorwarden.llm.common import free_name, written
+from sensorwarden.llm.common import HEAVY_ROWS, free_name, gathered, written
 from sensorwarden.llm.decontaminate import decontaminated
 from sensorwarden.llm.exact_dedup import distinct_rows
 from sensorwarden.llm.jaccard_join import jaccard_components
@@ -27,7 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that are equal without white space the longest stays, then the smallest id."""
-    return distinct_rows(docs)
+    return distinct_rows(docs, rows=docs.count())
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     found = jaccard_components(docs, percent=80, words=5)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return gathered(kept, docs.count(), HEAVY_ROWS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

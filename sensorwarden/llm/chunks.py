@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import gathered, let_go, ship, written
 
 #: Text bytes of a chunk, about; a longer document is a chunk of its own.
 CHUNK_BYTES = 4 << 20
@@ -41,6 +41,7 @@ def pack(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        let_go()
         number = TaskContext.get().partitionId() << 32
         ids, texts, total = [], [], 0
 
@@ -109,6 +110,7 @@ def answered(questions: DataFrame, answer: Callable[[list[tuple]], list[bytes]])
     names = questions.columns
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        let_go()
         given = list(rows[names].itertuples(index=False, name=None))
         return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"], "data": answer(given)})
 

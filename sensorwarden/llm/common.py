@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -48,6 +49,9 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 #: Rows of a file, about: of light tables, and of tables with whole sets or texts, or made from them.
 LIGHT_ROWS, HEAVY_ROWS = 10_000, 1_000
 
+#: Rows of a file of a table with an outline or the like (some hundred bytes) a row, about.
+MIDDLE_ROWS = 5_000
+
 
 def gathered(df: DataFrame, rows: int, per_file: int = LIGHT_ROWS) -> DataFrame:
     """The frame in as few partitions as its rows need; rows: no more than so many go into it, or come out of it.
@@ -61,12 +65,22 @@ def gathered(df: DataFrame, rows: int, per_file: int = LIGHT_ROWS) -> DataFrame:
 _tables: dict = {}
 
 
+def let_go() -> None:
+    """Frees what an operator before has left in this Python worker; for tasks that keep no table themselves.
+
+    Tables may refer to themselves, so that only a collection gives their memory back.
+    """
+    if _tables:
+        _tables.clear()
+        gc.collect()
+
+
 def worker_table(key, make: Callable[[], Any]):
     """A table that a Python worker keeps between tasks. Only the latest is kept: a worker that turns to another operator
     lets go of what the one before has left.
     """
     if key not in _tables:
-        _tables.clear()
+        let_go()
         _tables[key] = make()
     return _tables[key]
 

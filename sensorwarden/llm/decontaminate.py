@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, ship, written
+from .common import free_name, let_go, ship, written
 from .words import shingle_set, words_of
 
 #: Shingles of the items that are held in memory and searched for at once; more items take more passes.
@@ -117,6 +117,7 @@ def with_hits(documents: DataFrame, index: ItemIndex, words: int, text_col: str,
     place = documents.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         index = sent.value
         for batch in batches:
             hits = []

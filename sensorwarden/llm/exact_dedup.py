@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import partitions, ship, utf8_sha256, without_spaces, written
+from .common import HEAVY_ROWS, gathered, let_go, partitions, ship, utf8_sha256, without_spaces, written
 
 #: Code points of the normalised text that lead the sort key.
 HEAD = 16
@@ -78,6 +78,7 @@ class _Runs:
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
+    let_go()
     runs = _Runs(TaskContext.get().partitionId())
     for batch in batches:
         for row in zip(batch["id"].to_pylist(), batch["sha"].to_pylist(), batch["content"].to_pylist(), strict=True):
@@ -102,12 +103,11 @@ def _ranged(documents: DataFrame, id_col: str, text_col: str, *more) -> DataFram
 
 def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first row of each run, with the range's even edge if the run opens the range; at last an odd edge without a row."""
-    from pyspark import TaskContext
-
-    part = TaskContext.get().partitionId()
-    sha = content = kind = None
+    let_go()
+    sha = content = kind = part = None
     runs = 0
     for batch in batches:
+        part = batch["range"][0].as_py() if len(batch) else part
         rows, shas, contents = batch["row"], batch["sha"].to_pylist(), batch["content"]
         kind, take, edges, opening = rows.type, [], [], []
         for i, now in enumerate(shas):
@@ -125,13 +125,19 @@ def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["row", "edge", "content"])
 
 
-def distinct_rows(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that ``exact_dedup`` keeps, with all their columns; texts are shuffled once."""
+def distinct_rows(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int | None = None) -> DataFrame:
+    """The rows that ``exact_dedup`` keeps, with all their columns; texts are shuffled once.
+
+    ``rows``: how many documents there are, where it is known; then few of them are not a file of each range.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
-    ranged = _ranged(documents, id_col, text_col, row.alias("row")).select("row", "sha", "content")
+    # several ranges may be one task below, so every row names its range
+    ranged = _ranged(documents, id_col, text_col, row.alias("row"))
+    ranged = ranged.select("row", "sha", "content", F.spark_partition_id().alias("range"))
     schema = T.StructType([ranged.schema["row"], T.StructField("edge", T.LongType()), T.StructField("content", T.StringType())])
     schema["row"].nullable = True
-    found = written(ranged.mapInArrow(_firsts, schema), "exact-firsts")
+    firsts = ranged.mapInArrow(_firsts, schema)
+    found = written(firsts if rows is None else gathered(firsts, rows, HEAVY_ROWS), "exact-firsts")
     # at most two rows per range
     first = found.filter("edge is not null").groupBy("content").agg(F.min("edge").alias("first_edge"), F.collect_set("edge").alias("edges"))
     again = first.select(F.explode("edges").alias("edge"), "first_edge").filter("edge > first_edge").select("edge")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .chunks import answered, buckets_for, pack, rows_by_bucket, squeezed, texts_of, unsqueezed
-from .common import HEAVY_ROWS, gathered, written
+from .common import HEAVY_ROWS, MIDDLE_ROWS, gathered, let_go, written
 from .components import components
 from .substring_dedup import LOW, block_keys
 from .words import mixed, rolling, word_hashes
@@ -145,6 +145,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     schema = joined.select(*kept).schema.add("common", T.LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             common = [
                 shared_count(a.as_buffer(), b.as_buffer()) for a, b in zip(batch["held_a"], batch["held_b"], strict=True)
@@ -168,6 +169,7 @@ def profiles(documents: DataFrame, percent: int, words: int, id_col: str, text_c
     buckets = buckets_for(chunks)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         names, kinds = ["bucket", "chunk", "values", "counts"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
         for batch in batches:
             for row in batch.to_pylist():
@@ -176,6 +178,7 @@ def profiles(documents: DataFrame, percent: int, words: int, id_col: str, text_c
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         names = ["id", "n", "high", "low", "shared", "prefix", "outline", "held"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int16()), pa.binary()]
         for batch in batches:
@@ -281,7 +284,7 @@ def component_pairs(placed: DataFrame, units: DataFrame, percent: int) -> DataFr
     before = F.slice("prefix", 1, F.least(pos, F.lit(CARRIED))).alias("before")
     placed = contested(placed).join(units.select("u", "shared", "prefix", "outline"), "u")
     placed = placed.select("u", "comp", "n", "shingle", "rest", before, "outline")
-    placed = written(gathered(placed, rows, HEAVY_ROWS), "placed")
+    placed = written(gathered(placed, rows, MIDDLE_ROWS), "placed")
     bounds = placed.groupBy("shingle", "comp").agg(
         F.count(F.lit(1)).alias("units"),
         F.min("n").alias("low"),
@@ -289,7 +292,7 @@ def component_pairs(placed: DataFrame, units: DataFrame, percent: int) -> DataFr
         F.max("rest").alias("most"),
         _most_outline().alias("bound"),
     )
-    bounds = written(gathered(bounds, rows, HEAVY_ROWS), "contracted")
+    bounds = written(gathered(bounds, rows, MIDDLE_ROWS), "contracted")
     names = ("comp", "units", "low", "high", "most", "bound")
     a = bounds.select("shingle", *(F.col(c).alias(f"{c}_a") for c in names))
     b = bounds.select("shingle", *(F.col(c).alias(f"{c}_b") for c in names))
@@ -320,7 +323,8 @@ def component_pairs(placed: DataFrame, units: DataFrame, percent: int) -> DataFr
     pairs = half.join(right, same & fits & outlines_allow("n_a", "outline_a", "n_b", "outline_b", percent))
     most = outlines_share("outline_a", "outline_b")
     score = F.coalesce(most / (F.col("n_a") + F.col("n_b") - most), F.lit(1.0)).alias("score")
-    return pairs.select(F.least("u_a", "u_b").alias("a"), F.greatest("u_a", "u_b").alias("b"), score).distinct()
+    pairs = pairs.select(F.least("u_a", "u_b").alias("a"), F.greatest("u_a", "u_b").alias("b"), score).distinct()
+    return written(gathered(pairs, rows, MIDDLE_ROWS), "candidates")
 
 
 def jaccard_labels(sets: DataFrame, percent: int) -> DataFrame:
@@ -358,8 +362,8 @@ def jaccard_labels(sets: DataFrame, percent: int) -> DataFrame:
     while going:
         placed = written(gathered(contested(placed), posted), "postings")
         posted = placed.count()
-        tried = verified(leader_pairs(placed, units, turn, percent), sets)
-        tried = written(gathered(tried, max(posted, rows), HEAVY_ROWS), "led")
+        met = written(gathered(leader_pairs(placed, units, turn, percent), max(posted, rows)), "leader-pairs")
+        tried = written(gathered(verified(met, sets), max(met.count(), rows), HEAVY_ROWS), "led")
         total, linked = tried.agg(F.count(F.lit(1)), F.count_if(_linked(percent))).first()
         if linked:
             labels = relabelled(labels, tried.filter(_linked(percent)), total)
@@ -367,7 +371,7 @@ def jaccard_labels(sets: DataFrame, percent: int) -> DataFrame:
         turn, going = turn + 1, total > WORTH_A_TURN and linked * 2 > total
 
     # waves of the most promising pairs, as long as they connect many; then all pairs that are left between components
-    pairs, compared, waves = written(component_pairs(placed, units, percent), "candidates"), None, True
+    pairs, compared, waves = component_pairs(placed, units, percent), None, True
     while True:
         left = pairs.count()
         waves = waves and left > WORTH_A_WAVE
@@ -400,7 +404,8 @@ def jaccard_labels(sets: DataFrame, percent: int) -> DataFrame:
     reach = reach.unionByName(units.select(F.col("u").alias("pivot"), F.col("u").alias("member"), F.lit(0.0).alias("d")))
     asked = wide.select(F.col("a").alias("pivot")).unionByName(wide.select(F.col("b").alias("pivot")))
     reach = reach.join(asked, "pivot", "left_semi").join(outlines.withColumnRenamed("id", "member"), "member")
-    reach = written(reach, "reach")
+    # a set is a member once and a pivot once at most
+    reach = written(gathered(reach, 2 * rows, MIDDLE_ROWS), "reach")
 
     def side(pivot: str, member: str) -> DataFrame:
         columns = {"pivot": pivot, "member": member, "d": f"d{member}", "n": f"n_{member}", "outline": f"o_{member}"}
@@ -437,14 +442,14 @@ def jaccard_components(
     filled = all_rows.filter("n > 0")
     digest = ["n", "high", "low"]
     classes = filled.groupBy(*digest).agg(F.min("id").alias("first_id")).withColumn("class", F.monotonically_increasing_id())
-    rows = all_rows.count()
+    rows, shared = all_rows.agg(F.count(F.lit(1)), F.count("prefix")).first()
     classes = written(gathered(classes, rows), "set-classes")
     # identical sets have identical profiles: any row stands for its class
     usable = filled.filter(F.col("prefix").isNotNull()).join(classes.select(*digest, "class", "first_id"), digest)
     usable = usable.filter(F.col("id").eqNullSafe(F.col("first_id")))
     one = F.first(F.struct("n", "shared", "prefix", "outline", "held")).alias("one")
     sets = usable.groupBy(F.col("class").alias("id")).agg(one).select("id", "one.*")
-    sets = written(gathered(sets, rows, HEAVY_ROWS), "sets")
+    sets = written(gathered(sets, shared, HEAVY_ROWS), "sets")
     found = jaccard_labels(sets, percent).select(F.col("node").alias("class"), F.col("component").alias("of"))
     placed = classes.join(found, "class", "left").withColumn("of", F.coalesce("of", "class"))
     names = placed.groupBy("of").agg(F.min("first_id").alias("component"))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship
+from .common import let_go, ship
 
 
 # Symbols of the character model: a-z, any other letter, anything else (the border of words).
@@ -64,6 +64,7 @@ def character_counts(documents: DataFrame, text_col: str = "text") -> DataFrame:
     """Trigram counts of all texts: gram (one of 28**3), n. Every task sends its totals once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         table, totals = _byte_symbols(), np.zeros(SYMBOLS**3, np.int64)
         for batch in batches:
             for text in batch.column(0):
@@ -332,6 +333,7 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, text_col: str = "
     place = documents.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         model = sent.value
         known = Features(model.costs, model.weights)
         for batch in batches:

@@ -5,6 +5,7 @@ import hashlib
 import os
 import random
 import time
+import weakref
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +16,7 @@ from sensorwarden.llm import byte_bpe, chat, common, components, decontaminate,
 from sensorwarden.llm.chunks import squeezed
 from sensorwarden.llm.exact_dedup import distinct_rows, exact_dedup
 from sensorwarden.llm.line_dedup import keep_bitmaps, line_dedup
+from sensorwarden.llm import exact_dedup as exact_dedup_module
 from sensorwarden.llm import substring_dedup as substring_module
 from sensorwarden.llm.substring_dedup import substring_dedup
 from sensorwarden.llm.words import word_hashes
@@ -251,6 +253,65 @@ def test_jaccard_tables_of_few_rows_are_few_files(spark, monkeypatch):
         assert max(files[name]) <= 8, files
 
 
+@pytest.fixture
+def many_partitions(spark):
+    """Shuffles of 48 partitions, none of them merged."""
+    conf = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def counting(monkeypatch, module):
+    """Files of each table that a module writes, by name."""
+    files, written = {}, common.written
+
+    def counted(frame, name, *more, **named):
+        result = written(frame, name, *more, **named)
+        files.setdefault(name, []).append(len(result.inputFiles()))
+        return result
+
+    monkeypatch.setattr(module, "written", counted)
+    return files
+
+
+def test_distinct_rows_of_few_documents_are_few_files(spark, monkeypatch, many_partitions):
+    """Several ranges are one task then; a group that spreads over ranges is still one row."""
+    rows = [(i, "same text") for i in range(3000)] + [(5000 + i, f"text {i}") for i in range(500)]
+    rows += [(9000 + i, f" te xt{i}") for i in range(0, 500, 3)] + [(None, None), (4, "")]
+    files = counting(monkeypatch, exact_dedup_module)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = order(distinct_rows(docs, rows=docs.count()).collect())
+    assert max(files["exact-firsts"]) <= 4, files
+    assert got == order(distinct_rows(docs).collect())
+    texts = dict(rows[:-2]) | {4: ""}
+    assert got == order((doc, texts[doc]) for doc, *_, kept, _ in brute.exact(rows) if kept)
+
+
+def test_jaccard_candidates_of_few_rows_are_few_files(spark, many_partitions):
+    """Pairs of a small table, whatever partitions they come from."""
+    units = [(u, 10, 10, [7], [10] + [0] * (jaccard_join.CELLS - 1)) for u in range(60)]
+    units = spark.createDataFrame(units, "u long, n long, shared long, prefix array<long>, outline array<smallint>")
+    placed = units.select("u", "n", F.col("prefix")[0].alias("shingle"), F.col("shared").alias("rest"), F.col("u").alias("comp"))
+    pairs = common.written(jaccard_join.component_pairs(placed, units, 80), "pairs-again")
+    assert len(pairs.inputFiles()) <= 4
+    assert order(pairs.select("a", "b").collect()) == order((a, b) for a in range(60) for b in range(a + 1, 60))
+
+
+def test_tasks_without_a_table_let_go_of_the_one_before():
+    class Table:
+        pass
+
+    table = common.worker_table("of an operator before", Table)
+    table.own, gone = table, weakref.ref(table)
+    del table
+    assert list(exact_dedup_module._firsts(iter(()))) == []
+    assert gone() is None
+
+
 def test_jaccard_components_of_repeated_ids(spark):
     """Every text of a repeated id keeps its links, and so does a text without an id."""
     base = [f"w{i}" for i in range(60)]
